@@ -331,17 +331,22 @@ def all_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
 _written: dict[tuple, str] = {}
 
 
+def source_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Identity of the session and of the source files as they are now."""
+    files = [
+        tuple(r) for name in GRIDS for r in
+        spark.read.format("binaryFile").load(f"{sf_dir}/{name}.parquet")
+        .select("path", "length", "modificationTime").orderBy("path").collect()]
+    return (spark.sparkContext.applicationId, *files)
+
+
 def cells_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cells of all grids as a Parquet table, as a decoding job would leave it.
 
     Written once per session and state of the source files, under the session's
     checkpoint folder.
     """
-    state = tuple(
-        tuple(r) for name in GRIDS for r in
-        spark.read.format("binaryFile").load(f"{sf_dir}/{name}.parquet")
-        .select("path", "length", "modificationTime").orderBy("path").collect())
-    key = (spark.sparkContext.applicationId, state)
+    key = source_state(spark, sf_dir)
     if key not in _written:
         folder = f"{shared_folder(spark)}/sheetloom-cells-{uuid.uuid4().hex}"
         all_grids(spark, sf_dir).write.parquet(folder)
