@@ -10,10 +10,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sheetloom.contracts import CELL, CELLS, MARKER_KIND
-from sheetloom.functions.text import double_text
+from sheetloom.contracts import CELLS, MARKER_KIND
 from sheetloom.session import shared_folder
 
 ADDRESS = ["workbook", "sheet", "sheet_pos"]
@@ -49,63 +48,48 @@ ODD_BAND = {
 }
 
 
-def _cell(kind: str, raw: Column, *, num: Column | None = None, dt: Column | None = None,
-          tm: Column | None = None) -> Column:
-    null = F.lit(None)
-    parts = {"kind": F.lit(kind), "num": null if num is None else num,
-             "dt": null if dt is None else dt, "tm": null if tm is None else tm, "raw": raw}
-    return F.struct(*[parts[f.name].cast(f.dataType).alias(f.name) for f in CELL.fields])
+def _sql(kind: str, raw: str, *, num: str = "NULL", dt: str = "NULL", tm: str = "NULL") -> str:
+    """Expression text of a cell struct."""
+    return (f"named_struct('kind', '{kind}', 'num', CAST({num} AS DOUBLE), "
+            f"'dt', CAST({dt} AS TIMESTAMP_NTZ), 'tm', CAST({tm} AS STRING), 'raw', {raw})")
 
 
-def _text(value) -> Column:
-    text = value if isinstance(value, Column) else F.lit(value)
-    return F.when(text.isNotNull(), _cell("s", text))
-
-
-def _number(value) -> Column:
-    number = (value if isinstance(value, Column) else F.lit(value)).cast("double")
-    return _cell("n", double_text(number), num=number)
-
-
-def _integer(value: Column) -> Column:
-    return _cell("n", value.cast("string"), num=value)
-
-
-def _moment(value: Column) -> Column:
-    return _cell("dt", F.date_format(value, "yyyy-MM-dd HH:mm:ss"), dt=value)
-
-
-def _clock(value: Column) -> Column:
-    return _cell("t", value, tm=value)
-
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-def _of(value) -> Column:
-    return _text(value) if isinstance(value, str) else _number(value)
 
+def _by_sheet(rows: DataFrame) -> DataFrame:
+    """Source rows of a sheet together, as a decoding job leaves its cells.
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    Sheets are of one bounded size here, and the narrow source rows are moved
+    before they are spread into cells.
+    """
+    return rows.repartition(*ADDRESS)
 
 
-def _spread(rows: DataFrame, cells: dict[int, Column]) -> DataFrame:
-    """One output row per non-null cell."""
-    listed = F.array(*[F.struct(F.lit(col).alias("col"), cell.alias("cell"))
-                       for col, cell in cells.items()])
-    return (rows.select(*ADDRESS, "row", F.inline(listed))
-            .where(F.col("cell").isNotNull())
+def _spread(rows: DataFrame, cells: dict[int, str]) -> DataFrame:
+    """One output row per cell; a text cell without text is no cell."""
+    listed = ", ".join(f"named_struct('col', {col}, 'cell', {cell})" for col, cell in cells.items())
+    return (rows.selectExpr(*ADDRESS, "row", f"inline(array({listed}))")
+            .where("cell.raw IS NOT NULL")
             .select(*ADDRESS, "row", "col", "cell.*"))
 
 
-def _header(sheets: DataFrame, grid: dict[tuple[int, int], object]) -> DataFrame:
-    listed = F.array(*[F.struct(F.lit(r).alias("row"), F.lit(c).alias("col"), _of(v).alias("cell"))
-                       for (r, c), v in grid.items()])
-    return sheets.select(*ADDRESS, F.inline(listed)).select(*ADDRESS, "row", "col", "cell.*")
+def _header(sheets: DataFrame, grid: dict[tuple[int, int], str | float]) -> DataFrame:
+    """Constant cells of every sheet; one expression text, as there are many."""
+    def entry(row: int, col: int, value: str | float) -> str:
+        kind, num = ("s", "CAST(NULL AS DOUBLE)") if isinstance(value, str) else ("n", f"{value}D")
+        return (f"named_struct('row', {row}, 'col', {col}, 'kind', '{kind}', 'num', {num}, "
+                f"'dt', CAST(NULL AS TIMESTAMP_NTZ), 'tm', CAST(NULL AS STRING), 'raw', '{value}')")
+
+    listed = ", ".join(entry(r, c, v) for (r, c), v in grid.items())
+    return sheets.select(*ADDRESS, F.expr(f"inline(array({listed}))"))
 
 
 def _marker(sheets: DataFrame) -> DataFrame:
-    marker = _cell(MARKER_KIND, F.lit(None))
-    return sheets.select(*ADDRESS, F.lit(0).alias("row"), F.lit(0).alias("col"),
-                         marker.alias("cell")).select(*ADDRESS, "row", "col", "cell.*")
+    marker = _sql(MARKER_KIND, "CAST(NULL AS STRING)")
+    return (sheets.selectExpr(*ADDRESS, "0 AS row", "0 AS col", f"{marker} AS cell")
+            .select(*ADDRESS, "row", "col", "cell.*"))
 
 
 def _union(*parts: DataFrame) -> DataFrame:
@@ -135,39 +119,36 @@ def _band_header(band: dict) -> dict[tuple[int, int], object]:
     return grid
 
 
-def _measured_cell() -> tuple[Column, Column, Column]:
-    """Kind, number and text of the measured cell of an order in column ``col``, with its dirt."""
-    u = F.expr("(cast(floor(o_totalprice * 100 + 0.5) as bigint) * col + k) % 1300 + 1")
-    v = (F.when(F.col("minimum"), F.lit(98.0) + (u % 200) / F.lit(100.0))
-         .otherwise(u / F.lit(10000.0)))
-    dirt = F.expr("(k + 11 * col) % 37")
-    value = (F.when(dirt == 8, -(v + 1)).when(dirt == 9, F.lit(1.0)).when(dirt == 7, F.lit(None))
-             .otherwise(v))
-    kind = F.when(dirt.isin(0, 1, 2, 3, 4, 5, 6, 10, 11), "s").when(dirt == 9, "b").otherwise("n")
-    text = F.col("value_text")
-    raw = (F.when(dirt == 0, F.concat(F.lit(" "), text)).when(dirt == 1, F.concat(text, F.lit(" ")))
-           .when(dirt == 2, "NULL").when(dirt == 3, "?").when(dirt == 4, "")
-           .when(dirt == 5, F.concat(F.lit("-"), text)).when(dirt == 6, "n.d.")
-           .when(dirt == 9, "True").when(dirt == 10, "1_0").when(dirt == 11, "-").otherwise(text))
-    return kind, value, raw
+MEASURED_KIND = """CASE WHEN dirt IN (0, 1, 2, 3, 4, 5, 6, 10, 11) THEN 's' WHEN dirt = 9 THEN 'b'
+  ELSE 'n' END"""
+MEASURED_NUMBER = "CASE dirt WHEN 8 THEN -(v + 1) WHEN 9 THEN 1D ELSE v END"
+# u / 10000 has no exponent in its text from 0.001 on
+MEASURED_PLAIN = "CASE WHEN NOT minimum AND u < 10 THEN concat('0.000', u) ELSE string(v) END"
+MEASURED_RAW = """CASE dirt WHEN 0 THEN concat(' ', plain) WHEN 1 THEN concat(plain, ' ')
+  WHEN 2 THEN 'NULL' WHEN 3 THEN '?' WHEN 4 THEN '' WHEN 5 THEN concat('-', plain)
+  WHEN 6 THEN 'n.d.' WHEN 8 THEN string(num) WHEN 9 THEN 'True' WHEN 10 THEN '1_0'
+  WHEN 11 THEN '-' ELSE plain END"""
 
 
 def _measured(rows: DataFrame) -> DataFrame:
-    bands = {True: EVEN_BAND, False: ODD_BAND}
-    columns = {even: F.array(*[F.struct(F.lit(c).alias("col"), F.lit(b[1] == "Min").alias("minimum"))
-                               for c, b in band.items()])
-               for even, band in bands.items()}
-    opened = rows.select(*ADDRESS, "row", "k", "o_totalprice", F.inline(
-        F.when(F.col("sheet_pos") % 2 == 0, columns[True]).otherwise(columns[False])))
-    kind, value, raw = _measured_cell()
+    """Measured cells of every order, with their dirt."""
+    def listed(band: dict) -> str:
+        return ", ".join(f"named_struct('col', {col}, 'minimum', {str(spec[1] == 'Min').lower()})"
+                         for col, spec in band.items())
+
     return (
-        opened.withColumn("value", value).withColumn("value_text", double_text(F.col("value")))
-        .withColumn("kind", kind)
-        .where(F.expr("(k + 11 * col) % 37 <> 7"))
-        .select(*ADDRESS, "row", "col", "kind",
-                F.when(F.col("kind").isin("n", "b"), F.col("value")).alias("num"),
-                F.lit(None).cast("timestamp_ntz").alias("dt"),
-                F.lit(None).cast("string").alias("tm"), raw.alias("raw"))
+        rows.selectExpr(
+            *ADDRESS, "row", "k", "o_totalprice",
+            f"inline(IF(sheet_pos % 2 = 0, array({listed(EVEN_BAND)}), array({listed(ODD_BAND)})))")
+        .selectExpr("*", "(k + 11 * col) % 37 AS dirt",
+                    "(bigint(floor(o_totalprice * 100 + 0.5D)) * col + k) % 1300 + 1 AS u")
+        .where("dirt <> 7")
+        .selectExpr("*", "IF(minimum, 98D + (u % 200) / 100D, u / 10000D) AS v")
+        .selectExpr("*", f"{MEASURED_KIND} AS kind", f"{MEASURED_NUMBER} AS num",
+                    f"{MEASURED_PLAIN} AS plain")
+        .selectExpr(*ADDRESS, "row", "col", "kind", "IF(kind = 's', NULL, num) AS num",
+                    "CAST(NULL AS TIMESTAMP_NTZ) AS dt", "CAST(NULL AS STRING) AS tm",
+                    f"{MEASURED_RAW} AS raw")
     )
 
 
@@ -181,52 +162,44 @@ def orders_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("sheet_pos"),
         F.expr(f"cast({DATA_ROW} + k % {ORDERS_PER_SHEET} as int)").alias("row"),
     ).withColumn("sheet", F.expr("concat(sheet_pos, '. R-', 2100 + sheet_pos)"))
-
-    def e(sql: str) -> Column:
-        return F.expr(sql)
-
-    day, at = e("k % 40"), F.col("o_orderdate")
-
-    def clock(shift: int) -> Column:
-        r = e(f"(k + {shift}) % 25")
-        return (F.when(r == 1, _text("27:00.0")).when(r == 2, _text("8.30"))
-                .when(r == 3, _text("??:??")).when(r == 4, _text(""))
-                .when(r == 5, _text("8:05 PM")).when(r == 6, _moment(at))
-                .otherwise(_clock(e(f"concat(lpad((k + {shift}) % 24, 2, '0'), ':', "
-                                    "lpad(k * 7 % 60, 2, '0'), ':00')"))))
-
-    batch, look, solution = e("concat('#', k div 3)"), e("k % 20"), e("k % 23")
-    serial = e("k + 1")
+    rows = _by_sheet(rows)
+
+    def clock(shift: int) -> str:
+        text = (f"CASE (k + {shift}) % 25 WHEN 1 THEN '27:00.0' WHEN 2 THEN '8.30' "
+                "WHEN 3 THEN '??:??' WHEN 4 THEN '' WHEN 5 THEN '8:05 PM' END")
+        native = (f"concat(lpad((k + {shift}) % 24, 2, '0'), ':', lpad(k * 7 % 60, 2, '0'), ':00')")
+        return (f"CASE WHEN (k + {shift}) % 25 = 6 THEN {_sql('dt', at, dt='o_orderdate')} "
+                f"WHEN (k + {shift}) % 25 BETWEEN 1 AND 5 THEN {_sql('s', text)} "
+                f"ELSE {_sql('t', native, tm=native)} END")
+
+    at = "date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss')"
+    serial = "IF(k % 101 <> 7 AND k % 89 = 3, k, k + 1)"
+    dirty_day = ("CASE k % 40 WHEN 1 THEN date_format(o_orderdate, 'dd/MM/yyyy') "
+                 "WHEN 2 THEN date_format(o_orderdate, 'MMM dd yyyy') WHEN 3 THEN '' "
+                 "WHEN 4 THEN '31/31/2020' WHEN 5 THEN 'NULL' "
+                 "WHEN 6 THEN date_format(o_orderdate, 'yyyy-MM-dd') END")
     cells = {
-        1: F.when(e("k % 97 = 5"), _text("see note"))
-        .when(e("k % 101 = 7"), _number(serial + 0.5))
-        .when(e("k % 89 = 3"), _integer(e("k")))
-        .otherwise(_integer(serial)),
-        2: F.when(day == 1, _text(F.date_format(at, "dd/MM/yyyy")))
-        .when(day == 2, _text(F.date_format(at, "MMM dd yyyy")))
-        .when(day == 3, _text("")).when(day == 4, _text("31/31/2020"))
-        .when(day == 5, _text("NULL")).when(day == 6, _text(F.date_format(at, "yyyy-MM-dd")))
-        .when(day == 7, F.lit(None)).otherwise(_moment(at)),
+        1: f"""CASE WHEN k % 97 = 5 THEN {_sql('s', "'see note'")}
+            WHEN k % 101 = 7 THEN {_sql('n', "concat(k + 1, '.5')", num='k + 1.5D')}
+            ELSE {_sql('n', f"string({serial})", num=serial)} END""",
+        2: f"""CASE WHEN k % 40 = 7 THEN NULL WHEN k % 40 BETWEEN 1 AND 6 THEN {_sql('s', dirty_day)}
+            ELSE {_sql('dt', at, dt='o_orderdate')} END""",
         3: clock(0),
         4: clock(7),
-        5: F.when(e("k % 31 = 7"), F.lit(None))
-        .when(e("k % 37 = 2"), _text(F.concat(F.lit(" "), batch, F.lit(" "))))
-        .otherwise(_text(batch)),
-        6: _text(e("concat('HPLC-0', o_custkey % 5 + 1, '/KF-12')")),
-        7: _text(F.col("o_orderpriority")),
-        8: _text(e("CASE o_orderstatus WHEN 'F' THEN 'Solid' WHEN 'O' THEN 'Liquid' "
-                   "ELSE '  Slurry' END")),
-        9: F.when(e("sheet_pos % 2 = 1 and k % 4 = 0"), _text(e("concat('R', k div 3)")))
-        .when(e("sheet_pos % 2 = 1 and k % 4 = 1"), _text("NULL")),
-        10: F.when(look == 0, _text("white powder")).when(look == 1, _text(" White Powder "))
-        .when(look == 2, _text("WHITE POWDER")).when(look == 3, _text(""))
-        .when(look == 4, _text("NULL")).when(look == 5, _text("off-white McDonald cake"))
-        .otherwise(_text("White Powder")),
-        11: F.when(solution == 0, _text("Ok")).when(solution == 1, _text(" OK "))
-        .when(solution == 2, _text("NULL")).when(solution == 3, _text("?"))
-        .when(solution == 4, _text("")).when(solution == 5, _text("fail"))
-        .when(solution == 6, _text("maybe")).when(solution == 7, _text("out of spec"))
-        .otherwise(_text("OK")),
+        5: _sql("s", "CASE WHEN k % 31 = 7 THEN NULL WHEN k % 37 = 2 "
+                     "THEN concat(' #', k div 3, ' ') ELSE concat('#', k div 3) END"),
+        6: _sql("s", "concat('HPLC-0', o_custkey % 5 + 1, '/KF-12')"),
+        7: _sql("s", "o_orderpriority"),
+        8: _sql("s", "CASE o_orderstatus WHEN 'F' THEN 'Solid' WHEN 'O' THEN 'Liquid' "
+                     "ELSE '  Slurry' END"),
+        9: _sql("s", "CASE WHEN sheet_pos % 2 = 0 THEN NULL WHEN k % 4 = 0 "
+                     "THEN concat('R', k div 3) WHEN k % 4 = 1 THEN 'NULL' END"),
+        10: _sql("s", "CASE k % 20 WHEN 0 THEN 'white powder' WHEN 1 THEN ' White Powder ' "
+                      "WHEN 2 THEN 'WHITE POWDER' WHEN 3 THEN '' WHEN 4 THEN 'NULL' "
+                      "WHEN 5 THEN 'off-white McDonald cake' ELSE 'White Powder' END"),
+        11: _sql("s", "CASE k % 23 WHEN 0 THEN 'Ok' WHEN 1 THEN ' OK ' WHEN 2 THEN 'NULL' "
+                      "WHEN 3 THEN '?' WHEN 4 THEN '' WHEN 5 THEN 'fail' WHEN 6 THEN 'maybe' "
+                      "WHEN 7 THEN 'out of spec' ELSE 'OK' END"),
     }
     sheets = rows.select(*ADDRESS).distinct()
     even_header = _band_header(EVEN_BAND)
@@ -254,29 +227,25 @@ def events_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(f"cast(4 + k % {EVENTS_PER_SHEET} as int)").alias("row"),
         F.date_trunc("second", F.col("ts").cast("timestamp")).cast("timestamp_ntz").alias("at"),
     ).withColumn("sheet", F.expr("concat('MISC ', sheet_pos)"))
+    rows = _by_sheet(rows)
 
-    def e(sql: str) -> Column:
-        return F.expr(sql)
-
-    blank = e(f"k % 50 = 9 or k % {EVENTS_PER_SHEET} = 0")
-    dated, verdict = e("k % 15"), e("k % 8")
+    blank = f"(k % 50 = 9 OR k % {EVENTS_PER_SHEET} = 0)"
+    at = "date_format(at, 'yyyy-MM-dd HH:mm:ss')"
+    dirty_day = "CASE k % 15 WHEN 1 THEN date_format(at, 'dd/MM/yyyy') WHEN 2 THEN 'NULL' END"
     filled = {
-        1: _integer(e("k + 1")),
-        2: F.when(dated == 1, _text(F.date_format("at", "dd/MM/yyyy")))
-        .when(dated == 2, _text("NULL")).otherwise(_moment(F.col("at"))),
-        3: F.when(e("k % 9 = 4"), _text(F.concat(F.lit(" "), F.col("event_type"), F.lit(" "))))
-        .otherwise(_text(F.col("event_type"))),
-        4: _text(e("concat('QA-', 1000 + user_id)")),
-        5: F.when(verdict == 0, _text("Pass")).when(verdict == 1, _text("Fail"))
-        .when(verdict == 2, _text("Review")).when(verdict == 3, _text("OK"))
-        .when(verdict == 4, _text("NULL")).when(verdict == 5, _text(""))
-        .when(verdict == 6, _text("?")),
-        6: _text(e("concat('user ', user_id % 7)")),
-        7: F.when(e("k % 11 = 3"), _text("")).otherwise(_text(F.col("props"))),
-        8: F.when(e("k % 5 = 0"), _text("late")),
+        1: _sql("n", "string(k + 1)", num="k + 1"),
+        2: f"IF(k % 15 IN (1, 2), {_sql('s', dirty_day)}, {_sql('dt', at, dt='at')})",
+        3: _sql("s", "IF(k % 9 = 4, concat(' ', event_type, ' '), event_type)"),
+        4: _sql("s", "concat('QA-', 1000 + user_id)"),
+        5: _sql("s", "CASE k % 8 WHEN 0 THEN 'Pass' WHEN 1 THEN 'Fail' WHEN 2 THEN 'Review' "
+                     "WHEN 3 THEN 'OK' WHEN 4 THEN 'NULL' WHEN 5 THEN '' WHEN 6 THEN '?' END"),
+        6: _sql("s", "concat('user ', user_id % 7)"),
+        7: _sql("s", "IF(k % 11 = 3, '', props)"),
+        8: _sql("s", "IF(k % 5 = 0, 'late', NULL)"),
     }
-    cells = {col: F.when(~blank, cell) for col, cell in filled.items()}
-    cells[2] = F.when(blank & e("k % 100 = 9"), _text("")).otherwise(cells[2])
+    cells = {col: f"IF({blank}, NULL, {cell})" for col, cell in filled.items()}
+    empty = _sql("s", "''")
+    cells[2] = f"IF({blank}, IF(k % 100 = 9, {empty}, NULL), {filled[2]})"
     sheets = rows.select(*ADDRESS).distinct()
     header = {(1, 1): "Event log", **{(3, c): label for c, label in enumerate(FLAT_LABELS, 1)}}
     return _union(_spread(rows, cells), _header(sheets, header), _marker(sheets))
@@ -294,29 +263,31 @@ def parts_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("sheet_pos"),
         F.expr(f"cast(k % {PARTS_PER_SHEET} as int)").alias("n"),
     ).withColumn("sheet", F.expr("concat('S', sheet_pos)"))
+    base = _by_sheet(base)
 
-    def at(pos: int, first_row: int, cells: dict[int, Column]) -> DataFrame:
+    def at(pos: int, first_row: int, cells: dict[int, str]) -> DataFrame:
         rows = base.where(F.col("sheet_pos") == pos).withColumn("row", F.col("n") + first_row)
         return _spread(rows, cells)
 
     sheets = base.select(*ADDRESS).distinct()
-    serial, name = _integer(F.col("k")), _text(F.col("p_name"))
-    long_text = _text(F.concat_ws(" ", "p_name", "p_brand", "p_type", F.lit("made to drawing")))
+    serial, name = _sql("n", "string(k)", num="k"), _sql("s", "p_name")
+    price = _sql("n", "string(p_retailprice)", num="p_retailprice")
+    long_text = _sql("s", "concat_ws(' ', p_name, p_brand, p_type, 'made to drawing')")
     no_rt = {k: v for k, v in _band_header(ODD_BAND).items() if k[0] != 5 or k[1] == 1}
     empty = (sheets.select("workbook").distinct()
              .select("workbook", F.lit("Empty").alias("sheet"),
                      F.lit(SHEETS_PER_PART_BOOK + 1).alias("sheet_pos")))
     return _union(
         at(1, 1, {1: name}),
-        at(2, DATA_ROW, {1: serial, 12: _number(F.col("p_retailprice"))}),
+        at(2, DATA_ROW, {1: serial, 12: price}),
         _header(sheets.where("sheet_pos = 2"),
                 {(5, 1): "RT", (5, 12): 0.5, (9, 1): "Specification"}),
         at(3, 1, {c: long_text for c in range(1, 6)}),
-        at(4, 8, {1: name, 2: _text(F.col("p_brand"))}),
+        at(4, 8, {1: name, 2: _sql("s", "p_brand")}),
         _header(sheets.where("sheet_pos = 4"),
                 {(1, 1): "name", (1, 2): "brand", (1, 3): "type", (1, 4): "size",
                  (1, 13): "a remark that is far too long for a label"}),
-        at(5, DATA_ROW, {1: serial, 12: _number(F.col("p_retailprice"))}),
+        at(5, DATA_ROW, {1: serial, 12: price}),
         _header(sheets.where("sheet_pos = 5"), no_rt),
         _marker(sheets), _marker(empty))
 

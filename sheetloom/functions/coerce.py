@@ -1,25 +1,26 @@
 """Value coercion: every function yields struct<value, rule>.
 
 ``rule`` names the repair or rejection that fired, or is null.  Each text
-function has a ``*_cell`` twin that honours the type a spreadsheet cell had.
+function may have a ``*_cell`` twin that honours the type a spreadsheet cell had.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sheetloom.contracts import META_TYPES
-from sheetloom.functions.text import (
-    FLOAT_TEXT, BLANK_RUN, collapse, double_text, strip,
-)
+from sheetloom.functions.text import FLOAT_TEXT, collapse, double_text, strip
 
 # Fixed values, in the order in which they are tried where order matters.
 NULL_SENTINELS = ["null", "?", "n/a", "na", "--", "-", "none"]
 PASS_TOKENS = ["ok", "pass", "passed", "yes", "y", "true", "complies", "complied"]
 FAIL_TOKENS = ["fail", "failed", "no", "n", "false", "out of spec", "oos"]
 
-# A guard per pattern keeps the accepted texts at strptime's widths (two digits
-# for a day, four for a year) and keeps the parser from failing row by row.
+# A text is parsed by the first pattern whose shape it has; no text that fails
+# there would parse by a later one.  The shapes keep to strptime's widths (two
+# digits for a day, four for a year).
 _D = r"(3[01]|[12]\d|0?[1-9])"
 _M = r"(1[0-2]|0?[1-9])"
 _Y = r"\d{4}"
@@ -39,7 +40,7 @@ DATE_FORMATS = [
     ("d-MMM-yyyy", f"^{_D}-{_MON}-{_Y}$"),
     ("d-MMMM-yyyy", f"^{_D}-{_MONTH}-{_Y}$"),
 ]
-STANDARD_DATE_FORMATS = 2   # the first two need no repair note
+STANDARD_DATE = f"^{_Y}[-/]"     # year first: needs no repair note
 
 _H24 = r"(2[0-3]|[01]?\d)"
 _H12 = r"(1[0-2]|0?[1-9])"
@@ -52,6 +53,50 @@ TIME_FORMATS = [
 ]
 
 
+@dataclass
+class Text:
+    """A text with its usual forms.
+
+    ``of`` spells the forms out inside one expression.  On hot paths they are
+    columns made by :func:`with_texts`, so that each is computed once per row and
+    the code generated for a row stays small enough to be compiled.
+    """
+
+    raw: Column
+    stripped: Column
+    lowered: Column
+    flat: Column       # inner whitespace collapsed
+
+    @classmethod
+    def of(cls, raw: Column) -> Text:
+        s = strip(raw)
+        return cls(raw, s, F.lower(s), collapse(s))
+
+    @classmethod
+    def column(cls, raw: Column, name: str) -> Text:
+        return cls(raw, F.col(f"{name}_stripped"), F.col(f"{name}_lowered"), F.col(f"{name}_flat"))
+
+    @property
+    def blank(self) -> Column:
+        return self.raw.isNull() | (self.stripped == "")
+
+    @property
+    def sentinel(self) -> Column:
+        return self.lowered.isin(NULL_SENTINELS)
+
+
+def with_texts(df: DataFrame, raws: dict[str, Column]) -> DataFrame:
+    """Add the columns that :meth:`Text.column` refers to."""
+    stripped = df.withColumns({f"{n}_stripped": strip(raw) for n, raw in raws.items()})
+    return stripped.withColumns({
+        **{f"{n}_lowered": F.lower(f"{n}_stripped") for n in raws},
+        **{f"{n}_flat": collapse(F.col(f"{n}_stripped")) for n in raws}})
+
+
+def _text(value: Column | Text) -> Text:
+    return value if isinstance(value, Text) else Text.of(value)
+
+
 def _result(value: Column, rule: Column) -> Column:
     return F.named_struct(F.lit("value"), value, F.lit("rule"), rule)
 
@@ -60,106 +105,100 @@ def _no_rule() -> Column:
     return F.lit(None).cast("string")
 
 
-def _is_sentinel(stripped: Column) -> Column:
-    return F.lower(stripped).isin(NULL_SENTINELS)
+def _parse(flat: Column, formats: list[tuple[str, str]]) -> Column:
+    pattern = None
+    for form, shape in formats:
+        hit = flat.rlike(shape)
+        pattern = F.when(hit, form) if pattern is None else pattern.when(hit, form)
+    return F.try_to_timestamp(flat, pattern)
+
+
+def _parse_float(stripped: Column) -> Column:
+    return F.when(stripped.rlike(FLOAT_TEXT),
+                  F.replace(stripped, F.lit("_"), F.lit("")).try_cast("double"))
 
 
-def coerce_str(text: Column) -> Column:
-    s = strip(text)
-    value = F.when((s != "") & ~_is_sentinel(s), s)
-    rule = (F.when(text.isNull() | (s == ""), _no_rule())
-            .when(_is_sentinel(s), "null_sentinel")
-            .when(s != text, "whitespace"))
+def coerce_str(text: Column | Text) -> Column:
+    t = _text(text)
+    value = F.when((t.stripped != "") & ~t.sentinel, t.stripped)
+    rule = (F.when(t.blank, _no_rule()).when(t.sentinel, "null_sentinel")
+            .when(t.stripped != t.raw, "whitespace"))
     return _result(value, rule)
 
 
-def coerce_appearance(text: Column) -> Column:
-    base = coerce_str(text)
-    cleaned = base["value"]
+def coerce_appearance(text: Column | Text) -> Column:
+    t = _text(text)
 
     def recase(word: Column) -> Column:
         one_case = (word == F.lower(word)) | (word == F.upper(word))
         return F.when(one_case, F.concat(F.upper(F.substring(word, 1, 1)),
                                          F.lower(F.substr(word, F.lit(2))))).otherwise(word)
 
-    titled = F.array_join(F.transform(F.split(cleaned, BLANK_RUN), recase), " ")
-    rule = F.coalesce(base["rule"], F.when(titled != cleaned, F.lit("case_variant")))
-    return _result(titled, rule)
-
-
-def coerce_pass_fail(text: Column) -> Column:
-    base = coerce_str(text)
-    token = F.lower(base["value"])
-    value = F.when(token.isin(PASS_TOKENS), True).when(token.isin(FAIL_TOKENS), False)
-    rule = F.when(token.isNotNull() & value.isNull(), "unrecognized_token").otherwise(base["rule"])
+    titled = F.array_join(F.transform(F.split(t.flat, " "), recase), " ")
+    value = F.when((t.stripped != "") & ~t.sentinel, titled)
+    rule = (F.when(t.blank, _no_rule()).when(t.sentinel, "null_sentinel")
+            .when(t.stripped != t.raw, "whitespace")
+            .when(titled != t.stripped, "case_variant"))
     return _result(value, rule)
 
 
-def coerce_date(text: Column) -> Column:
-    s = strip(text)
-    flat = collapse(s)
+def coerce_pass_fail(text: Column | Text) -> Column:
+    t = _text(text)
+    value = F.when(t.lowered.isin(PASS_TOKENS), True).when(t.lowered.isin(FAIL_TOKENS), False)
+    rule = (F.when(t.blank, _no_rule()).when(t.sentinel, "null_sentinel")
+            .when(~t.lowered.isin(PASS_TOKENS + FAIL_TOKENS), "unrecognized_token")
+            .when(t.stripped != t.raw, "whitespace"))
+    return _result(value, rule)
 
-    def attempt(formats):
-        return [F.when(flat.rlike(guard), F.try_to_timestamp(flat, F.lit(pattern)).cast("date"))
-                for pattern, guard in formats]
 
-    standard = F.coalesce(*attempt(DATE_FORMATS[:STANDARD_DATE_FORMATS]))
-    value = F.coalesce(*attempt(DATE_FORMATS))
-    usable = (s != "") & ~_is_sentinel(s)
-    rule = (F.when(text.isNull() | (s == ""), _no_rule())
-            .when(_is_sentinel(s), "null_sentinel")
+def coerce_date(text: Column | Text) -> Column:
+    t = _text(text)
+    value = _parse(t.flat, DATE_FORMATS).cast("date")
+    rule = (F.when(t.blank, _no_rule()).when(t.sentinel, "null_sentinel")
             .when(value.isNull(), "malformed_date")
-            .when(standard.isNull(), "non_standard_date"))
-    return _result(F.when(usable, value), rule)
+            .when(~t.flat.rlike(STANDARD_DATE), "non_standard_date"))
+    return _result(value, rule)
 
 
-def coerce_time(text: Column) -> Column:
-    s = strip(text)
-    flat = collapse(s)
-    parsed = F.coalesce(*[F.when(flat.rlike(guard), F.try_to_timestamp(flat, F.lit(pattern)))
-                          for pattern, guard in TIME_FORMATS])
-    value = F.date_format(parsed, "HH:mm:ss")
-    rule = F.when((s != "") & value.isNull(), "malformed_time")
+def coerce_time(text: Column | Text) -> Column:
+    t = _text(text)
+    value = F.date_format(_parse(t.flat, TIME_FORMATS), "HH:mm:ss")
+    rule = F.when((t.stripped != "") & value.isNull(), "malformed_time")
     return _result(value, rule)
 
 
-def coerce_float(text: Column) -> Column:
-    s = strip(text)
-    number = F.when(s.rlike(FLOAT_TEXT), F.replace(s, F.lit("_"), F.lit("")).try_cast("double"))
+def coerce_float(text: Column | Text) -> Column:
+    t = _text(text)
+    number = _parse_float(t.stripped)
     # NaN sorts above every number here, so it is never below zero, as in Python.
-    value = F.when(~_is_sentinel(s) & (number >= 0), number)
-    rule = (F.when(text.isNull() | (s == ""), _no_rule())
-            .when(_is_sentinel(s), "null_sentinel")
-            .when(number.isNull(), "non_numeric")
-            .when(number < 0, "negative_value")
-            .when(s != text, "whitespace"))
+    value = F.when(number >= 0, number)
+    rule = (F.when(t.blank, _no_rule()).when(t.sentinel, "null_sentinel")
+            .when(number.isNull(), "non_numeric").when(number < 0, "negative_value")
+            .when(t.stripped != t.raw, "whitespace"))
     return _result(value, rule)
 
 
 # --- twins over cell structs -------------------------------------------------
 
-def coerce_date_cell(cell: Column) -> Column:
+def coerce_date_cell(cell: Column, text: Text | None = None) -> Column:
     native = cell["kind"].isin("d", "dt")
-    parsed = coerce_date(cell["raw"])
+    parsed = coerce_date(text or cell["raw"])
     return _result(F.when(native, cell["dt"].cast("date")).otherwise(parsed["value"]),
                    F.when(native, _no_rule()).otherwise(parsed["rule"]))
 
 
-def coerce_time_cell(cell: Column) -> Column:
-    fraction = F.date_format(cell["dt"], "SSSSSS") != "000000"
-    clock = (F.when(fraction, F.date_format(cell["dt"], "HH:mm:ss.SSSSSS"))
-             .otherwise(F.date_format(cell["dt"], "HH:mm:ss")))
-    native = cell["kind"].isin("t", "dt")
-    parsed = coerce_time(cell["raw"])
+def coerce_time_cell(cell: Column, text: Text | None = None) -> Column:
+    clock = F.regexp_replace(F.date_format(cell["dt"], "HH:mm:ss.SSSSSS"), r"\.000000$", "")
+    parsed = coerce_time(text or cell["raw"])
     return _result(
         F.when(cell["kind"] == "t", cell["tm"]).when(cell["kind"] == "dt", clock)
         .otherwise(parsed["value"]),
-        F.when(native, _no_rule()).otherwise(parsed["rule"]))
+        F.when(cell["kind"].isin("t", "dt"), _no_rule()).otherwise(parsed["rule"]))
 
 
-def coerce_float_cell(cell: Column) -> Column:
+def coerce_float_cell(cell: Column, text: Text | None = None) -> Column:
     kind, num = cell["kind"], cell["num"]
-    parsed = coerce_float(cell["raw"])
+    parsed = coerce_float(text or cell["raw"])
     return _result(
         F.when(kind == "n", F.when(num >= 0, num)).when(kind == "b", F.lit(None).cast("double"))
         .otherwise(parsed["value"]),
@@ -167,39 +206,46 @@ def coerce_float_cell(cell: Column) -> Column:
         .otherwise(parsed["rule"]))
 
 
+def _as_text(coercion):
+    return lambda cell, text=None: coercion(text or cell["raw"])
+
+
 # Which coercion a canonical row-level field gets (fixed values); any other
 # name, as a model may propose, is plain text.
 META_COERCIONS = {
     "sample_date": coerce_date_cell,
     "sample_time": coerce_time_cell,
     "report_time": coerce_time_cell,
-    "batch_no": lambda cell: coerce_str(cell["raw"]),
-    "instrument_id": lambda cell: coerce_str(cell["raw"]),
-    "stage": lambda cell: coerce_str(cell["raw"]),
-    "sample_form": lambda cell: coerce_str(cell["raw"]),
-    "appearance": lambda cell: coerce_appearance(cell["raw"]),
-    "appearance_solution": lambda cell: coerce_pass_fail(cell["raw"]),
+    "batch_no": _as_text(coerce_str),
+    "instrument_id": _as_text(coerce_str),
+    "stage": _as_text(coerce_str),
+    "sample_form": _as_text(coerce_str),
+    "appearance": _as_text(coerce_appearance),
+    "appearance_solution": _as_text(coerce_pass_fail),
 }
 
 
-def coerce_meta_cell(cell: Column, canonical: Column) -> Column:
-    """Coerce by canonical name; the value comes back as audit text."""
-    plain = coerce_str(cell["raw"])
-    value, rule = plain["value"], plain["rule"]
-    special = {"date": coerce_date_cell(cell), "time": coerce_time_cell(cell),
-               "title": coerce_appearance(cell["raw"]), "verdict": coerce_pass_fail(cell["raw"])}
-    names = {"date": ["sample_date"], "time": ["sample_time", "report_time"],
-             "title": ["appearance"], "verdict": ["appearance_solution"]}
-    for family, outcome in special.items():
-        text = (bool_text(outcome["value"]) if family == "verdict"
-                else outcome["value"].cast("string"))
-        value = F.when(canonical.isin(names[family]), text).otherwise(value)
-        rule = F.when(canonical.isin(names[family]), outcome["rule"]).otherwise(rule)
-    return _result(value, rule)
-
-
-def bool_text(flag: Column) -> Column:
-    return F.when(flag, "True").when(~flag, "False")
+def by_family(canonical: Column, outcome) -> Column:
+    """``outcome`` of the coercion that a canonical name calls for."""
+    families = [
+        (["sample_date"], coerce_date_cell),
+        (["sample_time", "report_time"], coerce_time_cell),
+        (["appearance"], META_COERCIONS["appearance"]),
+        (["appearance_solution"], META_COERCIONS["appearance_solution"]),
+    ]
+    chosen = None
+    for names, coercion in families:
+        hit = canonical.isin(names)
+        value = outcome(coercion)
+        chosen = F.when(hit, value) if chosen is None else chosen.when(hit, value)
+    return chosen.otherwise(outcome(_as_text(coerce_str)))
+
+
+def audit_text(value: Column, coercion) -> Column:
+    """A coerced value as the quality log shows it."""
+    if coercion is META_COERCIONS["appearance_solution"]:
+        return F.when(value, "True").when(~value, "False")
+    return value.cast("string")
 
 
 # --- verdicts and small composites ---------------------------------------------

@@ -16,8 +16,8 @@ from sheetloom.contracts import (
     OBSERVATION_KEY,
 )
 from sheetloom.functions.coerce import (
-    META_COERCIONS, clarity_text, coerce_float_cell, coerce_meta_cell, coerce_str, compose_unit,
-    evaluate_pass, spec_limits,
+    META_COERCIONS, Text, audit_text, by_family, clarity_text, coerce_float_cell, coerce_str,
+    compose_unit, evaluate_pass, spec_limits, with_texts,
 )
 from sheetloom.functions.text import double_text, quoted
 from sheetloom.operators.profile import block_of, is_numeric
@@ -116,25 +116,34 @@ def data_rows(planned: DataFrame) -> DataFrame:
     )
 
 
-def _meta_columns() -> list[Column]:
-    return [META_COERCIONS[c](F.col("cells")[F.col(f"col_{c}")])["value"].alias(c)
-            for c in META_TYPES]
+def _with_meta(rows: DataFrame, *kept: str) -> DataFrame:
+    """Coerce the row-level fields, once per row.
+
+    Looking cells up, stripping texts and coercing are separate projections: each
+    step is computed once, and none grows too large to be compiled.
+    """
+    looked_up = rows.select(*SHEET, "row", "row_seq", *kept, *[
+        F.col("cells")[F.col(f"col_{c}")].alias(f"{c}_cell") for c in META_TYPES])
+    texts = with_texts(looked_up, {c: F.col(f"{c}_cell")["raw"] for c in META_TYPES})
+    return texts.select(*SHEET, "row", "row_seq", *kept, *[
+        META_COERCIONS[c](F.col(f"{c}_cell"), Text.column(F.col(f"{c}_cell")["raw"], c))["value"]
+        .alias(c) for c in META_TYPES])
 
 
 def row_meta(rows: DataFrame) -> DataFrame:
     """Row-level fields of every data row, one column per canonical field."""
-    return rows.select(*SHEET, "row", "row_seq", *_meta_columns())
+    return _with_meta(rows)
 
 
 def observations(rows: DataFrame) -> DataFrame:
     """One row per data row and measured column, empty cells included."""
-    opened = rows.select(*SHEET, "row", "row_seq", *_meta_columns(), "cells",
-                         F.explode("analytes").alias("a"))
-    a = F.col("a")
-    read = opened.withColumn("cell", F.col("cells")[a["column_index"]])
-    value = coerce_float_cell(F.col("cell"))["value"]
-    valued = read.withColumn("value", value)
-    return valued.select(
+    opened = _with_meta(rows, "cells", "analytes").select(
+        *SHEET, "row", "row_seq", *META_TYPES, "cells", F.explode("analytes").alias("a"))
+    a, cell = F.col("a"), F.col("cell")
+    read = opened.withColumn("cell", F.col("cells")[a["column_index"]]).drop("cells")
+    texts = with_texts(read, {"cell": F.when(cell["kind"] != "n", cell["raw"])})
+    value = coerce_float_cell(cell, Text.column(cell["raw"], "cell"))["value"]
+    return texts.withColumn("value", value).select(
         *SHEET, "row_seq",
         *[F.col(c) for c in META_TYPES if c != "appearance_solution"],
         clarity_text(F.col("appearance_solution")).alias("appearance_solution"),
@@ -143,7 +152,7 @@ def observations(rows: DataFrame) -> DataFrame:
         *[a[n].alias(n) for n in ("spec_min", "spec_max", "spec_internal_min",
                                   "spec_internal_max")],
         evaluate_pass(F.col("value"), a["spec_min"], a["spec_max"]).alias("pass"),
-        F.col("cell")["raw"].alias("raw_value"),
+        cell["raw"].alias("raw_value"),
         a["confidence"].alias("mapping_confidence"),
         "row", a["column_index"].alias("column_index"),
     ).select(*OBSERVATION_COLUMNS, *OBSERVATION_KEY)
@@ -175,7 +184,6 @@ def standard_issues(rows: DataFrame) -> DataFrame:
     Both sorts of column are opened in one explode, so that the packed rows are
     read once.
     """
-    empty = F.lit(None).cast("string")
     meta = F.transform("metas", lambda m: F.struct(
         m["column_index"].alias("column_index"), F.lit(False).alias("measured"),
         m["label"].alias("label"), m["canonical"].alias("canonical")))
@@ -183,18 +191,26 @@ def standard_issues(rows: DataFrame) -> DataFrame:
         a["column_index"].alias("column_index"), F.lit(True).alias("measured"),
         a["label"].alias("label"), a["canonical"].alias("canonical")))
     opened = _open_cells(rows.withColumn("all_columns", F.concat(meta, measured)), "all_columns")
-    cell, is_measured = F.col("cell"), F.col("e.measured")
-    number, field = coerce_float_cell(cell), coerce_meta_cell(cell, F.col("e.canonical"))
-    rule = F.when(is_measured, number["rule"]).otherwise(field["rule"])
-    repaired = F.when(is_measured, double_text(number["value"])).otherwise(field["value"])
+    cell, is_measured, canonical = F.col("cell"), F.col("e.measured"), F.col("e.canonical")
+    # A non-negative number in a measured column and a native date or time fire nothing.
+    quiet = F.when(is_measured, (cell["kind"] == "n") & (cell["num"] >= 0)).otherwise(
+        F.when(canonical == "sample_date", cell["kind"].isin("d", "dt"))
+        .when(canonical.isin("sample_time", "report_time"), cell["kind"].isin("t", "dt"))
+        .otherwise(False))
+    texts = with_texts(opened.where(~quiet), {"cell": cell["raw"]})
+    text = Text.column(cell["raw"], "cell")
+    rule = F.when(is_measured, coerce_float_cell(cell, text)["rule"]).otherwise(
+        by_family(canonical, lambda coercion: coercion(cell, text)["rule"]))
+    repaired = F.when(is_measured, double_text(coerce_float_cell(cell, text)["value"])).otherwise(
+        by_family(canonical, lambda coercion: audit_text(coercion(cell, text)["value"], coercion)))
     warns = F.when(is_measured, F.col("rule").isin("negative_value", "non_numeric")).otherwise(
         F.col("rule").startswith("malformed"))
     return _issues(
-        opened, rule,
-        column=F.when(is_measured, F.col("e.label")).otherwise(F.col("e.canonical")),
+        texts, rule,
+        column=F.when(is_measured, F.col("e.label")).otherwise(canonical),
         severity=F.when(warns, "warning").otherwise("info"),
-        repaired=F.coalesce(repaired, empty),
-        note=F.when(is_measured, F.concat(F.lit("analyte="), F.coalesce("e.canonical", F.lit("None"))))
+        repaired=repaired,
+        note=F.when(is_measured, F.concat(F.lit("analyte="), F.coalesce(canonical, F.lit("None"))))
         .otherwise(F.concat(F.lit("raw label was "), quoted(F.col("e.label")))))
 
 

@@ -6,6 +6,7 @@ On a cluster the session is the caller's: nothing here is applied to it.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,8 @@ def local_session(cores: int | str = "*", *, app: str = "sheetloom",
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        # call sites of every Column operation: costs more than planning does
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
@@ -37,6 +40,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage through the reliable checkpoint folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Store a result as a table in the checkpoint folder and go on from there.
+
+    That cuts the lineage, survives lost executors, and gives the planner the true
+    size of the result to choose join strategies by.
+    """
+    folder = f"{shared_folder(df.sparkSession)}/sheetloom-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
