@@ -23,7 +23,7 @@ FAIL_TOKENS = ["fail", "failed", "no", "n", "false", "out of spec", "oos"]
 # digits for a day, four for a year).
 _D = r"(3[01]|[12]\d|0?[1-9])"
 _M = r"(1[0-2]|0?[1-9])"
-_Y = r"\d{4}"
+_Y = r"(?!0000)\d{4}"
 _MON = r"[A-Za-z]{3}"
 _MONTH = r"[A-Za-z]{3,9}"
 DATE_FORMATS = [
