@@ -10,6 +10,7 @@ from __future__ import annotations
 import io
 import posixpath
 import re
+import sys
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, time, timedelta
@@ -17,10 +18,14 @@ from urllib.parse import unquote, urlparse
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from sheetloom.contracts import CELLS, MARKER_KIND
 
+# The decoder travels with the task: executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BATCH = 50_000
 COLUMNS = [f.name for f in CELLS.fields]
 
