@@ -55,9 +55,9 @@ TIME_FORMATS = [
 
 @dataclass
 class Text:
-    """A text with its usual forms.
+    """A text with its usual forms and readings.
 
-    ``of`` spells the forms out inside one expression.  On hot paths they are
+    ``of`` spells everything out inside one expression.  On hot paths the parts are
     columns made by :func:`with_texts`, so that each is computed once per row and
     the code generated for a row stays small enough to be compiled.
     """
@@ -65,16 +65,23 @@ class Text:
     raw: Column
     stripped: Column
     lowered: Column
-    flat: Column       # inner whitespace collapsed
+    flat: Column              # inner whitespace collapsed
+    date: Column | None = None
+    time: Column | None = None
+    number: Column | None = None
+    titled: Column | None = None
 
     @classmethod
     def of(cls, raw: Column) -> Text:
         s = strip(raw)
-        return cls(raw, s, F.lower(s), collapse(s))
+        flat = collapse(s)
+        return cls(raw, s, F.lower(s), flat,
+                   **{name: read(s, flat) for name, read in READINGS.items()})
 
     @classmethod
     def column(cls, raw: Column, name: str) -> Text:
-        return cls(raw, F.col(f"{name}_stripped"), F.col(f"{name}_lowered"), F.col(f"{name}_flat"))
+        return cls(raw, *[F.col(f"{name}_{part}") for part in ("stripped", "lowered", "flat")],
+                   **{reading: F.col(f"{name}_{reading}") for reading in READINGS})
 
     @property
     def blank(self) -> Column:
@@ -85,12 +92,20 @@ class Text:
         return self.lowered.isin(NULL_SENTINELS)
 
 
-def with_texts(df: DataFrame, raws: dict[str, Column]) -> DataFrame:
-    """Add the columns that :meth:`Text.column` refers to."""
-    stripped = df.withColumns({f"{n}_stripped": strip(raw) for n, raw in raws.items()})
-    return stripped.withColumns({
-        **{f"{n}_lowered": F.lower(f"{n}_stripped") for n in raws},
-        **{f"{n}_flat": collapse(F.col(f"{n}_stripped")) for n in raws}})
+def with_texts(df: DataFrame, texts: dict[str, tuple[Column, dict[str, Column]]]) -> DataFrame:
+    """Add the columns that :meth:`Text.column` refers to.
+
+    ``texts`` gives for each name the raw text and the readings that are wanted of
+    it, each with the condition under which it is.
+    """
+    stripped = df.withColumns({f"{n}_stripped": strip(raw) for n, (raw, _) in texts.items()})
+    formed = stripped.withColumns({
+        **{f"{n}_lowered": F.lower(f"{n}_stripped") for n in texts},
+        **{f"{n}_flat": collapse(F.col(f"{n}_stripped")) for n in texts}})
+    return formed.withColumns({
+        f"{n}_{reading}": F.when(wanted, READINGS[reading](F.col(f"{n}_stripped"),
+                                                           F.col(f"{n}_flat")))
+        for n, (_, readings) in texts.items() for reading, wanted in readings.items()})
 
 
 def _text(value: Column | Text) -> Text:
@@ -113,11 +128,29 @@ def _parse(flat: Column, formats: list[tuple[str, str]]) -> Column:
     return F.try_to_timestamp(flat, pattern)
 
 
-def _parse_float(stripped: Column) -> Column:
+def _read_number(stripped: Column, flat: Column) -> Column:
     return F.when(stripped.rlike(FLOAT_TEXT),
                   F.replace(stripped, F.lit("_"), F.lit("")).try_cast("double"))
 
 
+def _read_title(stripped: Column, flat: Column) -> Column:
+    """Words in one case capitalised, words in mixed case kept."""
+    def recase(word: Column) -> Column:
+        one_case = (word == F.lower(word)) | (word == F.upper(word))
+        return F.when(one_case, F.concat(F.upper(F.substring(word, 1, 1)),
+                                         F.lower(F.substr(word, F.lit(2))))).otherwise(word)
+
+    return F.array_join(F.transform(F.split(flat, " "), recase), " ")
+
+
+READINGS = {
+    "date": lambda stripped, flat: _parse(flat, DATE_FORMATS).cast("date"),
+    "time": lambda stripped, flat: F.date_format(_parse(flat, TIME_FORMATS), "HH:mm:ss"),
+    "number": _read_number,
+    "titled": _read_title,
+}
+
+
 def coerce_str(text: Column | Text) -> Column:
     t = _text(text)
     value = F.when((t.stripped != "") & ~t.sentinel, t.stripped)
@@ -128,17 +161,10 @@ def coerce_str(text: Column | Text) -> Column:
 
 def coerce_appearance(text: Column | Text) -> Column:
     t = _text(text)
-
-    def recase(word: Column) -> Column:
-        one_case = (word == F.lower(word)) | (word == F.upper(word))
-        return F.when(one_case, F.concat(F.upper(F.substring(word, 1, 1)),
-                                         F.lower(F.substr(word, F.lit(2))))).otherwise(word)
-
-    titled = F.array_join(F.transform(F.split(t.flat, " "), recase), " ")
-    value = F.when((t.stripped != "") & ~t.sentinel, titled)
+    value = F.when((t.stripped != "") & ~t.sentinel, t.titled)
     rule = (F.when(t.blank, _no_rule()).when(t.sentinel, "null_sentinel")
             .when(t.stripped != t.raw, "whitespace")
-            .when(titled != t.stripped, "case_variant"))
+            .when(t.titled != t.stripped, "case_variant"))
     return _result(value, rule)
 
 
@@ -153,23 +179,21 @@ def coerce_pass_fail(text: Column | Text) -> Column:
 
 def coerce_date(text: Column | Text) -> Column:
     t = _text(text)
-    value = _parse(t.flat, DATE_FORMATS).cast("date")
     rule = (F.when(t.blank, _no_rule()).when(t.sentinel, "null_sentinel")
-            .when(value.isNull(), "malformed_date")
+            .when(t.date.isNull(), "malformed_date")
             .when(~t.flat.rlike(STANDARD_DATE), "non_standard_date"))
-    return _result(value, rule)
+    return _result(t.date, rule)
 
 
 def coerce_time(text: Column | Text) -> Column:
     t = _text(text)
-    value = F.date_format(_parse(t.flat, TIME_FORMATS), "HH:mm:ss")
-    rule = F.when((t.stripped != "") & value.isNull(), "malformed_time")
-    return _result(value, rule)
+    rule = F.when((t.stripped != "") & t.time.isNull(), "malformed_time")
+    return _result(t.time, rule)
 
 
 def coerce_float(text: Column | Text) -> Column:
     t = _text(text)
-    number = _parse_float(t.stripped)
+    number = t.number
     # NaN sorts above every number here, so it is never below zero, as in Python.
     value = F.when(number >= 0, number)
     rule = (F.when(t.blank, _no_rule()).when(t.sentinel, "null_sentinel")

@@ -124,7 +124,14 @@ def _with_meta(rows: DataFrame, *kept: str) -> DataFrame:
     """
     looked_up = rows.select(*SHEET, "row", "row_seq", *kept, *[
         F.col("cells")[F.col(f"col_{c}")].alias(f"{c}_cell") for c in META_TYPES])
-    texts = with_texts(looked_up, {c: F.col(f"{c}_cell")["raw"] for c in META_TYPES})
+    native = F.col("sample_date_cell")["kind"].isin("d", "dt")
+    readings = {
+        "sample_date": {"date": ~native},
+        **{c: {"time": ~F.col(f"{c}_cell")["kind"].isin("t", "dt")}
+           for c in ("sample_time", "report_time")},
+        "appearance": {"titled": F.lit(True)}}
+    texts = with_texts(looked_up, {c: (F.col(f"{c}_cell")["raw"], readings.get(c, {}))
+                                   for c in META_TYPES})
     return texts.select(*SHEET, "row", "row_seq", *kept, *[
         META_COERCIONS[c](F.col(f"{c}_cell"), Text.column(F.col(f"{c}_cell")["raw"], c))["value"]
         .alias(c) for c in META_TYPES])
@@ -141,7 +148,8 @@ def observations(rows: DataFrame) -> DataFrame:
         *SHEET, "row", "row_seq", *META_TYPES, "cells", F.explode("analytes").alias("a"))
     a, cell = F.col("a"), F.col("cell")
     read = opened.withColumn("cell", F.col("cells")[a["column_index"]]).drop("cells")
-    texts = with_texts(read, {"cell": F.when(cell["kind"] != "n", cell["raw"])})
+    texts = with_texts(read, {"cell": (F.when(cell["kind"] != "n", cell["raw"]),
+                                       {"number": cell["kind"] != "n"})})
     value = coerce_float_cell(cell, Text.column(cell["raw"], "cell"))["value"]
     return texts.withColumn("value", value).select(
         *SHEET, "row_seq",
@@ -160,12 +168,17 @@ def observations(rows: DataFrame) -> DataFrame:
 
 def _issues(opened: DataFrame, rule: Column, *, column: Column, severity: Column,
             repaired: Column, note: Column) -> DataFrame:
-    return (
-        opened.withColumn("rule", rule).where(F.col("rule").isNotNull())
-        .select(*SHEET, "row_seq", column.alias("column"), "rule", severity.alias("severity"),
-                F.col("cell")["raw"].alias("raw_value"), repaired.alias("repaired_value"),
-                note.alias("note"), "row", "column_index")
-    )
+    """Rows of the quality log for the cells whose rule fired.
+
+    A filter on a computed column would be moved below the projections that compute
+    it, repeating all of them in one condition; it stays behind an explode.
+    """
+    kept = [c for c in opened.columns if c != "cells"]
+    judged = opened.select(*kept, F.explode(F.array(rule)).alias("rule"))
+    return judged.where(F.col("rule").isNotNull()).select(
+        *SHEET, "row_seq", column.alias("column"), "rule", severity.alias("severity"),
+        F.col("cell")["raw"].alias("raw_value"), repaired.alias("repaired_value"),
+        note.alias("note"), "row", "column_index")
 
 
 def _open_cells(rows: DataFrame, entries: str) -> DataFrame:
@@ -197,7 +210,11 @@ def standard_issues(rows: DataFrame) -> DataFrame:
         F.when(canonical == "sample_date", cell["kind"].isin("d", "dt"))
         .when(canonical.isin("sample_time", "report_time"), cell["kind"].isin("t", "dt"))
         .otherwise(False))
-    texts = with_texts(opened.where(~quiet), {"cell": cell["raw"]})
+    texts = with_texts(opened.where(~quiet), {"cell": (cell["raw"], {
+        "number": is_measured & (cell["kind"] != "n"),
+        "date": ~is_measured & (canonical == "sample_date"),
+        "time": ~is_measured & canonical.isin("sample_time", "report_time"),
+        "titled": ~is_measured & (canonical == "appearance")})})
     text = Text.column(cell["raw"], "cell")
     rule = F.when(is_measured, coerce_float_cell(cell, text)["rule"]).otherwise(
         by_family(canonical, lambda coercion: coercion(cell, text)["rule"]))

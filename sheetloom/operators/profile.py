@@ -16,7 +16,7 @@ from sheetloom.contracts import (
     PROFILE_COLUMNS, SHEET_COLUMN_COLUMNS,
 )
 from sheetloom.functions.text import header_label, strict_double, text_or_null
-from sheetloom.session import durable
+from sheetloom.session import broadcast_if_small, durable
 
 SHEET = ["workbook", "sheet"]
 
@@ -220,7 +220,7 @@ def labelled_columns(cells: DataFrame, classified: DataFrame) -> DataFrame:
     header = cells.where((F.col("row") <= FLAT_ROWS) & (F.col("col") >= 1)
                          & text_or_null(F.col("raw")).isNotNull())
     return (
-        header.join(flat, SHEET)
+        header.join(broadcast_if_small(flat, classified), SHEET)
         .where(F.col("row") == F.col("header_row"))
         .groupBy(*SHEET)
         .agg(F.max("header_row").alias("header_row"), F.max("max_row").alias("max_row"),
@@ -240,7 +240,7 @@ def flat_extents(cells: DataFrame, classified: DataFrame) -> DataFrame:
     filled = (cells.where((F.col("col") >= 1) & (F.col("raw") != ""))
               .select(*SHEET, block_of(F.col("row")).alias("block"), "row", "col"))
     hits = (
-        filled.join(targets, [*SHEET, "block"])
+        filled.join(broadcast_if_small(targets, classified), [*SHEET, "block"])
         .where((F.col("row") > F.col("header_row")) & F.array_contains("columns", F.col("col")))
         .groupBy(*SHEET, "block", "row").agg(F.lit(1).alias("one"))
         .groupBy(*SHEET).agg(F.min("row").alias("flat_start"), F.count("*").alias("flat_rows"))
@@ -304,7 +304,7 @@ def sheet_columns(cells: DataFrame, profiles: DataFrame) -> DataFrame:
     values = _band_values()
     names = [name for name, _, _ in values]
     about = ["layout", "first_col", "last_col"]
-    found = header.join(wanted, SHEET).select(
+    found = header.join(broadcast_if_small(wanted, profiles), SHEET).select(
         *SHEET, *about, F.col("col").alias("column_index"),
         F.when(F.col("row") == F.col("field_label_row"), text_or_null(F.col("raw")))
         .alias("label"),

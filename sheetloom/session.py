@@ -8,7 +8,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+# Stored size up to which a result of `durable` is worth sending to every executor.
+BROADCAST_BYTES = 4 << 20
 
 
 def local_session(cores: int | str = "*", *, app: str = "sheetloom",
@@ -48,3 +51,13 @@ def durable(df: DataFrame) -> DataFrame:
     folder = f"{shared_folder(df.sparkSession)}/sheetloom-{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def broadcast_if_small(df: DataFrame, sized_by: DataFrame) -> DataFrame:
+    """Broadcast hint behind a size check.
+
+    ``sized_by`` is a stored table that bounds ``df`` (one row of it makes at most
+    a few of ``df``); beyond the limit the join is left to shuffle.
+    """
+    stored = sized_by._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(df) if int(str(stored)) <= BROADCAST_BYTES else df
