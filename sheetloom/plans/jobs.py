@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sheetloom.contracts import OBSERVATION_COLUMNS
 from sheetloom.operators.facts import published_issues
 from sheetloom.operators.responses import Responder
 from sheetloom.plans import gold
@@ -61,15 +60,14 @@ def run_gold(spark: SparkSession) -> dict[str, DataFrame]:
 
 
 def run_export(spark: SparkSession, folder: str, fmt: str = "parquet") -> None:
-    silver = {name: spark.table(f"silver.{name}")
-              for name in ("observations_long", "dq_issues", "column_mapping_log", "misc_rows")}
+    """Cleaned tables of every workbook, the facts as the gold layer publishes them."""
     tables = {
-        "observations": silver["observations_long"].select(*OBSERVATION_COLUMNS),
-        "dq_issues": published_issues(silver["dq_issues"]),
-        "column_mapping_log": silver["column_mapping_log"],
+        "observations": spark.table("gold.fact_observation"),
+        "dq_issues": published_issues(spark.table("silver.dq_issues")),
+        "column_mapping_log": spark.table("silver.column_mapping_log"),
     }
     if fmt != "csv":        # a map column has no CSV form
-        tables["misc"] = silver["misc_rows"]
+        tables["misc"] = spark.table("silver.misc_rows")
     export_workbooks(tables, folder, fmt)
 
 
