@@ -336,10 +336,10 @@ PASS_RATE = """SELECT workbook, sheet, batch_no, count(*) AS observations,
   round(avg(CASE WHEN pass THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 3) AS pass_rate
   FROM obs WHERE pass IS NOT NULL GROUP BY workbook, sheet, batch_no"""
 TREND = """SELECT analyte_canonical, sample_date, count(*) AS n_observations,
-  round(avg(value), 9) AS avg_value, max(value) AS max_value, min(spec_max) AS spec_max
+  round(avg(value) + 1e-11, 9) AS avg_value, max(value) AS max_value, min(spec_max) AS spec_max
   FROM obs WHERE sample_date IS NOT NULL GROUP BY analyte_canonical, sample_date"""
 VIOLATIONS = """SELECT analyte_canonical, workbook, sheet, count(*) AS violation_count,
-  round(avg(value), 9) AS avg_violating_value, round(avg(value - spec_max), 9) AS avg_overshoot
+  round(avg(value) + 1e-11, 9) AS avg_violating_value, round(avg(value - spec_max) + 1e-11, 9) AS avg_overshoot
   FROM obs WHERE NOT pass GROUP BY analyte_canonical, workbook, sheet"""
 
 
@@ -617,8 +617,8 @@ SELECT analyte_canonical, array_to_string(list_sort(list(DISTINCT analyte)), '|'
     AS raw_label_variants,
   coalesce(array_to_string(list_sort(list(DISTINCT unit) FILTER (unit IS NOT NULL)), '|'), '')
     AS units_seen,
-  round(avg(rt), 9) AS avg_rt, round(avg(rrt), 9) AS avg_rrt,
-  round(avg(spec_max), 9) AS avg_spec_max, round(avg(spec_min), 9) AS avg_spec_min
+  round(avg(rt) + 1e-11, 9) AS avg_rt, round(avg(rrt) + 1e-11, 9) AS avg_rrt,
+  round(avg(spec_max) + 1e-11, 9) AS avg_spec_max, round(avg(spec_min) + 1e-11, 9) AS avg_spec_min
 FROM obs GROUP BY analyte_canonical"""
 ORACLE["fact_observation"] = _with(*FACTS) + f" SELECT {FACT_FIELDS} FROM obs"
 ORACLE["mv_batch_pass_rate"] = _with(*FACTS) + " " + PASS_RATE

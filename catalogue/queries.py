@@ -409,8 +409,12 @@ def misc_wide(spark, sf_dir):
 # --- marts and reports ------------------------------------------------------------------
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
-    """Averages to nine digits: the order of summation is not fixed."""
-    return df.withColumns({c: F.round(c, 9) for c in columns})
+    """Averages to nine digits: the order of summation is not fixed.
+
+    The values have four decimals, so averages often end in a 5 at the tenth digit;
+    the nudge keeps such ties from rounding by the last bit of the sum.
+    """
+    return df.withColumns({c: F.round(F.col(c) + 1e-11, 9) for c in columns})
 
 
 @query
