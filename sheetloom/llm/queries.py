@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sheetloom.llm import chat, decontamination, embedding_dedup, packing, simhash_dedup, toxicity
+from sheetloom.llm import (
+    chat, decontamination, embedding_dedup, packing, simhash_dedup, toxicity, warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -98,3 +100,24 @@ SELECT e.vec_id, (SELECT count(*) FROM links WHERE links.x = e.vec_id)::BIGINT A
   r.component_id, e.vec_id = r.component_id AS kept
 FROM embeddings e JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) r ON r.x = e.vec_id
 """
+
+
+@query
+def op4_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op4_warc"] = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS sha FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY sha) AS last FROM p)
+SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      ((('0x' || substr(sha, 10 * (i // 8)::INT + 1, 10))::BIGINT >> (35 - 5 * (i % 8))::INT) & 31)::INT + 1, 1)), '')
+    AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id < last THEN last END AS refers_to
+FROM g
+"""
