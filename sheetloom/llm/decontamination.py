@@ -101,7 +101,8 @@ def _passages(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
     """
     wanted = items.select(F.explode("hashes").alias("h")).distinct()
     read = docs.select("doc_id", "text_key", words(F.col("text")).alias("w"))
-    spots = (read.select("doc_id", "text_key", F.posexplode(shingles(F.col("w"), width)).alias("at", "h"))
+    # outer: else the optimiser repeats the whole expression in a filter on the scan
+    spots = (read.select("doc_id", "text_key", F.posexplode_outer(shingles(F.col("w"), width)).alias("at", "h"))
              .join(wanted, "h", "left_semi"))
     hits = spots.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("at")).alias("hits"))
     sizes = [r[0] for r in items.select(F.size("hashes")).distinct().orderBy(F.size("hashes")).collect()]

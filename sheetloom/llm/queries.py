@@ -3,20 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from sheetloom.llm import (
-    chat, decontamination, embedding_dedup, packing, simhash_dedup, toxicity, warc,
+    chat, decontamination, embedding_dedup, licenses, packing, simhash_dedup, token_counts, toxicity,
+    warc,
 )
+from sheetloom.llm.shipping import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -121,3 +129,13 @@ SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes,
   CASE WHEN page_id < last THEN last END AS refers_to
 FROM g
 """
+
+
+@query
+def op7_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_token_counts(spark, sf_dir):
+    return token_counts.redacted_counts(table(spark, sf_dir, "documents"))

@@ -85,6 +85,14 @@ class WordTokens(dict):
         where = np.repeat(begins - ends[:-1], taken) + np.arange(ends[-1])
         return ids[where], ends[words.offsets.to_numpy().astype(np.int64)]
 
+    def counts(self, texts: list[str]) -> np.ndarray:
+        """The number of ids of each text."""
+        words = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        coded = words.flatten().dictionary_encode()
+        sizes = np.array([len(self[w]) >> 2 for w in coded.dictionary.to_pylist()], dtype=np.int64)
+        ends = np.concatenate([[0], np.cumsum(sizes[coded.indices.to_numpy(zero_copy_only=False)])])
+        return np.diff(ends[words.offsets.to_numpy().astype(np.int64)])
+
     def texts(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of each whole text, in order; a null text has none."""
         held, size = [], 0
