@@ -8,8 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from sheetloom.llm import (
-    chat, decontamination, embedding_dedup, licenses, packing, simhash_dedup, token_counts, toxicity,
-    warc,
+    chat, decontamination, embedding_dedup, html_text, licenses, packing, simhash_dedup,
+    token_counts, toxicity, warc,
 )
 from sheetloom.llm.shipping import ship
 
@@ -139,3 +139,8 @@ def op7_license_scan(spark, sf_dir):
 @query
 def op10_token_counts(spark, sf_dir):
     return token_counts.redacted_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_html_extraction(spark, sf_dir):
+    return html_text.extracted(table(spark, sf_dir, "pages"))
