@@ -25,9 +25,9 @@ from functools import lru_cache
 
 import ahocorasick
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-TRAIN_ROWS = 10_000       # labelled rows that a lexicon is fitted on, at most about
+TRAIN_ROWS = 8_000       # labelled rows that a lexicon is fitted on, at most about
 LEXICON_SIZE = 4_096      # entries of a lexicon
 MIN_DOCS = 3              # toxic texts that an entry needs
 MIN_EVIDENCE = 8          # half the sum of its toxic texts and their neighbour pairs
@@ -172,33 +172,40 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
             .select("doc_id", "text", "toxic"))
 
 
+def _entries(word: Column) -> list[Column]:
+    """The lexicon entries that a word could be covered by: itself and its stems (``stem*``)."""
+    return [word] + [F.when(F.length(word) > n, F.concat(F.left(word, F.lit(n)), F.lit("*")))
+                     for n in STEM_LENGTHS]
+
+
 def learn(training: DataFrame, size: int = LEXICON_SIZE) -> tuple[tuple[str, bool, float], ...]:
     """A lexicon of at most ``size`` entries, strongest first; empty without toxic rows.
 
-    ``training`` has doc_id, text, toxic.  A neighbour pair counts as toxic if no clean
-    text has it, and for the first document that has it.
+    ``training`` has doc_id, text, toxic.  In toxic texts a word counts for the first
+    document that has it after the same neighbour; in clean ones for every document.
     """
-    found = (training.select("doc_id", "toxic", F.split(F.lower("text"), r"[^\p{L}\p{N}]+").alias("w"))
-             .select("doc_id", "toxic", F.explode(F.arrays_zip(
+    words = training.select("doc_id", "toxic", F.filter(
+        F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda w: w != "").alias("w"))
+    pairs = (words.where("toxic = 1")
+             .select("doc_id", F.explode_outer(F.arrays_zip(
                  F.col("w").alias("word"),
                  F.concat(F.array(F.lit("")), F.col("w")).alias("before"))).alias("p"))
-             .where("p.word is not null and p.word != ''")
-             .groupBy("p.word", "p.before")
-             .agg(F.min("toxic").alias("toxic"), F.min_by("doc_id", F.struct("toxic", "doc_id")).alias("doc"))
-             .groupBy("word", "doc", "toxic").agg(F.count("*").alias("pairs")))
-    entries = [F.struct(F.col("word").alias("entry"), F.lit(False).alias("stem"))] + [
-        F.when(F.length("word") > n, F.struct(F.left("word", F.lit(n)).alias("entry"),
-                                              F.lit(True).alias("stem"))) for n in STEM_LENGTHS]
-    counted = (found.select("word", "doc", "toxic", "pairs", F.explode(F.array(*entries)).alias("e"))
-               .where("e is not null").select("e.*", "word", "doc", "toxic", "pairs")
-               .groupBy("entry", "stem", "doc", "toxic")
-               .agg(F.sum("pairs").alias("pairs"), F.approx_count_distinct("word").alias("words"))
-               .groupBy("entry", "stem")
-               .agg(F.sum("toxic").alias("hits"), F.sum(1 - F.col("toxic")).alias("clean"),
-                    F.sum(F.col("pairs") * F.col("toxic")).alias("pairs"), F.max("words").alias("words"))
-               .where(F.col("hits") >= MIN_DOCS)
-               .where(F.col("hits") + F.col("pairs") >= 2 * MIN_EVIDENCE)
-               .where(~F.col("stem") | (F.col("words") >= MIN_STEM_WORDS)))
+             .where("p.word is not null")
+             .groupBy("p.word", "p.before").agg(F.min("doc_id").alias("doc"))
+             .groupBy("word", "doc").agg(F.count("*").alias("pairs")))
+    toxic = (pairs.select("word", "doc", "pairs", F.explode_outer(F.array(*_entries(F.col("word")))).alias("e"))
+             .where("e is not null").groupBy("e", "doc")
+             .agg(F.sum("pairs").alias("pairs"), F.count("*").alias("words"))
+             .groupBy("e").agg(F.count("*").alias("hits"), F.sum("pairs").alias("pairs"), F.max("words").alias("words"))
+             .withColumn("stem", F.endswith("e", F.lit("*")))
+             .where((F.col("hits") >= MIN_DOCS) & (F.col("hits") + F.col("pairs") >= 2 * MIN_EVIDENCE)
+                    & (~F.col("stem") | (F.col("words") >= MIN_STEM_WORDS))))
+    clean = (words.where("toxic = 0").select(F.array_distinct("w").alias("w"))
+             .select(F.array_distinct(F.flatten(F.transform("w", lambda w: F.array(*_entries(w))))).alias("e"))
+             .select(F.explode_outer("e").alias("e")).where("e is not null")
+             .groupBy("e").agg(F.count("*").alias("clean")))
+    counted = (toxic.join(clean, "e", "left").withColumn("entry", F.rtrim("e", F.lit("*")))
+               .withColumn("clean", F.coalesce("clean", F.lit(0))))
     prior = training.agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).first()
     if not prior["toxic"]:
         return ()
