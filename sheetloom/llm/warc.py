@@ -148,15 +148,17 @@ class _Roller:
 def _writer(folder: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task = TaskContext.get()
-        roller, done = None, []
+        roller, noted, done = None, None, []
         for batch in batches:
-            for shard, key, url, html, digest, refers in batch.itertuples(index=False):
-                if roller is None or roller.shard != shard:
-                    done += [roller.close()] if roller else []
+            for shard, key, kind, url, html, digest, refers in batch.itertuples(index=False):
+                if roller is None:
                     roller = _Roller(folder, shard, f"{task.stageId()}-{task.taskAttemptId()}")
+                if kind == 0:
+                    noted = (key, int(refers))
+                    continue
                 payload = (html or "").encode("utf-8", "surrogatepass")
-                done.append(roller.write(record(int(key), url, payload, digest,
-                                                None if pd.isna(refers) else int(refers)), int(key)))
+                refers = noted[1] if noted and noted[0] == key else None
+                done.append(roller.write(record(int(key), url, payload, digest, refers), int(key)))
         done += [roller.close()] if roller else []
         done = [row for row in done if row]
         if done:
@@ -190,9 +192,13 @@ def write(records: DataFrame, folder: str) -> DataFrame:
     if cuts:
         starts = F.array(*[F.lit(c) for c in cuts])
         shard = F.size(F.filter(starts, lambda c: c <= F.col("id")))
-    ready = (rows.join(refers, "id", "left")
-             .select(shard.alias("shard"), "id", "url", "html", _base32(digests).alias("digest"), "refers")
-             .repartition(len(cuts) + 1, "shard").sortWithinPartitions("shard", "id"))
+    # what a record refers to comes as a row of its own just before it: one shuffle of the payloads
+    records_ = rows.select(shard.alias("shard"), "id", F.lit(1).alias("kind"), "url", "html",
+                           _base32(digests).alias("digest"), F.lit(None).cast("long").alias("refers"))
+    notes = refers.select(shard.alias("shard"), "id", F.lit(0).alias("kind"), *[
+        F.lit(None).cast("string").alias(c) for c in ("url", "html", "digest")], "refers")
+    ready = (records_.union(notes).repartitionById(len(cuts) + 1, F.col("shard").cast("int"))
+             .sortWithinPartitions("id", "kind"))
     schema = "file string, bytes long, records long, first_id long, last_id long, sha256 string"
     ready.mapInPandas(_writer(made), schema).write.parquet(f"{made}/manifest")
     return spark.read.schema(schema).parquet(f"{made}/manifest")
