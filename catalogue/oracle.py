@@ -387,11 +387,11 @@ SELECT event_id,
 FROM events"""
 
 ORACLE["coerce_date"] = """
-WITH t AS (SELECT o_orderkey, o_orderkey % 19 AS r, CAST(o_orderdate AS DATE) AS day FROM orders)
+WITH t AS (SELECT o_orderkey, o_orderkey % 22 AS r, CAST(o_orderdate AS DATE) AS day FROM orders)
 SELECT o_orderkey,
-  CASE WHEN r < 4 OR r BETWEEN 6 AND 11 OR r = 15 THEN day
+  CASE WHEN r < 4 OR r BETWEEN 6 AND 11 OR r = 15 THEN day WHEN r > 18 THEN make_date(year(day), month(day), 5)
        WHEN r IN (4, 5) THEN make_date(year(day), month(day), 28) END AS value,
-  CASE WHEN r IN (0, 1, 13) THEN NULL WHEN r = 12 THEN 'null_sentinel'
+  CASE WHEN r IN (0, 1, 13, 20, 21) THEN NULL WHEN r = 12 THEN 'null_sentinel'
        WHEN r IN (14, 16, 17, 18) THEN 'malformed_date' ELSE 'non_standard_date' END AS rule
 FROM t"""
 

@@ -97,8 +97,11 @@ def coerce_date(spark, sf_dir):
         12: F.lit("NULL"), 13: F.lit(" "), 14: F.lit("31/02/2021"),
         15: F.concat(F.lit("\t"), F.upper(F.date_format(at, "MMM  dd   yyyy"))),
         16: F.date_format(at, "yyyy-MM-dd HH:mm:ss"), 17: F.date_format(at, "dd/MM/yy"),
-        18: F.lit("005/03/2021")}
-    return _outcome(orders, ["o_orderkey"], _case("o_orderkey", 19, cases, F.lit("soon")),
+        18: F.lit("005/03/2021"),
+        19: F.concat(F.date_format(at, "MM"), F.lit("/ 5/"), F.date_format(at, "yyyy")),
+        20: F.concat(F.date_format(at, "yyyy-MM"), F.lit("- 5")),
+        21: F.concat(F.date_format(at, "yyyy/MM"), F.lit("/ 5"))}
+    return _outcome(orders, ["o_orderkey"], _case("o_orderkey", 22, cases, F.lit("soon")),
                     coerce.coerce_date)
 
 

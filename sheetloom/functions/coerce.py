@@ -20,8 +20,8 @@ FAIL_TOKENS = ["fail", "failed", "no", "n", "false", "out of spec", "oos"]
 
 # A text is parsed by the first pattern whose shape it has; no text that fails
 # there would parse by a later one.  The shapes keep to strptime's widths (two
-# digits for a day, four for a year).
-_D = r"(3[01]|[12]\d|0?[1-9])"
+# digits for a day, or a blank and one; four for a year).
+_D = r"(3[01]|[12]\d|0?[1-9]| [1-9])"
 _M = r"(1[0-2]|0?[1-9])"
 _Y = r"(?!0000)\d{4}"
 _MON = r"[A-Za-z]{3}"
@@ -125,7 +125,8 @@ def _parse(flat: Column, formats: list[tuple[str, str]]) -> Column:
     for form, shape in formats:
         hit = flat.rlike(shape)
         pattern = F.when(hit, form) if pattern is None else pattern.when(hit, form)
-    return F.try_to_timestamp(flat, pattern)
+    # a blank that stands for a day's first digit is no part of the pattern
+    return F.try_to_timestamp(F.regexp_replace(flat, "([-/]) (?=[1-9])", "$1"), pattern)
 
 
 def _read_number(stripped: Column, flat: Column) -> Column:
@@ -312,7 +313,8 @@ def serialize(value: Column, data_type: str) -> Column:
     if data_type == "boolean":
         text = value.cast("string")
     elif data_type in ("double", "float"):
-        text = double_text(value.cast("double"))
+        # within a lambda, which is not compiled: many such columns exceed a method's size
+        text = F.get(F.transform(F.array(value.cast("double")), double_text), F.lit(0))
     else:
         text = value.cast("string")
     return F.coalesce(text, F.lit(""))

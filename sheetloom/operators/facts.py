@@ -89,15 +89,20 @@ def _in_order(entries: Column) -> Column:
 
 
 def packed_rows(cells: DataFrame) -> DataFrame:
-    """One row per grid row: its cells as a map from column to cell."""
+    """One row per grid row: its cells as a map from column to cell.
+
+    Of several cells at one address (a file loaded twice) the last in order of its
+    fields counts.
+    """
     blocks = (
         cells.where(F.col("col") >= 1)
         .select(*SHEET, block_of(F.col("row")).alias("block"), "row", "col",
                 F.struct(*CELL_FIELDS).alias("cell"))
         .repartition(*BLOCK)
     )
-    return blocks.groupBy(*BLOCK, "row").agg(
-        F.map_from_entries(F.collect_list(F.struct("col", "cell"))).alias("cells"))
+    entries = blocks.groupBy(*BLOCK, "row").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("col").alias("column_index"), "cell"))).alias("cells"))
+    return entries.withColumn("cells", F.map_from_entries(_last_per_column(F.col("cells"))))
 
 
 def planned_rows(cells: DataFrame, plans: DataFrame) -> DataFrame:
@@ -270,19 +275,40 @@ def misc_rows(planned: DataFrame) -> DataFrame:
     )
 
 
+MAX_LABELS = 16_384         # columns of a spreadsheet, and of the wide form
+
+
 def misc_labels(columns: DataFrame) -> list[str]:
     """Distinct labels over all flat sheets, sorted: the header of the wide form.
 
-    ``columns`` is the mapping log (or sheet_columns) of the flat sheets.
+    ``columns`` is the mapping log (or sheet_columns) of the flat sheets.  More than
+    ``MAX_LABELS`` are refused: the caller then names the labels of interest.
     """
-    return [r["raw_label"] for r in columns.select("raw_label").distinct()
-            .orderBy("raw_label").collect()]
+    labels = [r["raw_label"] for r in columns.select("raw_label").distinct()
+              .orderBy("raw_label").limit(MAX_LABELS + 1).collect()]
+    if len(labels) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels: give misc_wide a list of those wanted")
+    return labels
+
+
+def wide_names(labels: list[str]) -> list[str]:
+    """Column names for labels: a label that differs only by case from a name before it,
+    or from a key column, gets ``_2``, ``_3`` and so on."""
+    taken, names = {*SHEET, "row_seq"}, []
+    for label in labels:
+        name, n = label, 1
+        while name.lower() in taken:
+            n += 1
+            name = f"{label}_{n}"
+        taken.add(name.lower())
+        names.append(name)
+    return names
 
 
 def misc_wide(rows: DataFrame, labels: list[str]) -> DataFrame:
     """Flat rows under one shared header; a label that a row lacks is null."""
-    return rows.select(*SHEET, "row_seq",
-                       *[F.col("fields")[label].alias(label) for label in labels])
+    return rows.select(*SHEET, "row_seq", *[F.col("fields")[label].alias(name)
+                                            for label, name in zip(labels, wide_names(labels))])
 
 
 def published_issues(issues: DataFrame) -> DataFrame:

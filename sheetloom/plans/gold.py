@@ -31,6 +31,17 @@ def quarantine_review(mappings: DataFrame, issues: DataFrame) -> DataFrame:
         F.concat("rule", F.lit(": "), "note").alias("note")))
 
 
+def quarantine_sql(mappings: str, issues: str) -> str:
+    """``quarantine_review`` as SQL over the stored tables of these names."""
+    return f"""
+        SELECT 'mapping_low_confidence' AS reason, workbook, sheet, CAST(NULL AS BIGINT) AS row_seq,
+               raw_label AS column, confidence AS metric, rationale AS note
+        FROM {mappings} WHERE confidence < {REVIEW_BELOW} AND role <> 'ignored'
+        UNION ALL
+        SELECT 'dq_warning', workbook, sheet, row_seq, column, CAST(NULL AS DOUBLE), concat(rule, ': ', note)
+        FROM {issues} WHERE severity = 'warning'"""
+
+
 def dim_batch(observations: DataFrame) -> DataFrame:
     """One row per batch on a sheet.
 

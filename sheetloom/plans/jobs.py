@@ -11,43 +11,48 @@ from pyspark.sql import DataFrame, SparkSession
 from sheetloom.operators.facts import published_issues
 from sheetloom.operators.responses import Responder
 from sheetloom.plans import gold
+from sheetloom.plans.gold import quarantine_sql
+from sheetloom.plans.reports import unanswered_sheets
 from sheetloom.plans.silver import clean
 from sheetloom.sources.canonical import CanonicalNames, DEFAULT_NAMES
 from sheetloom.sources.folder import list_files, workbook_catalog
-from sheetloom.sources.tables import create_layers, create_view, export_workbooks, save_table
+from sheetloom.sources.tables import Layout, create_layers, create_view, export_workbooks, save_table
 from sheetloom.sources.xlsx import read_workbooks
 
 
-def run_bronze(spark: SparkSession, folder: str) -> DataFrame:
+def run_bronze(spark: SparkSession, folder: str, *, layout: Layout = Layout()) -> DataFrame:
     """Decode the files of a folder once; catalogue them from the result."""
-    create_layers(spark)
-    cells = save_table(read_workbooks(spark, folder), "bronze.cells")
+    create_layers(spark, layout)
+    cells = save_table(read_workbooks(spark, folder), "bronze", "cells", layout=layout)
     save_table(workbook_catalog(cells, list_files(spark, folder, ".xlsx")),
-               "bronze.raw_workbooks", skip_empty=True)
+               "bronze", "raw_workbooks", layout=layout, skip_empty=True)
     return cells
 
 
 def run_silver(cells: DataFrame, *, names: CanonicalNames = DEFAULT_NAMES,
-               responder: Responder | None = None) -> dict[str, DataFrame]:
-    create_layers(cells.sparkSession)
+               responder: Responder | None = None, layout: Layout = Layout()) -> dict[str, DataFrame]:
+    spark = cells.sparkSession
+    create_layers(spark, layout)
     result = clean(cells, names=names, responder=responder)
     tables = {
         "sheet_profiles": result.profiles,
         "column_mapping_log": result.mappings,
+        "unanswered_sheets": unanswered_sheets(result.profiles, result.mappings),
         "observations_long": result.observations_keyed,
         "dq_issues": result.issues_keyed,
         "misc_rows": result.misc_rows,
     }
-    saved = {name: save_table(df, f"silver.{name}") for name, df in tables.items()}
+    saved = {name: save_table(df, "silver", name, layout=layout) for name, df in tables.items()}
     saved["quarantine_review"] = create_view(
-        gold.quarantine_review(saved["column_mapping_log"], saved["dq_issues"]),
-        "quarantine_review")
+        spark, "silver", "quarantine_review",
+        quarantine_sql(layout.name("silver", "column_mapping_log"), layout.name("silver", "dq_issues")),
+        layout=layout)
     return saved
 
 
-def run_gold(spark: SparkSession) -> dict[str, DataFrame]:
-    observations = spark.table("silver.observations_long")
-    fact = save_table(gold.fact_observation(observations), "gold.fact_observation")
+def run_gold(spark: SparkSession, *, layout: Layout = Layout()) -> dict[str, DataFrame]:
+    observations = spark.table(layout.name("silver", "observations_long"))
+    fact = save_table(gold.fact_observation(observations), "gold", "fact_observation", layout=layout)
     marts = {
         "dim_batch": gold.dim_batch(observations),
         "dim_analyte": gold.dim_analyte(observations),
@@ -56,24 +61,24 @@ def run_gold(spark: SparkSession) -> dict[str, DataFrame]:
         "mv_spec_violations": gold.mv_spec_violations(fact),
     }
     return {"fact_observation": fact,
-            **{name: save_table(df, f"gold.{name}") for name, df in marts.items()}}
+            **{name: save_table(df, "gold", name, layout=layout) for name, df in marts.items()}}
 
 
-def run_export(spark: SparkSession, folder: str, fmt: str = "parquet") -> None:
+def run_export(spark: SparkSession, folder: str, fmt: str = "parquet", *,
+               layout: Layout = Layout()) -> None:
     """Cleaned tables of every workbook, the facts as the gold layer publishes them."""
-    tables = {
-        "observations": spark.table("gold.fact_observation"),
-        "dq_issues": published_issues(spark.table("silver.dq_issues")),
-        "column_mapping_log": spark.table("silver.column_mapping_log"),
-    }
-    if fmt != "csv":        # a map column has no CSV form
-        tables["misc"] = spark.table("silver.misc_rows")
-    export_workbooks(tables, folder, fmt)
+    export_workbooks({
+        "observations": spark.table(layout.name("gold", "fact_observation")),
+        "dq_issues": published_issues(spark.table(layout.name("silver", "dq_issues"))),
+        "column_mapping_log": spark.table(layout.name("silver", "column_mapping_log")),
+        "misc": spark.table(layout.name("silver", "misc_rows")),
+    }, folder, fmt)
 
 
-def run_all(spark: SparkSession, source: str, target: str, *,
-            names: CanonicalNames = DEFAULT_NAMES, responder: Responder | None = None) -> None:
-    cells = run_bronze(spark, source)
-    run_silver(cells, names=names, responder=responder)
-    run_gold(spark)
-    run_export(spark, target)
+def run_all(spark: SparkSession, source: str, target: str, *, fmt: str = "parquet",
+            names: CanonicalNames = DEFAULT_NAMES, responder: Responder | None = None,
+            layout: Layout = Layout()) -> None:
+    cells = run_bronze(spark, source, layout=layout)
+    run_silver(cells, names=names, responder=responder, layout=layout)
+    run_gold(spark, layout=layout)
+    run_export(spark, target, fmt, layout=layout)

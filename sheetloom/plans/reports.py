@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sheetloom.operators.mapping import REVIEW_BELOW
 from sheetloom.plans.gold import count_if
+from sheetloom.sources.tables import export_name
 
 # Ties in the reference order are settled by the rest of the row.
 MAPPING_TIES = ["workbook", "sheet", "column_index", "role", "raw_label"]
@@ -138,5 +139,5 @@ def export_manifest(observations: DataFrame, issues: DataFrame, mappings: DataFr
                              "mappings": mappings})
     return counted.where(F.col("observations") > 0).select(
         "workbook",
-        F.replace("workbook", F.lit(".xlsx"), F.lit("_CLEAN.xlsx")).alias("export_name"),
+        export_name(F.col("workbook")).alias("export_name"),
         "observations", "dq_issues", "mappings")

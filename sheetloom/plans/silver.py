@@ -57,7 +57,10 @@ class SilverTables:
     def misc_rows(self) -> DataFrame:
         return facts.misc_rows(self.planned)
 
-    def misc_wide(self) -> DataFrame:
+    def misc_wide(self, labels: list[str] | None = None) -> DataFrame:
+        """Flat rows as columns: those of ``labels``, or all (bounded) labels there are."""
+        if labels is not None:
+            return facts.misc_wide(self.misc_rows, labels)
         flat = self.profile_frame.where(F.col("layout") == LAYOUT_FLAT).select("workbook", "sheet")
         labels = facts.misc_labels(self.mapped.join(flat, ["workbook", "sheet"], "left_semi"))
         return facts.misc_wide(self.misc_rows, labels)

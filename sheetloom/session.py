@@ -5,7 +5,6 @@ On a cluster the session is the caller's: nothing here is applied to it.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 # Stored size up to which a result of `durable` is worth sending to every executor.
 BROADCAST_BYTES = 4 << 20
 
+_kept_until_exit: set[str] = set()
+
 
 def local_session(cores: int | str = "*", *, app: str = "sheetloom",
                   shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -31,24 +32,36 @@ def local_session(cores: int | str = "*", *, app: str = "sheetloom",
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder: the one the cluster names in ``spark.checkpoint.dir``.
+    """This application's own folder for intermediate tables; removed when it ends.
 
-    Only a session that names none (a test) gets a folder of its own.
+    It lies in the checkpoint folder that the cluster names in ``spark.checkpoint.dir``.
+    Without one, a local session uses its warehouse; a cluster is refused, as executors
+    would each write to their own disk.
     """
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="sheetloom-checkpoint-"))
-    return sc.getCheckpointDir()
+    named = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
+        sc.setCheckpointDir(named)
+    folder = f"{named.rstrip('/')}/sheetloom-{sc.applicationId}"
+    if folder not in _kept_until_exit:
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _kept_until_exit.add(folder)
+    return folder
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Store a result as a table in the checkpoint folder and go on from there.
+    """Store a result as a table in the shared folder and go on from there.
 
     That cuts the lineage, survives lost executors, and gives the planner the true
     size of the result to choose join strategies by.
     """
-    folder = f"{shared_folder(df.sparkSession)}/sheetloom-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 

@@ -4,37 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sheetloom.contracts import MARKER_KIND
 
-def _any_case(suffix: str) -> str:
-    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix)
+
+FILES = "name string, path string, size_bytes long, site string, folder string"
 
 
 def list_files(spark: SparkSession, folder: str, suffix: str | None = None, *,
                site: str | None = None) -> DataFrame:
-    """Files directly in a folder, by name; hidden files are skipped.
+    """Files directly in a folder, by name; those whose name starts with a dot are skipped.
 
-    Only the file status is read: the content column is pruned from the scan.
+    The listing asks the folder's file system for names and sizes (one row per file);
+    Spark's own file index would hide names that start with an underscore.
     """
-    reader = spark.read.format("binaryFile")
-    if suffix:
-        reader = reader.option("pathGlobFilter", f"*{_any_case(suffix)}")
-    path = F.col("path")
-    return (
-        reader.load(folder)
-        .select(F.url_decode(F.replace(F.element_at(F.split(path, "/"), -1), F.lit("+"),
-                                       F.lit("%2B"))).alias("name"),
-                path, F.col("length").alias("size_bytes"),
-                F.lit(site).cast("string").alias("site"), F.lit(folder).alias("folder"))
-        .where(~F.col("name").startswith("."))
-        .orderBy("name")
-    )
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    rows = [(f.getPath().getName(), f.getPath().toString(), f.getLen(), site, folder)
+            for f in found if f.isFile()]
+    kept = [r for r in rows if not r[0].startswith(".")
+            and (suffix is None or r[0].lower().endswith(suffix.lower()))]
+    return spark.createDataFrame(sorted(kept), FILES)
 
 
 def workbook_catalog(cells: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """One row per workbook: its sheets in tab order, with path and size where the
     files are given (as ``list_files`` returns them)."""
     sheets = (
-        cells.groupBy("workbook", "sheet").agg(F.max("sheet_pos").alias("sheet_pos"))
+        cells.where(F.col("kind") == MARKER_KIND)       # one row per sheet
+        .groupBy("workbook", "sheet").agg(F.max("sheet_pos").alias("sheet_pos"))
         .groupBy("workbook")
         .agg(F.count("*").cast("int").alias("sheet_count"),
              F.transform(F.array_sort(F.collect_list(F.struct("sheet_pos", "sheet"))),
@@ -60,14 +58,16 @@ def grid_preview(cells: DataFrame, workbook: str | None = None, sheet: str | Non
     """
     book = cells if workbook is None else cells.where(F.col("workbook") == workbook)
     preferred = F.lit(False) if sheet is None else F.col("sheet") == sheet
-    chosen = (book.groupBy("workbook", "sheet", "sheet_pos").agg(F.max("col").alias("width"))
-              .orderBy("workbook", (~preferred).cast("int"), "sheet_pos").limit(1).collect())
+    chosen = (book.where(F.col("kind") == MARKER_KIND)
+              .orderBy("workbook", (~preferred).cast("int"), "sheet_pos").limit(1)
+              .select("workbook", "sheet").collect())
     if not chosen:
         return cells.sparkSession.createDataFrame([], "row int")
     pick = chosen[0]
-    columns = list(range(1, pick["width"] + 1))
-    top = cells.where((F.col("workbook") == pick["workbook"]) & (F.col("sheet") == pick["sheet"])
-                      & F.col("row").between(1, rows) & (F.col("col") >= 1))
+    of_sheet = cells.where((F.col("workbook") == pick["workbook"]) & (F.col("sheet") == pick["sheet"]))
+    width = of_sheet.agg(F.max("col")).first()[0] or 0
+    columns = list(range(1, width + 1))
+    top = of_sheet.where(F.col("row").between(1, rows) & (F.col("col") >= 1))
     grid = top.groupBy("row").agg(*[F.max(F.when(F.col("col") == c, F.col("raw"))).alias(f"c{c}")
                                     for c in columns])
     numbers = cells.sparkSession.range(1, rows + 1).select(F.col("id").cast("int").alias("row"))

@@ -2,12 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sheetloom.functions.coerce import serialize
+from sheetloom.session import durable
 
 LAYERS = ["bronze", "silver", "gold"]
 
+
+@dataclass(frozen=True)
+class Layout:
+    """Where tables live and how they are stored: an optional catalogue in front of the
+    layer, an optional prefix of the layer's name, and a table format (the session's
+    default where none is given)."""
+
+    catalog: str | None = None
+    prefix: str = ""
+    table_format: str | None = None
+
+    def layer(self, layer: str) -> str:
+        own = f"`{self.prefix}{layer}`"
+        return f"`{self.catalog}`.{own}" if self.catalog else own
+
+    def name(self, layer: str, table: str) -> str:
+        return f"{self.layer(layer)}.`{table}`"
+
+
 # Row order within an export.
 EXPORT_ORDER = {
     "observations": ["sheet", "row_seq", "analyte"],
@@ -17,22 +39,36 @@ EXPORT_ORDER = {
 }
 
 
-def create_layers(spark: SparkSession) -> None:
+def create_layers(spark: SparkSession, layout: Layout = Layout()) -> None:
     for layer in LAYERS:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layout.layer(layer)}")
 
 
-def save_table(df: DataFrame, name: str, *, skip_empty: bool = False) -> DataFrame:
-    """Replace a table, schema included, and read it back."""
-    if skip_empty and df.isEmpty():
-        return df
-    df.write.mode("overwrite").saveAsTable(name)
-    return df.sparkSession.table(name)
+def save_table(df: DataFrame, layer: str, table: str, *, layout: Layout = Layout(),
+               skip_empty: bool = False) -> DataFrame:
+    """Replace a table, schema included, and read it back.
 
-
-def create_view(df: DataFrame, name: str) -> DataFrame:
-    df.createOrReplaceTempView(name)
-    return df.sparkSession.table(name)
+    With ``skip_empty`` an existing table is left alone when there is no row; the result
+    is then stored once and looked at, not computed twice.
+    """
+    spark, name = df.sparkSession, layout.name(layer, table)
+    if skip_empty:
+        df = durable(df)
+        if df.isEmpty():
+            return df
+    writer = df.write.mode("overwrite").option("overwriteSchema", True)
+    if layout.table_format:
+        writer = writer.format(layout.table_format)
+    writer.saveAsTable(name)
+    return spark.table(name)
+
+
+def create_view(spark: SparkSession, layer: str, view: str, query: str, *,
+                layout: Layout = Layout()) -> DataFrame:
+    """A lasting view over stored tables, as SQL: other sessions read it too."""
+    name = layout.name(layer, view)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+    return spark.table(name)
 
 
 def serialized(df: DataFrame) -> DataFrame:
@@ -40,26 +76,33 @@ def serialized(df: DataFrame) -> DataFrame:
     return df.select(*[serialize(F.col(f"`{name}`"), kind).alias(name) for name, kind in df.dtypes])
 
 
+CSV = {"header": True, "quote": '"', "escape": '"', "emptyValue": "",
+       "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_csv(df: DataFrame, folder: str) -> None:
-    (serialized(df).write.mode("overwrite")
-     .option("header", True).option("quote", '"').option("escape", '"')
-     .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False)
-     .option("ignoreTrailingWhiteSpace", False)
-     .csv(folder))
+    serialized(df).write.mode("overwrite").options(**CSV).csv(folder)
 
 
 def export_workbooks(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> None:
     """Write each table once, split by workbook and ordered within it.
 
     Ranges over (workbook, order) are balanced by size: a small workbook lands in
-    one file, a huge one in as many as it needs, in order.
+    one file, a huge one in as many as it needs, in order.  A CSV holds every value as the
+    text that ``serialized`` gives it, and a map as JSON text.
     """
     for name, df in tables.items():
         order = ["workbook", *EXPORT_ORDER[name]]
-        named = df.withColumn("export_name", F.replace("workbook", F.lit(".xlsx"),
-                                                       F.lit("_CLEAN.xlsx")))
-        arranged = named.repartitionByRange(*order).sortWithinPartitions("export_name", *order)
-        writer = arranged.write.mode("overwrite").partitionBy("export_name").format(fmt)
+        arranged = (df.withColumn("export_name", export_name(F.col("workbook")))
+                    .repartitionByRange(*order).sortWithinPartitions("export_name", *order))
+        writer = arranged.write
         if fmt == "csv":
-            writer = writer.option("header", True).option("escape", '"')
-        writer.save(f"{folder}/{name}")
+            texts = serialized(arranged.withColumns({
+                c: F.to_json(c, {"ignoreNullFields": "false"}) for c, kind in df.dtypes if kind.startswith("map")}))
+            writer = texts.write.options(**CSV)
+        writer.mode("overwrite").partitionBy("export_name").format(fmt).save(f"{folder}/{name}")
+
+
+def export_name(workbook: Column) -> Column:
+    """``x.xlsx`` -> ``x_CLEAN.xlsx``, whatever the case of the suffix."""
+    return F.regexp_replace(workbook, r"(?i)\.xlsx", "_CLEAN.xlsx")

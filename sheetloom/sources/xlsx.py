@@ -14,7 +14,7 @@ import sys
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, time, timedelta
-from urllib.parse import unquote, urlparse
+from urllib.parse import quote, unquote, urlparse
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -22,6 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from sheetloom.contracts import CELLS, MARKER_KIND
+from sheetloom.sources.folder import list_files
 
 # The decoder travels with the task: executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -42,23 +43,43 @@ _CELL_REF = re.compile(r"([A-Z]+)(\d+)")
 
 
 def read_workbooks(spark: SparkSession, folder: str) -> DataFrame:
-    """Cells of every ``.xlsx`` file directly in a folder."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "[!.]*.[xX][lL][sS][xX]")
-             .load(folder).select("path", "content"))
+    """Cells of every ``.xlsx`` file directly in a folder.
+
+    Spark's file readers hide names that start with an underscore; those workbooks are
+    opened by their path in the tasks.
+    """
+    def cells_of(path: str, content: bytes) -> Iterator[pd.DataFrame]:
+        name = unquote(posixpath.basename(urlparse(path).path))
+        pending = []
+        for cell in workbook_cells(name, content):
+            pending.append(cell)
+            if len(pending) >= BATCH:
+                yield _frame(pending)
+                pending = []
+        yield _frame(pending)
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                name = unquote(posixpath.basename(urlparse(path).path))
-                pending = []
-                for cell in workbook_cells(name, content):
-                    pending.append(cell)
-                    if len(pending) >= BATCH:
-                        yield _frame(pending)
-                        pending = []
-                yield _frame(pending)
+                yield from cells_of(path, content)
 
-    return files.mapInPandas(decode, CELLS)
+    def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for path in batch["path"]:
+                uri = quote(path, safe="/:")
+                if "://" not in uri:                # Hadoop writes local paths as file:/...
+                    uri = uri.replace(":/", ":///", 1)
+                store, place = fs.FileSystem.from_uri(uri)
+                with store.open_input_stream(place, compression=None) as stream:
+                    yield from cells_of(uri, stream.read())
+
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "[!.]*.[xX][lL][sS][xX]")
+             .load(folder).select("path", "content"))
+    cells = files.mapInPandas(decode, CELLS)
+    hidden = list_files(spark, folder, ".xlsx").where("startswith(name, '_')").select("path")
+    return cells if hidden.isEmpty() else cells.union(hidden.mapInPandas(fetch, CELLS))
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:

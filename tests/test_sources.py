@@ -7,7 +7,9 @@ from grids import cells_frame, standard_sheet, workbook_bytes
 from sheetloom.plans import jobs
 from sheetloom.plans.silver import clean
 from sheetloom.sources.folder import grid_preview, list_files, workbook_catalog
-from sheetloom.sources.tables import export_workbooks, write_csv
+from sheetloom.operators.facts import wide_names
+from sheetloom.session import shared_folder
+from sheetloom.sources.tables import CSV, Layout, export_workbooks, write_csv
 from sheetloom.sources.xlsx import read_workbooks
 
 STYLES = ('<xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="164"/><xf numFmtId="165"/>'
@@ -31,6 +33,10 @@ def test_workbook_decoding(spark, tmp_path):
     (tmp_path / "Lab A+1.xlsx").write_bytes(data)
     (tmp_path / "notes.txt").write_text("x")
     rows = read_workbooks(spark, str(tmp_path)).collect()
+    (tmp_path / "_Lab A+1%20.XLSX").write_bytes(data)
+    again = read_workbooks(spark, str(tmp_path)).collect()
+    assert {r.workbook for r in again} == {"Lab A+1.xlsx", "_Lab A+1%20.XLSX"}
+    assert len(again) == 2 * len(rows)
     assert {r.workbook for r in rows} == {"Lab A+1.xlsx"}
     assert [(r.sheet, r.sheet_pos) for r in rows if r.kind == "x"] == [("One", 1), ("Void", 2)]
     got = {(r.row, r.col): (r.kind, r.raw) for r in rows if r.kind != "x"}
@@ -45,13 +51,14 @@ def test_workbook_decoding(spark, tmp_path):
 
 
 def test_listing(spark, tmp_path):
-    for name in ("b.XLSX", "a.xlsx", ".hidden.xlsx", "c.csv"):
+    for name in ("b.XLSX", "a.xlsx", ".hidden.xlsx", "c.csv", "_u.xlsx"):
         (tmp_path / name).write_bytes(b"abc")
     (tmp_path / "sub").mkdir()
     (tmp_path / "sub" / "d.xlsx").write_bytes(b"abc")
     got = list_files(spark, str(tmp_path), ".xlsx", site="Lab").collect()
-    assert [(r.name, r.size_bytes, r.site) for r in got] == [("a.xlsx", 3, "Lab"), ("b.XLSX", 3, "Lab")]
-    assert [r.name for r in list_files(spark, str(tmp_path)).collect()] == ["a.xlsx", "b.XLSX", "c.csv"]
+    assert [(r.name, r.size_bytes, r.site) for r in got] == [
+        ("_u.xlsx", 3, "Lab"), ("a.xlsx", 3, "Lab"), ("b.XLSX", 3, "Lab")]
+    assert [r.name for r in list_files(spark, str(tmp_path)).collect()] == ["_u.xlsx", "a.xlsx", "b.XLSX", "c.csv"]
 
 
 def test_catalog_and_preview(spark):
@@ -88,7 +95,10 @@ def test_whole_run_from_files(spark, tmp_path):
     assert spark.table("silver.dq_issues").count() == 5
     assert spark.table("gold.fact_observation").count() == 10
     assert spark.table("gold.dim_batch").count() == 5
-    assert spark.table("quarantine_review").count() == 0
+    view = spark.newSession().table("silver.quarantine_review")
+    assert view.count() == 0 and view.columns == [
+        "reason", "workbook", "sheet", "row_seq", "column", "metric", "note"]
+    assert spark.table("silver.unanswered_sheets").count() == 0
     assert sorted(p.name for p in (target / "observations").glob("export_name=*")) == [
         "export_name=one_CLEAN.xlsx", "export_name=two_CLEAN.xlsx"]
     exported = spark.read.parquet(str(target / "observations")).where("export_name = 'one_CLEAN.xlsx'")
@@ -110,3 +120,32 @@ def test_export_order(spark, tmp_path):
     parts = sorted(Path(tmp_path / "observations" / "export_name=w_CLEAN.xlsx").glob("part-*"))
     order = [(r.row_seq, r.analyte) for p in parts for r in spark.read.parquet(str(p)).collect()]
     assert order == sorted(order) and len(order) == 10
+
+
+def test_prefix_and_format(spark, tmp_path):
+    grid = standard_sheet(["TFMBA"], [{1: i + 1, 5: "#", 12: " 0.5" if i else 1} for i in range(4)])
+    layout = Layout(catalog="spark_catalog", prefix="lab_", table_format="orc")
+    cells = cells_frame(spark, {("B.XLSX", "s"): grid, ("B.XLSX", "t"): grid})
+    jobs.run_silver(cells, layout=layout)
+    jobs.run_gold(spark, layout=layout)
+    detail = spark.sql("DESCRIBE EXTENDED spark_catalog.lab_gold.fact_observation").collect()
+    assert any(r.col_name == "Provider" and r.data_type.lower() == "orc" for r in detail)
+    assert spark.newSession().table("lab_silver.quarantine_review").count() == 0
+    jobs.run_export(spark, str(tmp_path), "csv", layout=layout)
+    rows = (spark.read.options(**CSV).csv(str(tmp_path / "observations")))
+    assert {r.export_name for r in rows.collect()} == {"B_CLEAN.xlsx"}
+    issues = spark.read.options(**CSV).csv(str(tmp_path / "dq_issues")).collect()
+    assert {r.raw_value for r in issues} == {" 0.5"}
+    assert (tmp_path / "misc").exists()
+
+
+def test_cells_at_one_address_and_wide_names(spark):
+    grid = standard_sheet(["TFMBA"], [{1: 1, 5: "#", 12: 1}])
+    cells = cells_frame(spark, {("w.xlsx", "s"): grid})
+    assert clean(cells.union(cells)).observations.count() == 1
+    assert wide_names(["NOTES", "Notes", "sheet", "notes_2"]) == ["NOTES", "Notes_2", "sheet_2", "notes_2_2"]
+
+
+def test_intermediate_folder(spark):
+    folder = shared_folder(spark)
+    assert spark.sparkContext.applicationId in folder and shared_folder(spark) == folder
