@@ -10,9 +10,9 @@ similarity of their shingles.
 
 Windows are laid only where they can matter.  A window that reaches ``SIMILARITY`` shares
 at least 2s/(1+s) of its shingles with the item; moved right to its first shared shingle
-it loses none.  So windows start at shingles that some item has (or end with the
-document) and must hold that many of them; which item it might be is left to the
-fingerprints.
+it loses none.  So windows of a size start at shingles that some item of that size has (or
+end with the document) and must hold that many of them; which item it might be is left to
+the fingerprints.
 """
 
 from __future__ import annotations
@@ -99,21 +99,19 @@ def _passages(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
 
     ``docs``: doc_id, text_key, text; ``items``: item_id, hashes.
     """
-    wanted = items.select(F.explode("hashes").alias("h")).distinct()
+    wanted = items.select(F.size("hashes").alias("size"), F.explode("hashes").alias("h")).distinct()
     read = docs.select("doc_id", "text_key", words(F.col("text")).alias("w"))
     # outer: else the optimiser repeats the whole expression in a filter on the scan
     spots = (read.select("doc_id", "text_key", F.posexplode_outer(shingles(F.col("w"), width)).alias("at", "h"))
-             .join(wanted, "h", "left_semi"))
-    hits = spots.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("at")).alias("hits"))
-    sizes = [r[0] for r in items.select(F.size("hashes")).distinct().orderBy(F.size("hashes")).collect()]
+             .join(wanted, "h"))
+    hits = spots.groupBy("doc_id", "text_key", "size").agg(F.sort_array(F.collect_set("at")).alias("hits"))
     share = 2 * SIMILARITY / (1 + SIMILARITY)
     need = F.ceil(F.col("size") * F.lit(share) - F.lit(1e-9)).cast("int")
     held = F.filter(
         F.when(F.size("hits") >= need, F.sequence(F.lit(0), F.size("hits") - need)).otherwise(
             F.array().cast("array<int>")),
         lambda k: F.get("hits", k + need - 1) - F.get("hits", k) < F.col("size"))
-    starts = (hits.select("*", F.explode(F.array(*[F.lit(n) for n in sizes])).alias("size"))
-              .select("doc_id", "text_key", "size", F.transform(held, lambda k: F.get("hits", k)).alias("starts"))
+    starts = (hits.select("doc_id", "text_key", "size", F.transform(held, lambda k: F.get("hits", k)).alias("starts"))
               .where(F.size("starts") > 0))
     starts = durable(starts)
     same = F.col("s.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("s.text_key") == F.col("t.text_key"))
