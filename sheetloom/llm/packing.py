@@ -30,6 +30,7 @@ CAPACITY = 2048
 END = 0                   # id that closes a document
 ROUNDS = 500             # configurations the program may take
 STEP = 0.25               # share of its scarcest demand that a round covers
+LONG_BONUS = 0.1
 BUCKETS = 64              # parts that the pieces of one length are ranked in
 
 
@@ -110,13 +111,14 @@ def solve(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS
           step: float = STEP) -> list[tuple[dict[int, int], float]]:
     """Configurations with fractional multiplicities: the linear program's solution.
 
-    Prices start at the lengths' share of the capacity (a feasible dual) and fall by
-    exp(-covered share); a length that is covered leaves the program.
+    Prices start near the lengths' share of the capacity, which is a feasible dual (a
+    little more for long ones, that are hard to place late), and fall by exp(-covered
+    share); a length that is covered leaves the program.
     """
     lengths = np.array(sorted(counts), dtype=np.int64)
     demand = np.array([counts[int(n)] for n in lengths], dtype=np.float64)
     rest = demand.copy()
-    prices = lengths / capacity
+    prices = lengths / capacity * (1 + LONG_BONUS * lengths / capacity)
     place = {int(n): i for i, n in enumerate(lengths)}
     solution = []
     for _ in range(rounds):
