@@ -496,7 +496,7 @@ SELECT workbook, 'Empty', 6, 'unknown', NULL, NULL, NULL, NULL, NULL, NULL, NULL
   'sheet too small to profile' FROM pe"""
 ORACLE["sheet_columns"] = _with(ORDERS, EVENTS, SHEET_LABELS) + """
 SELECT workbook, sheet, column_index, kind, raw_label FROM sheet_columns"""
-ORACLE["analyte_columns"] = _with(ORDERS) + """
+_ANALYTES = """
 SELECT workbook, sheet, CAST(col AS INTEGER) AS column_index, label AS raw_label,
   CASE WHEN limited THEN 0.5::DOUBLE + 0.25::DOUBLE * (col - 12) END AS rt,
   CASE WHEN limited THEN (0.5::DOUBLE + 0.25::DOUBLE * (col - 12)) / 2 END AS rrt,
@@ -506,6 +506,26 @@ SELECT workbook, sheet, CAST(col AS INTEGER) AS column_index, label AS raw_label
   CASE WHEN limited THEN CASE WHEN is_min THEN 99.0::DOUBLE ELSE 0.08::DOUBLE END END
     AS internal_spec_value
 FROM os JOIN band ON even = (pos % 2 = 0)"""
+ORACLE["analyte_columns"] = _with(ORDERS) + _ANALYTES
+ORACLE["mapping_requests"] = _with(ORDERS, EVENTS, SHEET_LABELS) + f""",
+measured AS ({_ANALYTES}),
+items AS (
+  SELECT c.workbook, c.sheet, c.kind, c.column_index,
+    CASE WHEN c.kind = 'analyte' THEN to_json({{'raw': c.raw_label, 'kind': c.kind, 'col': c.column_index,
+           'rt': m.rt, 'rrt': m.rrt, 'spec_bound': m.spec_bound, 'spec': m.spec_value}})
+         WHEN c.raw_label IS NULL THEN to_json({{'kind': c.kind, 'col': c.column_index}})
+         ELSE to_json({{'raw': c.raw_label, 'kind': c.kind, 'col': c.column_index}}) END AS item
+  FROM sheet_columns c LEFT JOIN measured m USING (workbook, sheet, column_index))
+SELECT workbook, sheet, CAST(count(*) AS INTEGER) AS n_columns,
+  'Assign a canonical name to every column of this laboratory sheet.' || chr(10) || 'Sheet: ' || sheet || chr(10)
+  || 'Layout: ' || CASE WHEN workbook LIKE 'events%' THEN 'misc_flat' ELSE 'quality_standard' END || chr(10)
+  || 'Names for columns of kind meta: {", ".join(DEFAULT_NAMES.synonyms)}' || chr(10)
+  || 'Names for columns of kind analyte: {", ".join(DEFAULT_NAMES.analytes)}' || chr(10)
+  || 'Use canonical null and role \'\'ignored\'\' where no name fits.' || chr(10)
+  || 'Answer with a JSON list of objects {{raw, col, role, canonical, confidence, rationale}}; '
+  || 'confidence lies between 0 and 1.' || chr(10) || 'Columns: ['
+  || string_agg(item, ', ' ORDER BY kind = 'analyte', column_index) || ']' AS request
+FROM items GROUP BY workbook, sheet"""
 ORACLE["bronze_raw_workbooks"] = _with(*GRID) + """,
 sheets AS (SELECT workbook, sheet, pos FROM os UNION ALL SELECT workbook, sheet, pos FROM es
   UNION ALL SELECT workbook, 'S' || pos, pos FROM ps UNION ALL SELECT workbook, 'Empty', 6 FROM pe)

@@ -42,8 +42,11 @@ def _case(key: str, modulus: int, cases: dict[int, Column], default: Column) ->
     return out.otherwise(default)
 
 
-def _outcome(df: DataFrame, keys: list[str], text: Column, rule) -> DataFrame:
-    return (df.select(*keys, text.alias("input")).withColumn("r", rule(F.col("input")))
+def _outcome(df: DataFrame, keys: list[str], text: Column, rule, *readings: str) -> DataFrame:
+    """``readings`` are what the rule reads a text as; each is computed once per row."""
+    staged = coerce.with_texts(df.select(*keys, text.alias("input")),
+                               {"t": (F.col("input"), {r: F.lit(True) for r in readings})})
+    return (staged.withColumn("r", rule(coerce.Text.column(F.col("input"), "t")))
             .select(*keys, F.col("r.value").alias("value"), F.col("r.rule").alias("rule")))
 
 
@@ -67,7 +70,7 @@ def coerce_appearance(spark, sf_dir):
         0: F.upper(name), 1: F.concat(F.lit(" "), name), 2: F.initcap(name), 3: F.lit("NULL"),
         4: F.lit(""), 5: F.concat(F.lit("off-white McDonald  "), F.col("p_type")),
         6: F.concat(F.initcap(name), F.lit("  "), F.col("p_brand"))}, name)
-    return _outcome(parts, ["p_partkey"], text, coerce.coerce_appearance)
+    return _outcome(parts, ["p_partkey"], text, coerce.coerce_appearance, "titled")
 
 
 @query
@@ -102,7 +105,7 @@ def coerce_date(spark, sf_dir):
         20: F.concat(F.date_format(at, "yyyy-MM"), F.lit("- 5")),
         21: F.concat(F.date_format(at, "yyyy/MM"), F.lit("/ 5"))}
     return _outcome(orders, ["o_orderkey"], _case("o_orderkey", 22, cases, F.lit("soon")),
-                    coerce.coerce_date)
+                    coerce.coerce_date, "date")
 
 
 @query
@@ -115,7 +118,7 @@ def coerce_time(spark, sf_dir):
         4: F.lit("27:00.0"), 5: F.lit("??:??"), 6: F.lit("NULL"), 7: F.lit(""), 8: F.lit("24:00"),
         9: F.lit("0:05 PM"), 10: F.lit("8:05PM"), 11: F.lit(" 7:5:9 "),
         12: F.col("event_type")}, F.date_format(at, "HH:mm"))
-    return _outcome(events, ["event_id"], text, coerce.coerce_time)
+    return _outcome(events, ["event_id"], text, coerce.coerce_time, "time")
 
 
 @query
@@ -130,7 +133,7 @@ def coerce_float(spark, sf_dir):
         11: F.concat(F.lit("+"), price), 12: F.col("l_returnflag"), 13: F.lit("1__0"),
         14: F.lit("-"), 15: F.lit("1,5"), 16: F.lit("-0.5e-1")}, price)
     counted = _outcome(lines, ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"], text,
-                       coerce.coerce_float)
+                       coerce.coerce_float, "number")
     return counted
 
 

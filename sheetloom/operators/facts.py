@@ -261,15 +261,15 @@ def misc_rows(planned: DataFrame) -> DataFrame:
     filled = rows.where(F.exists("labels", lambda e: F.coalesce(
         F.col("cells")[e["column_index"]]["raw"] != "", F.lit(False))))
     cleaned = (
-        filled.select(*SHEET, "row", "row_seq", "cells",
+        filled.select(*BLOCK, "row", "row_seq", "cells",
                       F.explode(F.filter("labels", lambda e: ~F.exists(
                           "labels", lambda o: (o["label"] == e["label"])
                           & (o["position"] > e["position"])))).alias("e"))
-        .select(*SHEET, "row", "row_seq", F.col("e.label").alias("label"),
+        .select(*BLOCK, "row", "row_seq", F.col("e.label").alias("label"),
                 coerce_str(F.col("cells")[F.col("e.column_index")]["raw"])["value"].alias("text"))
     )
     return (
-        cleaned.groupBy(*SHEET, "row", "row_seq")
+        cleaned.groupBy(*BLOCK, "row", "row_seq")       # within the cells' partitioning
         .agg(F.map_from_entries(F.collect_list(F.struct("label", "text"))).alias("fields"))
         .select(*SHEET, "row_seq", "fields")
     )
