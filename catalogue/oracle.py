@@ -558,7 +558,7 @@ WITH {SYNONYMS},
 l AS (SELECT CASE p_partkey % 9 WHEN 0 THEN 'Batch ' || p_brand WHEN 1 THEN 'Date of  Sampling'
     WHEN 2 THEN 'Stage ' || p_type || ' ' || p_name WHEN 3 THEN 'SAMPLE TIME'
     WHEN 4 THEN 'Appearance - ' || p_name WHEN 5 THEN ' Instrument' || chr(9) || 'ID '
-    WHEN 6 THEN 'Form ' || p_size WHEN 7 THEN p_name[1:2] ELSE p_name END AS raw_label FROM part),
+    WHEN 6 THEN 'Form ' || p_size WHEN 7 THEN 'st' ELSE p_name END AS raw_label FROM part),
 {_meta_match("l", "matched")}
 SELECT raw_label, canonical, confidence, rationale FROM matched"""
 ORACLE["map_analyte_labels"] = f"""

@@ -273,7 +273,7 @@ def map_meta_labels(spark, sf_dir):
         2: F.concat(F.lit("Stage "), F.col("p_type"), F.lit(" "), F.col("p_name")),
         3: F.lit("SAMPLE TIME"), 4: F.concat(F.lit("Appearance - "), F.col("p_name")),
         5: F.lit(" Instrument\tID "), 6: F.concat(F.lit("Form "), F.col("p_size").cast("string")),
-        7: F.substring("p_name", 1, 2)})
+        7: F.lit("st")})
     return mapping.match_meta(labels)
 
 

@@ -77,7 +77,17 @@ def _flag_bits(flags: list[Column]) -> Column:
 
 
 def row_facts(cells: DataFrame) -> DataFrame:
-    """One row per (sheet, header row), plus one for the body of the sheet."""
+    """One row per (sheet, header row), plus one for the body of the sheet.
+
+    Two scans: the first rows with their text, and the rest without it.
+    """
+    header = cells.where(F.col("row") <= HEADER_ROWS)
+    body = (cells.where(F.col("row") > HEADER_ROWS)
+            .withColumn("raw", F.lit(None).cast("string")))
+    return _folded(header).unionByName(_folded(body))
+
+
+def _folded(cells: DataFrame) -> DataFrame:
     label = header_label(F.col("raw"))
     scanned = F.col("row") <= SCAN_ROWS
     in_a = F.col("col") == 1

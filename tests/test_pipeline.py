@@ -9,6 +9,7 @@ from grids import META_LABELS, cells_frame, standard_sheet
 from sheetloom.operators import profile, responses
 from sheetloom.operators.facts import data_rows
 from sheetloom.operators.mapping import match_analyte, match_meta, slug
+from sheetloom.operators.profile import row_facts
 from sheetloom.plans import gold, reports
 from sheetloom.plans.silver import clean
 from sheetloom.sources.canonical import DEFAULT_NAMES, load_names
@@ -251,3 +252,15 @@ def test_marts_and_reports(result):
 def test_meta_labels_are_complete(result):
     assert result.columns.where("sheet = 'std' AND kind = 'meta'").count() == len(META_LABELS)
     assert data_rows(result.planned).count() == 3
+
+
+def test_profiling_reads_text_of_the_first_rows_only(spark, tmp_path):
+    grid = standard_sheet(["TFMBA"], [{1: i + 1, 5: "#", 12: 1} for i in range(40)])
+    cells_frame(spark, {("w.xlsx", "s"): grid}).write.parquet(str(tmp_path / "cells"))
+    facts = row_facts(spark.read.parquet(str(tmp_path / "cells")))
+    plan = facts._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "ReadSchema" in line]
+    header = [line for line in scans if "LessThanOrEqual(row" in line]
+    body = [line for line in scans if "GreaterThan(row" in line]
+    assert header and body and all("raw:" not in line for line in body)
+    assert facts.where("hrow > 27").count() == 1
