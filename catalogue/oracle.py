@@ -607,6 +607,11 @@ ORACLE["observations_long"] = _with(*FACTS) + (
     f" SELECT {OBSERVATION_FIELDS}, row, column_index FROM obs")
 ORACLE["dq_issues"] = _with(*LOG) + """
 SELECT workbook, sheet, row_seq, "column", rule, severity, raw_value, repaired_value, note FROM dq"""
+ORACLE["export_text"] = _with(*LOG) + """
+SELECT workbook, sheet, CAST(row_seq AS VARCHAR) AS row_seq, analyte AS name, coalesce(raw_value, '') AS raw_value,
+  coalesce(CAST(value AS VARCHAR), '') AS number, coalesce(CAST(pass AS VARCHAR), '') AS passed FROM obs
+UNION ALL
+SELECT workbook, sheet, coalesce(CAST(row_seq AS VARCHAR), ''), "column", coalesce(raw_value, ''), '', '' FROM dq"""
 ORACLE["misc_rows"] = _with(EVENTS) + """
 SELECT workbook, sheet, row_seq, 'Date=' || coalesce(day, '') || '; Description=' || event_type
   || '; Notes=' || coalesce(notes, '') || '; Result=' || coalesce(result, '')

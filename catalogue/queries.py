@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -18,7 +19,8 @@ from sheetloom.operators.profile import header_bands, sheet_columns as columns_o
 from sheetloom.plans import gold, reports
 from sheetloom.plans.silver import clean
 from sheetloom.sources.folder import grid_preview, workbook_catalog
-from sheetloom.sources.tables import serialized
+from sheetloom.session import shared_folder
+from sheetloom.sources.tables import CSV, serialized, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -398,6 +400,21 @@ def dq_issues(spark, sf_dir):
     return stages.silver(spark, sf_dir).issues
 
 
+@query
+def export_text(spark, sf_dir):
+    """Observations and issues as exported CSV text, read back as texts."""
+    observations = stages.observations(spark, sf_dir).select(
+        "workbook", "sheet", "row_seq", F.col("analyte").alias("name"), "raw_value",
+        F.col("value").alias("number"), F.col("pass").alias("passed"))
+    issues = facts.published_issues(stages.issues(spark, sf_dir)).select(
+        "workbook", "sheet", "row_seq", F.col("column").alias("name"), "raw_value",
+        F.lit(None).cast("double").alias("number"), F.lit(None).cast("boolean").alias("passed"))
+    folder = f"{shared_folder(spark)}/export-{uuid.uuid4().hex}"
+    write_csv(observations.unionByName(issues), folder)
+    texts = spark.read.options(**CSV, multiLine=True).csv(folder)
+    return texts.select(*[F.coalesce(c, F.lit("")).alias(c) for c in texts.columns])
+
+
 @query
 def misc_rows(spark, sf_dir):
     entries = F.array_sort(F.map_entries("fields"))
