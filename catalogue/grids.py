@@ -305,10 +305,10 @@ _written: dict[tuple, str] = {}
 def source_state(spark: SparkSession, sf_dir: str) -> tuple:
     """Identity of the session and of the source files as they are now."""
     files = [
-        tuple(r) for name in GRIDS for r in
-        spark.read.format("binaryFile").load(f"{sf_dir}/{name}.parquet")
-        .select("path", "length", "modificationTime").orderBy("path").collect()]
-    return (spark.sparkContext.applicationId, *files)
+        tuple(spark.read.format("binaryFile").load(f"{sf_dir}/{name}.parquet").agg(
+            F.count("*"), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first())
+        for name in GRIDS]
+    return (spark.sparkContext.applicationId, sf_dir, *files)
 
 
 def cells_table(spark: SparkSession, sf_dir: str) -> DataFrame:
