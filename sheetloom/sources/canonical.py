@@ -6,6 +6,7 @@ matches go to the earlier alias.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -58,13 +59,22 @@ class CanonicalNames:
 DEFAULT_NAMES = CanonicalNames(SYNONYMS, ANALYTES)
 
 
-def load_names(path: str | Path) -> CanonicalNames:
-    """Read ``synonyms`` and ``analytes`` from a YAML (or JSON) schema file."""
-    text = Path(path).read_text(encoding="utf-8")
+def load_names(path: str | Path, spark: SparkSession | None = None) -> CanonicalNames:
+    """Read ``synonyms`` and ``analytes`` from a YAML or JSON schema file.
+
+    With a session the path may lie in any store that Spark reads.  JSON needs no YAML
+    package; a YAML file without one is refused by name.
+    """
+    if spark is None:
+        text = Path(path).read_text(encoding="utf-8")
+    else:
+        text = spark.read.text(str(path), wholetext=True).first()["value"]
     try:
-        import yaml
-        tree = yaml.safe_load(text)
-    except ImportError:
-        import json
         tree = json.loads(text)
+    except ValueError:
+        try:
+            import yaml
+        except ImportError:
+            raise ValueError(f"{path} is no JSON, and PyYAML is not installed") from None
+        tree = yaml.safe_load(text)
     return CanonicalNames(tree.get("synonyms") or {}, tree.get("analytes") or {})

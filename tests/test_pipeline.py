@@ -169,6 +169,7 @@ def test_names_from_file(spark, tmp_path):
     path = tmp_path / "names.yaml"
     path.write_text('{"synonyms": {"a": ["x y", "z"]}, "analytes": {"B": ["b"]}}')
     names = load_names(path)
+    assert load_names(path, spark) == names
     synonyms, analytes = names.frames(spark)
     assert [tuple(r) for r in synonyms.orderBy("ord").collect()] == [("a", "x y", 0), ("a", "z", 1)]
     assert analytes.count() == 1 and DEFAULT_NAMES.frames(spark)[0].count() == 30
