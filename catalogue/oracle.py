@@ -289,7 +289,7 @@ sheet_columns AS (
   SELECT workbook, sheet, pos, CAST(col AS INTEGER), 'analyte', label
   FROM os JOIN band ON even = (pos % 2 = 0)
   UNION ALL
-  SELECT workbook, sheet, NULL, CAST(column_index AS INTEGER), 'meta', raw_label
+  SELECT workbook, sheet, pos, CAST(column_index AS INTEGER), 'meta', raw_label
   FROM es CROSS JOIN flat_labelled)"""
 
 MAPPINGS = f"""
@@ -587,7 +587,7 @@ SELECT sheet, raw_label, canonical, confidence, count(*) OVER () AS flagged
 FROM mappings WHERE confidence < 0.5 AND role <> 'ignored'
 ORDER BY workbook, sheet, column_index LIMIT 5"""
 ORACLE["parse_mapping_responses"] = _with(*MAPPED) + f"""
-SELECT {MAPPING_FIELDS} FROM mappings WHERE pos IS NOT NULL AND pos % 6 IN (3, 4)
+SELECT {MAPPING_FIELDS} FROM mappings WHERE pos % 6 IN (3, 4)
 UNION ALL
 SELECT workbook, sheet, column_index, raw_label, role, canonical, 0.75::DOUBLE, '', 'llm'
 FROM mappings WHERE pos % 6 IN (0, 1)

@@ -330,9 +330,8 @@ def mapping_requests(spark, sf_dir):
 
 
 def _replies(done) -> DataFrame:
-    """Raw replies for the standard sheets, good and bad by sheet position."""
-    sheets = done.profile_frame.where(F.col("layout") == LAYOUT_STANDARD).select(
-        "workbook", "sheet", "sheet_pos")
+    """Raw replies for all mapped sheets, good and bad by sheet position."""
+    sheets = done.profile_frame.select("workbook", "sheet", "sheet_pos")
     mapped = done.mappings.join(sheets, ["workbook", "sheet"])
     col = F.col("column_index")
     sloppy = F.col("sheet_pos") % 6 == 5
@@ -371,10 +370,7 @@ def _replies(done) -> DataFrame:
 @query
 def parse_mapping_responses(spark, sf_dir):
     done = stages.silver(spark, sf_dir)
-    standard = done.profile_frame.where(F.col("layout") == LAYOUT_STANDARD)
-    columns = done.columns.join(standard.select("workbook", "sheet"), ["workbook", "sheet"],
-                                "left_semi")
-    return responses.map_columns_by_replies(columns, _replies(done)).select(*MAPPING_COLUMNS)
+    return responses.map_columns_by_replies(done.columns, _replies(done)).select(*MAPPING_COLUMNS)
 
 
 # --- rows and facts -------------------------------------------------------------------
