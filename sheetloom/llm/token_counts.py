@@ -18,11 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from sheetloom.llm.tokens import default_tokenizer, word_tokens
 
 LEAF_CHARS = 240
+GROUP_CHARS = 2 << 20
 _SPACE = re.compile(r"[ \t-\r]")
 STATE = "leaf_chars array<int>, tree array<int>"
 EDITS = "array<struct<at: int, drop: int, put: string>>"
@@ -53,6 +54,28 @@ def sums(values) -> list[int]:
     return tree.tolist()
 
 
+def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about GROUP_CHARS characters together, to bound a step's memory."""
+    start, size = 0, 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > GROUP_CHARS:
+            yield start, i
+            start, size = i, 0
+        size += len(text)
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def _cut_and_counted(texts: list[str], tokens) -> Iterator[tuple[list[str], np.ndarray]]:
+    """Leaves and their token counts, text by text."""
+    cut = [leaves(t) for t in texts]
+    counts = tokens.counts([leaf for doc in cut for leaf in doc])
+    end = 0
+    for doc in cut:
+        yield doc, counts[end:end + len(doc)]
+        end += len(doc)
+
+
 class CountedText:
     """One document: its leaves and the two trees over them."""
 
@@ -128,16 +151,13 @@ def build(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens = word_tokens(path)
         for batch in batches:
-            for at in range(0, len(batch), 1024):
-                part = batch.iloc[at:at + 1024]
-                texts = [t or "" for t in part["text"]]
-                cut = [leaves(t) for t in texts]
-                counts = tokens.counts([leaf for doc in cut for leaf in doc])
-                ends = np.cumsum([len(doc) for doc in cut])
+            texts = [t or "" for t in batch["text"]]
+            for a, b in _groups(texts):
+                found = list(_cut_and_counted(texts[a:b], tokens))
                 yield pd.DataFrame({
-                    "doc_id": part["doc_id"].astype("Int64").to_numpy(), "text": texts,
-                    "leaf_chars": [[len(leaf) for leaf in doc] for doc in cut],
-                    "tree": [sums(counts[b - len(doc):b]) for doc, b in zip(cut, ends.tolist())]})
+                    "doc_id": batch["doc_id"].iloc[a:b].astype("Int64").to_numpy(), "text": texts[a:b],
+                    "leaf_chars": [[len(leaf) for leaf in doc] for doc, _ in found],
+                    "tree": [sums(counts) for _, counts in found]})
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(
         run, f"doc_id long, text string, {STATE}")
@@ -188,25 +208,39 @@ _PERSONAL = re.compile(
     r"|(?P<phone>\+\d{1,3} \(\d{3}\) \d{3}-\d{4})|(?P<address>\b\d{1,3}(?:\.\d{1,3}){3}\b)")
 
 
-def _redactions(texts: pd.Series) -> pd.Series:
-    out = []
-    for text in texts:
-        found = list(_PERSONAL.finditer(text)) if text else []
-        out.append([{"at": m.start(), "drop": m.end() - m.start(), "put": f"[{m.lastgroup}]"}
-                    for m in reversed(found)])
-    return pd.Series(out)
-
-
-def redactions(text) -> Column:
-    """Edits that replace mail addresses, telephone numbers and network addresses by their
-    kind; from the end of the text to its start, so that positions hold."""
-    return F.pandas_udf(_redactions, EDITS)(text)
+def redactions(text: str | None) -> list[tuple[int, int, str]]:
+    """Edits (at, drop, put) that replace mail addresses, telephone numbers and network
+    addresses by their kind; from the end of the text to its start, so that positions hold."""
+    found = list(_PERSONAL.finditer(text)) if text else []
+    return [(m.start(), m.end() - m.start(), f"[{m.lastgroup}]") for m in reversed(found)]
 
 
 def redacted_counts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """``doc_id, n_tokens, n_edits, n_tokens_after, encoded_again`` of each row: its token
-    count, and the count after personal data is redacted, found from its tree."""
-    state = build(docs, tokenizer).withColumn("edits", redactions("text"))
-    return update(state, tokenizer).select(
-        "doc_id", F.col("n_before").alias("n_tokens"), "n_edits",
-        F.col("n_tokens").alias("n_tokens_after"), "encoded_again")
+    count, and the count after personal data is redacted, found from its tree.
+
+    Trees live only while their document is in hand: one worker a task, no text goes back.
+    """
+    path = tokenizer or default_tokenizer()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tokens = word_tokens(path)
+        for batch in batches:
+            texts, out = [t or "" for t in batch["text"]], []
+            for a, b in _groups(texts):
+                for text, (parts, counts) in zip(texts[a:b], _cut_and_counted(texts[a:b], tokens)):
+                    edits = redactions(text)
+                    if not edits:
+                        out.append((int(counts.sum()), 0, int(counts.sum()), 0))
+                        continue
+                    doc = CountedText(list(parts), sums([len(p) for p in parts]), sums(counts))
+                    before = doc.tokens[1]
+                    for at, drop, put in edits:
+                        doc.edit(at, drop, put, tokens.counts)
+                    out.append((before, len(edits), doc.tokens[1], doc.encoded_again))
+            frame = pd.DataFrame(out, columns=["n_tokens", "n_edits", "n_tokens_after", "encoded_again"])
+            frame.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
+            yield frame
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(
+        run, "doc_id long, n_tokens long, n_edits long, n_tokens_after long, encoded_again long")

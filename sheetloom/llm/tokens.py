@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_WORDS = 500_000
+CACHE_WORDS = 400_000
 SLICE_CHARS = 3 << 20     # characters that are cut into words at a time
 
 _PLAIN = re.compile("[\x00-\x08\x0e-\x1f\x21-\x7eÀ-ÖØ-öø-ɏ]+")
