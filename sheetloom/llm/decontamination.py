@@ -52,15 +52,17 @@ def _simhashed(df: DataFrame, keys: list[str], column: str) -> DataFrame:
     Each of 32 sums counts two bits, in the two halves of a 64-bit word.
     """
     lanes = F.lit(0x0000000100000001)
-    sums = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(lanes)).alias(f"s{i}") for i in range(32)]
-    counted = (df.select(*keys, F.explode(column).alias("h"))
-               .groupBy(*keys).agg(F.count("*").alias("n"), *sums))
-    word = F.lit(0).cast("long")
-    for i in range(32):
-        for half in (0, 1):
-            ones = F.shiftrightunsigned(F.col(f"s{i}"), 32 * half).bitwiseAND(F.lit(0xFFFFFFFF))
-            bit = F.shiftleft((ones * 2 > F.col("n")).cast("long"), i + 32 * half)
-            word = word.bitwiseOR(bit)
+    sums = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(lanes)) for i in range(32)]
+    counted = (df.select(*keys, F.explode_outer(column).alias("h"))
+               .groupBy(*keys).agg(F.count("*").alias("n"), F.array(*sums).alias("sums")))
+
+    def bit(i: Column, half: int) -> Column:
+        ones = F.shiftrightunsigned(F.get("sums", i), 32 * half).bitwiseAND(F.lit(0xFFFFFFFF))
+        return F.call_function("shiftleft", (ones * 2 > F.col("n")).cast("long"), i + 32 * half)
+
+    # a loop in place of 64 terms keeps plans and generated code small
+    word = F.aggregate(F.sequence(F.lit(0), F.lit(31)), F.lit(0).cast("long"),
+                       lambda fp, i: fp.bitwiseOR(bit(i, 0)).bitwiseOR(bit(i, 1)))
     return counted.select(*keys, word.alias("fp"))
 
 
@@ -70,17 +72,20 @@ def _blocks() -> list[tuple[int, int]]:
     return [(sum(sizes[:i]), n) for i, n in enumerate(sizes)]
 
 
-def _block_values(near: int) -> Column:
-    """Structs (block, value) under which a fingerprint is entered: all values within
-    ``near`` bits, for each block."""
-    out = []
+def _entered(marked: DataFrame, near: int) -> DataFrame:
+    """``marked`` (with ``fp``) under every ``block, value`` within ``near`` bits of its own."""
+    codes = []          # block, its shift, its width and the bits to flip, in one number each
     for i, (shift, width) in enumerate(_blocks()):
-        own = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1))
         for k in range(near + 1):
             for flipped in combinations(range(width), k):
-                mask = F.lit(sum(1 << b for b in flipped))
-                out.append(F.struct(F.lit(i).alias("block"), own.bitwiseXOR(mask).alias("value")))
-    return F.array(*out)
+                codes.append(i | shift << 8 | width << 16 | sum(1 << b for b in flipped) << 24)
+    code = F.col("code")
+    shift, width = F.shiftright(code, 8).bitwiseAND(F.lit(255)), F.shiftright(code, 16).bitwiseAND(F.lit(255))
+    own = F.call_function("shiftrightunsigned", F.col("fp"), shift.cast("int")).bitwiseAND(
+        F.call_function("shiftleft", F.lit(1).cast("long"), width.cast("int")) - 1)
+    return marked.select("*", F.explode(F.lit(codes).cast("array<long>")).alias("code")).select(
+        *marked.columns, code.bitwiseAND(F.lit(255)).cast("int").alias("block"),
+        own.bitwiseXOR(F.shiftright(code, 24)).alias("value"))
 
 
 def _similarity(a: Column, b: Column) -> Column:
@@ -130,12 +135,11 @@ def _passages(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
     # equal windows are searched once
     contents = durable(windows.groupBy("size", "content").agg(F.first("hashes").alias("hashes")))
     marked = _simhashed(contents, ["size", "content"], "hashes")
-    probes = marked.select("size", "content", "fp", F.explode(_block_values(0)).alias("b")).select(
-        "size", "content", "fp", "b.block", "b.value")
-    entered = (_simhashed(items, ["item_id"], "hashes").join(items, "item_id")
-               .select("item_id", F.size("hashes").alias("size"), F.col("fp").alias("item_fp"),
-                       F.explode(_block_values(RADIUS // BLOCKS)).alias("b"))
-               .select("item_id", "size", "item_fp", "b.block", "b.value"))
+    probes = _entered(marked, 0)
+    entered = _entered(
+        _simhashed(items, ["item_id"], "hashes").join(items, "item_id")
+        .select("item_id", F.size("hashes").alias("size"), "fp"),
+        RADIUS // BLOCKS).withColumnRenamed("fp", "item_fp")
     candidates = (probes.join(entered, ["size", "block", "value"])
                   .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
                   .select("size", "content", "item_id").distinct())
