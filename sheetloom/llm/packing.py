@@ -4,12 +4,15 @@ The lengths of all pieces form a histogram of at most ``capacity`` entries, what
 number of documents.  Over it stands the configuration linear program: a configuration is
 a multiset of lengths that fits one sequence; use as few as cover the histogram.  It is
 solved by multiplicative weights: every length has a price, a knapsack dynamic program
-finds the configuration of the greatest price, a share of it is taken, and the prices of
-the lengths it holds fall in proportion to what it covered.  The solution is rounded down
-to whole sequences, and the few pieces left over go best-fit into further ones.
+finds the configurations of the greatest price, a share of the demand is taken by each, and
+the prices of the lengths they hold fall in proportion to what was covered.  That goes on
+until every length is covered.  The solution is rounded down to whole sequences, which
+leaves less than one sequence to a length; these pieces go best-fit into further sequences,
+equal ones together.
 
 Spark tokenizes, counts, ranks the pieces of each length and looks up their places; only
-the histogram and the plan (both bounded by the capacity and the rounds) meet the driver.
+the histogram and the plan meet the driver.  Both are bounded by the capacity, whatever the
+number of pieces.
 """
 
 from __future__ import annotations
@@ -28,8 +31,8 @@ from sheetloom.session import durable
 
 CAPACITY = 2048
 END = 0                   # id that closes a document
-ROUNDS = 500             # configurations the program may take
-STEP = 0.25               # share of its scarcest demand that a round covers
+STEP = 0.25               # share of its scarcest length's whole demand that a configuration covers
+SLACK = 0.05              # how far below the best price a configuration of the same round may be
 LONG_BONUS = 0.1
 BUCKETS = 64              # parts that the pieces of one length are ranked in
 
@@ -82,8 +85,8 @@ class Plan:
     sequences: int
 
 
-def _best_configuration(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> dict[int, int]:
-    """The multiset of lengths of the greatest total price within the capacity."""
+def _knapsack(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """The greatest total price within each room up to the capacity, and a length that has part in it."""
     by_length = np.full(capacity + 1, -1.0)
     by_length[lengths] = prices
     best = np.zeros(capacity + 1)
@@ -96,24 +99,37 @@ def _best_configuration(prices: np.ndarray, lengths: np.ndarray, capacity: int)
             best[c], taken[c] = value[k], low + k
         else:
             best[c] = best[c - 1]
-    held: dict[int, int] = {}
-    c = capacity
-    while c >= low:
-        if taken[c]:
-            held[int(taken[c])] = held.get(int(taken[c]), 0) + 1
-            c -= int(taken[c])
-        else:
-            c -= 1
+    return best, taken
+
+
+def _configuration(taken: np.ndarray, n: int, capacity: int) -> dict[int, int]:
+    """The multiset of the greatest price among those that hold length ``n``."""
+    held, c = {n: 1}, capacity - n
+    while c > 0:
+        k = int(taken[c])
+        if k:
+            held[k] = held.get(k, 0) + 1
+        c -= k or 1
     return held
 
 
-def solve(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS,
+def most_rounds(lengths: int, step: float = STEP) -> int:
+    """Rounds that surely cover so many lengths: each takes at least half a step of some
+    length's demand, or what is left of it but a part of one configuration, or that part."""
+    return lengths * (int(np.ceil(2 / step)) + 2)
+
+
+def solve(counts: dict[int, int], capacity: int = CAPACITY, rounds: int | None = None,
           step: float = STEP) -> list[tuple[dict[int, int], float]]:
-    """Configurations with fractional multiplicities: the linear program's solution.
+    """Configurations with their multiplicities: the linear program's solution.
 
     Prices start near the lengths' share of the capacity, which is a feasible dual (a
     little more for long ones, that are hard to place late), and fall by exp(-covered
-    share); a length that is covered leaves the program.
+    share); a length that is covered leaves the program.  One dynamic program serves a
+    round: it gives the best configuration through each length, of which those near the
+    best price are taken that share no length.  Multiplicities are whole as long as one
+    whole sequence can be filled; a part of one always ends a length.  ``rounds`` ends the
+    program early; by itself it runs until all is covered.
     """
     lengths = np.array(sorted(counts), dtype=np.int64)
     demand = np.array([counts[int(n)] for n in lengths], dtype=np.float64)
@@ -121,25 +137,37 @@ def solve(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS
     prices = lengths / capacity * (1 + LONG_BONUS * lengths / capacity)
     place = {int(n): i for i, n in enumerate(lengths)}
     solution = []
-    for _ in range(rounds):
-        open_ = rest > 1e-9 * demand
-        if not open_.any():
+    for _ in range(most_rounds(len(lengths), step) if rounds is None else rounds):
+        open_ = np.flatnonzero(rest > 1e-9 * demand)
+        if not open_.size:
             break
-        held = _best_configuration(prices[open_], lengths[open_], capacity)
-        at = np.array([place[n] for n in held])
-        copies = np.array(list(held.values()), dtype=np.float64)
-        room = (rest[at] / copies).min()
-        # a whole share of the scarcest length once little of it is left
-        amount = room if room <= 1 or (rest[at] <= step * demand[at]).any() else max(1.0, step * room)
-        rest[at] = np.maximum(0.0, rest[at] - copies * amount)
-        prices[at] *= np.exp(-step * copies * amount / demand[at])
-        solution.append((held, float(amount)))
+        best, taken = _knapsack(prices[open_], lengths[open_], capacity)
+        through = prices[open_] + best[capacity - lengths[open_]]
+        used: set[int] = set()
+        for i in np.argsort(-through, kind="stable"):
+            if used and through[i] < (1 - SLACK) * best[capacity]:
+                break
+            n = int(lengths[open_[i]])
+            held = _configuration(taken, n, capacity) if n not in used else {}
+            if not held or used & held.keys():
+                continue
+            used |= held.keys()
+            at = np.array([place[n] for n in held])
+            copies = np.array(list(held.values()), dtype=np.float64)
+            room = (rest[at] / copies).min()
+            whole = int(min(room + 1e-9, max(1.0, step * (demand[at] / copies).min())))
+            amount = float(whole or room)
+            rest[at] = np.maximum(0.0, rest[at] - copies * amount)
+            prices[at] *= np.exp(-step * copies * amount / demand[at])
+            solution.append((held, amount))
+    assert rounds is not None or not (rest > 1e-9 * demand).any()
     return solution
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS,
-         step: float = STEP) -> Plan:
-    """Whole sequences for a histogram of lengths (1 to ``capacity``)."""
+def programmed(counts: dict[int, int], capacity: int = CAPACITY, rounds: int | None = None,
+               step: float = STEP) -> tuple[list[tuple[tuple, int]], dict[int, int]]:
+    """Whole sequences of the program, as (length, copies) pairs and how often, and what it
+    leaves of each length."""
     left = {int(n): int(k) for n, k in counts.items() if k}
     merged: dict[tuple, float] = {}
     for held, amount in solve(left, capacity, rounds, step) if left else []:
@@ -147,27 +175,57 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS,
         merged[key] = merged.get(key, 0.0) + amount
     whole = []
     for key, amount in merged.items():
-        times = min(int(amount + 1e-9), *(left[n] // k for n, k in key))
-        if times:
+        times = min(int(amount + 1e-6), *(left[n] // k for n, k in key))
+        if times > 0:
             whole.append((key, times))
             for n, k in key:
                 left[n] -= k * times
-    # best fit, longest first: sequences by their free room
-    free: list[list[dict[int, int]]] = [[] for _ in range(capacity + 1)]
-    filled = np.zeros(capacity + 1, dtype=np.int64)         # how many have exactly this room
+    left = {n: k for n, k in left.items() if k}
+    # a part of a sequence ends a length, so the parts are fewer than the lengths
+    assert rounds is not None or sum(n * k for n, k in left.items()) <= capacity * len(counts)
+    return whole, left
+
+
+def best_fit(left: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple, int]]:
+    """Sequences by best fit, longest first, with equal ones as one entry.
+
+    A piece goes where the least room is left.  So one length fills all sequences of a room
+    as far as they hold it before it comes to the next room: each length divides at most
+    one kind of sequence, and makes at most two.
+    """
+    kinds: list[list[tuple[tuple, int]]] = [[] for _ in range(capacity + 1)]     # by their free room
+    filled = np.zeros(capacity + 1, dtype=bool)
+
+    def put(room: int, held: tuple, times: int) -> None:
+        if times:
+            kinds[room].append((held, times))
+            filled[room] = True
+
     for n in sorted(left, reverse=True):
-        for _ in range(left[n]):
+        count = left[n]
+        while count:
             rooms = np.flatnonzero(filled[n:])
             if rooms.size:
                 room = n + int(rooms[0])
-                target = free[room].pop()
-                filled[room] -= 1
+                held, times = kinds[room].pop()
+                filled[room] = bool(kinds[room])
             else:
-                room, target = capacity, {}
-            target[n] = target.get(n, 0) + 1
-            free[room - n].append(target)
-            filled[room - n] += 1
-    whole += [(tuple(sorted(held.items(), reverse=True)), 1) for row in free for held in row if held]
+                room, held, times = capacity, (), -(-count // (capacity // n))
+            per = min(room // n, count)
+            took = min(times, count // per)
+            put(room, held, times - took if held else 0)
+            put(room - per * n, (*held, (n, per)), took)
+            count -= per * took
+    return [kind for row in kinds for kind in row]
+
+
+def plan(counts: dict[int, int], capacity: int = CAPACITY, rounds: int | None = None,
+         step: float = STEP) -> Plan:
+    """Whole sequences for a histogram of lengths (1 to ``capacity``)."""
+    whole, left = programmed(counts, capacity, rounds, step)
+    rest = best_fit(left, capacity)
+    assert len(rest) <= 3 * len(counts)
+    whole += rest
     first = dict.fromkeys(counts, 0)
     entries, base = [], 0
     for key, times in whole:
@@ -177,6 +235,8 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS,
             first[n] += k * times
             offset += n * k
         base += times
+    # a sequence holds fewer than sqrt(2 * capacity) different lengths
+    assert rounds is not None or len(entries) <= most_rounds(len(counts), step) * (2 * capacity) ** 0.5
     entries.sort()
     columns = np.array(entries, dtype=np.int64).reshape(-1, 5).T
     return Plan(*columns, sequences=base)
@@ -187,7 +247,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS,
 _SPAN = np.int64(1) << 48      # ranks below this
 
 
-def placed(parts: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
+def placed(parts: DataFrame, capacity: int = CAPACITY, rounds: int | None = None) -> DataFrame:
     """``parts`` (stored pieces) with ``sequence_id, offset``.
 
     Ranks within a length are dealt in two levels, so that the pieces of one length are
@@ -219,7 +279,7 @@ def placed(parts: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) ->
 
 
 def packed(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY,
-           rounds: int = ROUNDS, keep_ids: bool = False) -> DataFrame:
+           rounds: int | None = None, keep_ids: bool = False) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` of every piece.
 
     A document is its ids and a closing id 0; a longer one than ``capacity`` is cut there.

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from tokenizers import Tokenizer
 
-from sheetloom.llm.packing import packed, plan, solve
+from sheetloom.llm.packing import best_fit, packed, plan, programmed, solve
 from sheetloom.llm.tokens import WordTokens, default_tokenizer
 
 SCHEMA = "doc_id long, text string"
@@ -80,6 +80,38 @@ def test_the_program_covers_what_it_solves():
     assert all(sum(n * k for n, k in held.items()) <= 100 for held, _ in solution)
 
 
+def test_the_program_places_all_but_a_sequence_a_length():
+    rng = np.random.default_rng(2)
+    sizes = Counter(int(n) for n in np.minimum(512, rng.lognormal(4, 1.2, 20_000) + 1))
+    entries = []
+    for times in (1, 100):
+        counts = {n: k * times for n, k in sizes.items()}
+        total = sum(n * k for n, k in counts.items())
+        whole, left = programmed(counts, 512)
+        assert sum(n * k for n, k in left.items()) <= 512 * len(counts)
+        for n, k in counts.items():
+            assert sum(dict(key).get(n, 0) * x for key, x in whole) + left.get(n, 0) == k
+        made = plan(counts, 512)
+        assert made.sequences <= 1.005 * total / 512 + 1
+        entries.append(len(made.length))
+        if times == 100:
+            assert sum(n * k for n, k in left.items()) <= 0.02 * total
+    assert entries[1] <= 1.5 * entries[0]
+
+
+def test_best_fit_by_count_equals_best_fit_by_piece():
+    rng = np.random.default_rng(3)
+    for top in (100, 60, 20):
+        left = Counter(int(n) for n in rng.integers(1, top, 800))
+        rooms: list[int] = []
+        for n in sorted(left.elements(), reverse=True):
+            fitting = [r for r in rooms if r >= n]
+            rooms.append((rooms.pop(rooms.index(min(fitting))) if fitting else 100) - n)
+        kinds = best_fit(left, 100)
+        assert Counter(rooms) == sum((Counter({100 - sum(n * k for n, k in held): x}) for held, x in kinds), Counter())
+        assert sum((Counter({n: k * x for n, k in held}) for held, x in kinds), Counter()) == left
+
+
 def test_query_places_every_document(spark):
     from sheetloom.llm.queries import QUERIES
     rows = QUERIES["op8_best_fit_packing"](spark, "/root/testdata/sf0.001").collect()
