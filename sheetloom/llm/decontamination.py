@@ -8,9 +8,10 @@ it occurs.  A multi-index over ``BLOCKS`` blocks of the fingerprint finds every
 near for each block.  Candidates are then compared exactly, by the weighted Jaccard
 similarity of their shingles.
 
-Windows are laid only where they can matter.  A window that reaches ``SIMILARITY`` shares
-at least 2s/(1+s) of its shingles with the item; moved right to its first shared shingle
-it loses none.  So windows of a size start at shingles that some item of that size has (or
+Windows are laid only where they can matter.  A window of m shingles that reaches
+``SIMILARITY`` with an item of n shares at least s/(1+s) * (m+n) shingles with it (m is n,
+or all that a shorter document has); moved right to its first shared shingle it loses
+none.  So windows of a size start at shingles that some item of that size has (or
 end with the document) and must hold that many of them; which item it might be is left to
 the fingerprints.
 """
@@ -105,13 +106,15 @@ def _passages(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
     ``docs``: doc_id, text_key, text; ``items``: item_id, hashes.
     """
     wanted = items.select(F.size("hashes").alias("size"), F.explode("hashes").alias("h")).distinct()
-    read = docs.select("doc_id", "text_key", words(F.col("text")).alias("w"))
+    read = (docs.select("doc_id", "text_key", words(F.col("text")).alias("w"))
+            .select("*", (F.size("w") - (width - 1)).alias("m")))
     # outer: else the optimiser repeats the whole expression in a filter on the scan
-    spots = (read.select("doc_id", "text_key", F.posexplode_outer(shingles(F.col("w"), width)).alias("at", "h"))
+    spots = (read.select("doc_id", "text_key", "m", F.posexplode_outer(shingles(F.col("w"), width)).alias("at", "h"))
              .join(wanted, "h"))
-    hits = spots.groupBy("doc_id", "text_key", "size").agg(F.sort_array(F.collect_set("at")).alias("hits"))
-    share = 2 * SIMILARITY / (1 + SIMILARITY)
-    need = F.ceil(F.col("size") * F.lit(share) - F.lit(1e-9)).cast("int")
+    hits = spots.groupBy("doc_id", "text_key", "size").agg(
+        F.sort_array(F.collect_set("at")).alias("hits"), F.first("m").alias("m"))
+    share = SIMILARITY / (1 + SIMILARITY)       # of the shingles of the item and of the window
+    need = F.ceil((F.col("size") + F.least("m", "size")) * F.lit(share) - F.lit(1e-9)).cast("int")
     held = F.filter(
         F.when(F.size("hits") >= need, F.sequence(F.lit(0), F.size("hits") - need)).otherwise(
             F.array().cast("array<int>")),

@@ -57,6 +57,28 @@ def test_equals_brute_force(spark):
         assert best(" ".join(d[r.start_word:r.start_word + r.n_words]), " ".join(q)) >= 0.8
 
 
+def test_documents_shorter_than_the_item_equal_brute_force(spark):
+    rng = random.Random(5)
+    pool = [f"w{i}" for i in range(3000)]
+    items = [(i, " ".join(rng.choices(pool, k=k))) for i, k in enumerate((14, 20, 40, 49, 59, 80, 200))]
+    docs = [(0, " ".join(words(items[3][1])[:41]))]
+    for i in range(1, 150):
+        item = words(rng.choice(items)[1])
+        gone = rng.randint(0, len(item) // 4)
+        front = rng.randint(0, gone)
+        part = item[front:len(item) - (gone - front)]
+        if rng.random() < 0.3:
+            part[rng.choice([0, -1, len(part) // 2])] = rng.choice(pool)
+        docs.append((i, " ".join(part)))
+    docs = spark.createDataFrame(docs, DOCS), docs
+    items = spark.createDataFrame(items, ITEMS), items
+    got = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in contaminated(docs[0], items[0]).collect()}
+    want = {(d, i): round(best(t, q), 9) for d, t in docs[1] for i, q in items[1] if best(t, q) >= 0.8}
+    assert got == want and (0, 3) in got and 40 < len(want) < 150
+    kept = {r.doc_id for r in clean(docs[0], items[0]).collect()}
+    assert kept == {d for d, _ in docs[1]} - {d for d, _ in want}
+
+
 def test_clean_and_odd_rows(spark):
     item = "one two three four five six seven eight"
     docs = spark.createDataFrame(
