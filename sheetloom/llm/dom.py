@@ -1,6 +1,7 @@
 """A tolerant reader of HTML into block nodes, as features for a classifier.
 
-Only block elements are nodes; inline markup stays within its block.  What is never text
+Only block elements are nodes; inline markup stays within its block.  A run of text that
+no block but the page or its body holds is a node ``#text`` of its own.  What is never text
 (scripts, styles, comments, the head) is left out while reading.  Pages may end anywhere:
 open elements are closed at the end, an unfinished tag there is dropped.
 """
@@ -20,8 +21,10 @@ _TOKEN = re.compile(
 _BROKEN = re.compile(r"<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>[^>]*)(?P<end>>|\Z)", re.S)
 _ATTR = re.compile(r"(class|id|role|hidden|style|aria-hidden|aria-label)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 
-# Kinds of HTML elements.
-RAW = frozenset("script style template noscript svg math iframe object textarea select option title".split())
+# Kinds of HTML elements.  What is left out ends at its closing tag; if that is missing, RAW runs to the
+# end of the page (as in browsers) and SKIPPED to the end of its parent.
+RAW = frozenset("script style textarea title".split())
+SKIPPED = frozenset("template noscript svg math iframe object select option".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "html body article main section div header footer nav aside form p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table "
@@ -32,6 +35,7 @@ CLOSED_BY = {       # an open element (key) ends where one of these begins
     "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"},
     "head": BLOCK - {"html", "head"},
 }
+HOLDERS = frozenset(["#page", "html", "body"])      # text directly in these is a node of its own
 NEGATIVE = ("nav menu footer header sidebar side aside comment reply ad ads advert promo sponsor banner cookie consent "
             "notice popup modal share social related recommend newsletter subscribe breadcrumb pagination pager "
             "widget toolbar login search form copyright legal tags meta byline alert disclaimer hidden").split()
@@ -51,25 +55,76 @@ class Node:
     links: int = 0                                  # characters of own text within links
 
 
+def _tag(page: str, lt: int) -> re.Match | None:
+    m = _TOKEN.match(page, lt)
+    if m is None or (m["tag"] and m["end"] == ""):
+        m = _BROKEN.match(page, lt) or m        # an unclosed quotation mark
+    return m
+
+
+def _after_skipped(page: str, at: int, tag: str, around: list[str], last: int) -> int:
+    """Where reading goes on after a skipped element ``tag`` whose content begins at ``at``.
+
+    That is behind its closing tag, or where the element around it ends: at the closing tag
+    of that one (a block of ``around``, or inline markup opened before), or where a block
+    begins that ends it.  ``last`` is the place of the page's last closing tag of this kind.
+    """
+    inside, implied = [tag], None
+    while (lt := page.find("<", at)) >= 0:
+        m = _tag(page, lt)
+        at = m.end() if m else lt + 1
+        if m is None or m["tag"] is None or m["end"] == "":
+            continue
+        name = m["tag"].lower()
+        if m["close"]:
+            if name in inside:
+                while inside.pop() != name:
+                    pass
+                if not inside:
+                    return at
+            elif name in around or name not in BLOCK:
+                return lt if implied is None else implied
+        else:
+            ends = name == tag == "option" or name in CLOSED_BY.get(around[-1], ()) and not BLOCK & set(inside)
+            if implied is None and ends:
+                implied = lt
+            if implied is not None and (lt > last or tag == "option"):
+                return implied
+            if name in RAW:
+                stop = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+                at = stop.end() if stop else len(page)
+            elif name not in VOID and not m["attrs"].endswith("/"):
+                inside.append(name)
+    return len(page) if implied is None else implied
+
+
 def read(page: str | None) -> list[Node]:
     """The block nodes of a page in order; node 0 is the page itself."""
     nodes = [Node("#page", -1, 0)]
     stack = [0]
     run: list[str] = []
-    state = {"order": 0, "links": 0}
+    state = {"order": 0, "links": 0, "linked": 0}
     page = page or ""
+    last: dict[str, int] = {}
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(run)).split())
+        node = nodes[stack[-1]]
         if text:
-            nodes[stack[-1]].pieces.append((state["order"], text))
+            if node.tag in HOLDERS:
+                node.children.append(len(nodes))
+                node = Node("#text", stack[-1], len(stack))
+                nodes.append(node)
+            node.pieces.append((state["order"], text))
             state["order"] += 1
+        node.links += state["linked"]
+        state["linked"] = 0
         run.clear()
 
     def add(text: str) -> None:
         run.append(text)
         if state["links"]:
-            nodes[stack[-1]].links += len(text.strip())
+            state["linked"] += len(text.strip())
 
     at, size = 0, len(page)
     while at < size:
@@ -79,9 +134,7 @@ def read(page: str | None) -> list[Node]:
             break
         if lt > at:
             add(page[at:lt])
-        m = _TOKEN.match(page, lt)
-        if m is None or (m["tag"] and m["end"] == ""):
-            m = _BROKEN.match(page, lt) or m        # an unclosed quotation mark
+        m = _tag(page, lt)
         if m is None:
             add("<")
             at = lt + 1
@@ -96,6 +149,13 @@ def read(page: str | None) -> list[Node]:
                 at = stop.end() if stop else size
             run.append(" ")
             continue
+        if tag in SKIPPED:
+            if not m["close"] and not m["attrs"].endswith("/"):
+                if tag not in last:
+                    last[tag] = max((c.start() for c in re.finditer(rf"</{re.escape(tag)}\b", page, re.I)), default=-1)
+                at = _after_skipped(page, at, tag, [nodes[k].tag for k in stack], last[tag])
+            run.append(" ")
+            continue
         if tag not in BLOCK:
             if tag == "a":
                 state["links"] = 0 if m["close"] else 1
@@ -134,7 +194,7 @@ def _attributes(attrs: str) -> tuple[frozenset, bool]:
 
 
 _TAGS = ["#page", "html", "body", "article", "main", "section", "div", "header", "footer", "nav", "aside", "form",
-         "p", "ul", "ol", "li", "table", "tr", "td", "blockquote", "pre", "figure", "figcaption", "head"]
+         "p", "ul", "ol", "li", "table", "tr", "td", "blockquote", "pre", "figure", "figcaption", "head", "#text"]
 _CODE = {t: i for i, t in enumerate(_TAGS)}
 FEATURES = ("tag heading own_chars own_link_share tree_chars tree_link_share density tree_nodes depth place places "
             "same_tag_share punctuation negative positive unseen above_negative above_positive in_article "

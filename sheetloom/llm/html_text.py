@@ -7,8 +7,8 @@ drop for all nodes at once: the likeliest assignment in which nothing is kept be
 dropped node, found by one pass up and one down the tree.
 
 The classifier is trained here, on ``TRAIN_PAGES`` generated pages whose parts are known
-(articles within every kind of frame, menus, notices, adverts, comments and forms); no
-given page is looked at.
+(articles within every kind of frame or none, menus, notices, adverts, comments and forms,
+in blocks or as loose text); no given page is looked at.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sheetloom.llm.dom import Node, features, read
 
-TRAIN_PAGES = 500
+TRAIN_PAGES = 800
 TREES = 60
 DEPTH = 4
 BINS = 32
@@ -85,6 +85,38 @@ def _around(rng: random.Random) -> str:
 
 
 _MAIN = "data-main"
+_LOOSE = "\ue000"         # begins a loose run of main text
+
+
+def _inline(rng: random.Random, text: str) -> str:
+    """``text`` in markup that makes no block, or bare."""
+    tag = rng.choice(["", "", "center", "font", "span", "app-article", "x-content", "b"])
+    return f"<{tag}>{text}</{tag}>" if tag else text
+
+
+def _loose_article(rng: random.Random) -> str:
+    """Main text that stands in the body itself: runs parted by <br>, between headings and paragraphs."""
+    def run() -> str:
+        parts = [_words(rng, *rng.choice([(10, 60), (40, 150)])) for _ in range(rng.choice([1, 1, 2, 4, 8]))]
+        text = rng.choice(["<br>", "<br><br>", "<br/>\n"]).join(parts)
+        if rng.random() < 0.15:
+            text += f' <a href="/x">{_words(rng, 1, 4)}</a> {_words(rng, 3, 20)}'
+        return _inline(rng, _LOOSE + text)
+
+    head = rng.choice([f"<h1 {_MAIN}>{_words(rng, 3, 12)}</h1>"] * 3 + [""])
+    parts = [run()]
+    for _ in range(rng.choice([0, 0, 1, 2, 4])):
+        parts += [rng.choice([f"<p {_MAIN}>{_words(rng, 10, 90)}</p>", f"<h2 {_MAIN}>{_words(rng, 2, 8)}</h2>",
+                              f"<p {_MAIN}>{_words(rng, 10, 90)}</p>", _around(rng)])]
+        parts += [run()] if rng.random() < 0.7 else []
+    return head + "".join(parts)
+
+
+def _loose_around(rng: random.Random) -> str:
+    """Loose text that is not main text, closed off by a rule-like block."""
+    links = lambda: rng.choice([" | ", " ", " - "]).join(
+        f'<a href="/{i}">{_words(rng, 1, 3).rstrip(".")}</a>' for i in range(rng.randint(2, 10)))
+    return _inline(rng, rng.choice([links(), links(), f"&copy; {_words(rng, 2, 8)}", _words(rng, 1, 5).rstrip(".")]))
 
 
 def _article(rng: random.Random) -> str:
@@ -122,16 +154,31 @@ def generated_page(rng: random.Random) -> tuple[list[Node], np.ndarray]:
     """A page's nodes and, for each, whether it is (or leads to) main text."""
     before = [_around(rng) for _ in range(rng.randint(0, 4))]
     after = [_around(rng) for _ in range(rng.randint(0, 4))]
-    inner = "".join(before) + (_article(rng) if rng.random() > 0.04 else "") + "".join(after)
+    loose = rng.random() < 0.3
+    article = (_loose_article if loose else _article)(rng) if rng.random() > 0.04 else ""
+    # a block parts the loose texts around from the article's own
+    if rng.random() < 0.3:
+        before = [_loose_around(rng), *before, _links(rng, "nav", "")]
+    if rng.random() < 0.3:
+        after = [_links(rng, "footer", ""), *after, _loose_around(rng)]
+    inner = "".join(before) + article + "".join(after)
+    if loose:
+        page = rng.choice([f"<!DOCTYPE html><html><head><title>x</title></head><body>{inner}</body></html>",
+                           f"<html><body>{inner}", inner])
+        return _labelled(page)
     for _ in range(rng.choice([0, 0, 1, 2])):
         inner = f'<div{rng.choice(["", " class=\"wrapper\"", " id=\"page\"", " class=\"container\"", " class=\"layout row\""])}>{inner}</div>'
-    page = f"<!DOCTYPE html><html><head><title>x</title></head><body>{inner}</body></html>"
+    return _labelled(f"<!DOCTYPE html><html><head><title>x</title></head><body>{inner}</body></html>")
+
+
+def _labelled(page: str) -> tuple[list[Node], np.ndarray]:
     marks = read(page.replace(_MAIN, 'role="mainmark"'))
-    kept = np.array(["mainmark" in x.words for x in marks])
+    kept = np.array(["mainmark" in x.words or any(_LOOSE in t for _, t in x.pieces) for x in marks])
     for i in range(len(marks) - 1, 0, -1):
         kept[marks[i].parent] |= kept[i]
     for x in marks:
         x.words = x.words - {"mainmark"}
+        x.pieces = [(at, t.replace(_LOOSE, "")) for at, t in x.pieces]
     return marks, kept
 
 
@@ -231,11 +278,9 @@ def main_texts(pages: list[str | None], trees: BoostedTrees) -> list[str]:
     for nodes in read_pages:
         kept = decode(nodes, odds[at:at + len(nodes)])
         at += len(nodes)
-        # text that stands in the page outside any element is kept only where nothing encloses it
-        blocks = sorted(b for x, k in zip(nodes, kept) if k and x.tag not in ("#page", "html", "body", "head")
-                        for b in x.pieces)
-        if len(nodes) == 1:
-            blocks = sorted(nodes[0].pieces)
+        if all(x.tag in ("#page", "#text") for x in nodes):     # no element: a text is its own main text
+            kept = [True] * len(nodes)
+        blocks = sorted(b for x, k in zip(nodes, kept) if k and x.tag != "head" for b in x.pieces)
         out.append("\n\n".join(t for _, t in blocks))
     return out
 

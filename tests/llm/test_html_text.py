@@ -68,6 +68,43 @@ def test_parts_of_a_page(trees):
     assert lines == ["The & title", sentence, "One two three © é", "First point of it.", "Second point of it.", sentence]
 
 
+LOOSE = "A sentence of the article, with some words in it, and then another one. " * 6
+
+
+def test_article_directly_in_the_body(trees):
+    nav = '<nav class="menu"><ul><li><a href="/a">Home</a></li><li><a href="/b">News</a></li></ul></nav>'
+    footer = '<footer class="site-footer">&copy; me</footer>'
+    for inner in (f"{LOOSE}<br><br>{LOOSE}", f"<center>{LOOSE}<br>{LOOSE}</center>", f"<font>{LOOSE}</font><br>{LOOSE}",
+                  f"<app-article><span>{LOOSE}</span> {LOOSE}</app-article>"):
+        for page in (f"<html><head><title>x</title></head><body>{nav}<h1>The title of it</h1>{inner}{footer}</body></html>",
+                     f"<html><body>{nav}{inner}{footer}", f"{nav}<h1>The title of it</h1>{inner}{footer}"):
+            lines = text_of(trees, page).split("\n\n")
+            assert " ".join((LOOSE * 2).split()) == lines[-1] and set(lines[:-1]) <= {"The title of it"}
+    mixed = f"<body>{nav}<h1>The title of it</h1>{ARTICLE}{LOOSE}{ARTICLE}{LOOSE}{footer}</body>"
+    assert len(text_of(trees, mixed).split("\n\n")) == 5
+
+
+def test_loose_menus_are_dropped(trees):
+    links = " | ".join(f'<a href="/{i}">Menu point</a>' for i in range(6))
+    page = f"<body>{links}<article><h1>T</h1>{ARTICLE * 3}</article></body>"
+    assert "Menu" not in text_of(trees, page) and "sentence" in text_of(trees, page)
+
+
+def test_unclosed_elements_end_with_their_parent():
+    def texts(page):
+        return [t for _, t in sorted(b for x in read(page) for b in x.pieces)]
+
+    for tag in ("object", "select", "option", "svg", "math", "template", "iframe"):
+        assert texts(f"<div><p>a</p><div><{tag}>no</div><p>b</p></div>") == ["a", "b"]
+        assert texts(f"<ul><li>a <{tag}>no<li>b</ul><p>c</p>") == ["a", "b", "c"]
+        assert texts(f"<div><{tag}>no</div><p>b</p><div><{tag}>no</{tag}>c</div>") == ["b", "c"]
+        assert texts(f"<p>a <span><{tag}>no</span> b</p>") == ["a b"]
+        assert texts(f"<div><{tag}><p>no</p></{tag}>b</div>") == ["b"]
+    assert texts("<p>a<object><p>no</p></object>b</p>") == ["ab"] or texts("<p>a<object><p>no</p></object>b</p>") == ["a b"]
+    assert texts("<div><datalist><option>x<option>y</datalist>b</div>") == ["b"]
+    assert texts("<p>a</p><script>no<p>no</p>") == ["a"]
+
+
 def test_broken_pages(trees):
     for page in (None, "", "<", "<p", "<!--", "<script>", "<a href='", "</p></div>", "<div class=\"x"):
         assert text_of(trees, page) in ("", "<")
