@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from sheetloom.llm import (
-    chat, decontamination, embedding_dedup, html_text, licenses, packing, simhash_dedup,
+    chat, decontamination, embedding_dedup, html_text, licenses, line_dedup, packing, simhash_dedup,
     token_counts, toxicity, warc,
 )
 from sheetloom.llm.shipping import ship
@@ -144,3 +144,28 @@ def op10_token_counts(spark, sf_dir):
 @query
 def op9_html_extraction(spark, sf_dir):
     return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_line_dedup(spark, sf_dir):
+    return line_dedup.digest(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_line_dedup"] = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (
+  SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM docs),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+repeated AS (
+  SELECT key, max(doc_id) AS top FROM keyed WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+judged AS (
+  SELECT r, keyed.doc_id, line, i, top IS NOT NULL AND top != keyed.doc_id AS dropped
+  FROM keyed LEFT JOIN repeated USING (key))
+SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (dropped))::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY r, doc_id
+"""
