@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sheetloom.llm import (
     chat, decontamination, embedding_dedup, html_text, licenses, line_dedup, packing, simhash_dedup,
-    token_counts, toxicity, warc,
+    spelling, token_counts, toxicity, warc,
 )
 from sheetloom.llm.shipping import ship
 
@@ -169,3 +169,55 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (dropped))::BIGINT
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
 FROM judged GROUP BY r, doc_id
 """
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+# Near words in SQL: of two words one edit apart, one without a letter equals the other, or
+# both equal each other without the letter at one place.  CRC-32 runs over bytes by its table.
+ORACLE["op12_spelling_variants"] = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)),
+    lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents),
+lower_runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+hexed AS (
+  SELECT run, n, hex(encode(doc_id || ':' || run)) AS h FROM lower_runs),
+marked AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295,
+      list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS mark
+  FROM hexed, crc_table),
+slipped AS (
+  SELECT CASE WHEN mark % 199 = 0
+      THEN substr(run, 1, mark % length(run)) || substr(run, (mark % length(run)) + 2) ELSE run END AS word, n
+  FROM marked),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word AS word, b.word AS near, b.n AS near_n
+  FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word != b.word AND length(a.word) = length(b.word)
+  UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON w.word = c.rest
+  UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON w.word = c.rest),
+best AS (
+  SELECT word, count(*) AS n_near, max(near_n) AS near_n, arg_min(near, (-near_n, near)) AS near FROM pairs GROUP BY word),
+forms AS (
+  SELECT words.word, n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN near_n >= 5 * n THEN near END AS form, CASE WHEN near_n >= 5 * n THEN near_n END AS form_n
+  FROM words LEFT JOIN best ON best.word = words.word),
+chains AS (
+  SELECT word, word AS root, form AS next FROM forms
+  UNION ALL SELECT chains.word, forms.word, forms.form FROM chains JOIN forms ON forms.word = chains.next)
+SELECT forms.word, form, root, n, n_near, form_n::BIGINT AS form_n
+FROM forms JOIN (SELECT word, root FROM chains WHERE next IS NULL) USING (word)
+"""
