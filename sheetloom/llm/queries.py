@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sheetloom.llm import (
     chat, decontamination, embedding_dedup, html_text, licenses, line_dedup, packing, simhash_dedup,
-    spelling, token_counts, toxicity, warc,
+    spelling, token_counts, toxicity, warc, whitening,
 )
 from sheetloom.llm.shipping import ship
 
@@ -221,3 +221,9 @@ chains AS (
 SELECT forms.word, form, root, n, n_near, form_n::BIGINT AS form_n
 FROM forms JOIN (SELECT word, root FROM chains WHERE next IS NULL) USING (word)
 """
+
+
+@query
+def op13_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn(
+        "deviation", F.col("deviation").cast("long"))
