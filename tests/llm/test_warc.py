@@ -85,8 +85,57 @@ def test_empty_repeated_and_null_ids(spark, tmp_path):
     assert warc.round_trip(spark.createDataFrame([], SCHEMA)).count() == 0
     twice = spark.createDataFrame([(1, "u", "x"), (1, "u", "x")], SCHEMA)
     assert [r.record_type for r in warc.round_trip(twice).collect()] == ["response"] * 2
-    with pytest.raises(Exception):
-        warc.round_trip(spark.createDataFrame([(None, "u", "x")], SCHEMA)).collect()
+    nulls = [(None, "u", "x"), (None, "v", "x"), (None, "w", "y"), (4, "z", "y"), (None, "w", None)]
+    got = sorted((str(r.page_id), r.url, r.record_type, r.refers_to)
+                 for r in warc.round_trip(spark.createDataFrame(nulls, SCHEMA)).collect())
+    assert got == [("4", "z", "response", None), ("None", "u", "response", None), ("None", "v", "response", None),
+                   ("None", "w", "response", None), ("None", "w", "revisit", 4)]
+
+
+def test_payloads_of_one_id_are_all_kept(spark, tmp_path):
+    folder = f"file://{tmp_path}/p"
+    warc.write(spark.createDataFrame([(1, "u", "A"), (1, "u", "B"), (2, "u", "A"), (1, "u", "C"), (0, "u", "C")], SCHEMA), folder)
+    got = {(r.page_id, r.payload_digest): (r.record_type, r.refers_to, r.payload) for r in warc.read(spark, folder).collect()}
+    assert got == {(1, sha(b"A")): ("revisit", 2, None), (1, sha(b"B")): ("response", None, b"B"),
+                   (2, sha(b"A")): ("response", None, b"A"), (1, sha(b"C")): ("response", None, b"C"),
+                   (0, sha(b"C")): ("revisit", 1, None)}
+
+
+def jobs_of(spark, name, run) -> int:
+    spark.sparkContext.setJobGroup(name, name)
+    run()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+def test_shards_are_found_in_a_fixed_number_of_jobs(spark, tmp_path, monkeypatch):
+    sizes = spark.range(10_000).selectExpr("id * id * 1000 as id", "id % 70 as bytes").repartition(4)
+    few = jobs_of(spark, "few", lambda: warc._bounds(sizes.where("id < 1000000")))
+    monkeypatch.setattr(warc, "SHARD_BYTES", 2000)
+    found = []
+    many = jobs_of(spark, "many", lambda: found.append(warc._bounds(sizes)))
+    (cuts, size), = found
+    assert few == many <= 12    # adaptive execution counts every shuffle as a job
+    assert size == 2000 and 3000 < len(cuts) < 4000
+    # every cut is where the running size passes a multiple, whatever the ranges
+    running, expected = 0, []
+    for i in range(10_000):
+        if running // size != (running - (i and (i - 1) % 70 + warc.HEADER_BYTES)) // size and i:
+            expected.append(i * i * 1000)
+        running += i % 70 + warc.HEADER_BYTES
+    assert cuts == expected
+
+
+def test_a_run_of_the_writer_rolls(spark, tmp_path, monkeypatch):
+    import random
+    monkeypatch.setattr(warc, "SHARD_BYTES", 40_000)
+    rng = random.Random(0)
+    text = ["".join(rng.choice("abcdefgh ") for _ in range(3000)) for _ in range(60)]
+    manifest = warc.write(spark.createDataFrame([(i, "u", t) for i, t in enumerate(text)], SCHEMA), f"file://{tmp_path}/r")
+    files = sorted(r.file for r in manifest.collect())
+    shards = {f[:11] for f in files}
+    assert len(shards) > 3 and len(files) >= 3 * len(shards)
+    assert warc.read(spark, f"file://{tmp_path}/r").count() == 60
 
 
 def test_base32_in_columns(spark):
