@@ -335,11 +335,19 @@ PASS_RATE = """SELECT workbook, sheet, batch_no, count(*) AS observations,
   CAST(sum(CASE WHEN NOT pass THEN 1 ELSE 0 END) AS BIGINT) AS failing,
   round(avg(CASE WHEN pass THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 3) AS pass_rate
   FROM obs WHERE pass IS NOT NULL GROUP BY workbook, sheet, batch_no"""
-TREND = """SELECT analyte_canonical, sample_date, count(*) AS n_observations,
-  round(avg(value) + 1e-11, 9) AS avg_value, max(value) AS max_value, min(spec_max) AS spec_max
+
+
+def _exact_avg(expr: str) -> str:
+    """Mean by decimals; by way of text, as doubles are turned into decimals and back exactly."""
+    total = f"CAST(CAST(sum(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18))) AS VARCHAR) AS DOUBLE)"
+    return f"{total} / count({expr})"
+
+
+TREND = f"""SELECT analyte_canonical, sample_date, count(*) AS n_observations,
+  {_exact_avg("value")} AS avg_value, max(value) AS max_value, min(spec_max) AS spec_max
   FROM obs WHERE sample_date IS NOT NULL GROUP BY analyte_canonical, sample_date"""
-VIOLATIONS = """SELECT analyte_canonical, workbook, sheet, count(*) AS violation_count,
-  round(avg(value) + 1e-11, 9) AS avg_violating_value, round(avg(value - spec_max) + 1e-11, 9) AS avg_overshoot
+VIOLATIONS = f"""SELECT analyte_canonical, workbook, sheet, count(*) AS violation_count,
+  {_exact_avg("value")} AS avg_violating_value, {_exact_avg("(value - spec_max)")} AS avg_overshoot
   FROM obs WHERE NOT pass GROUP BY analyte_canonical, workbook, sheet"""
 
 
@@ -569,6 +577,20 @@ l AS (SELECT CASE p_partkey % 9 WHEN 0 THEN 'Impurity-' || p_size WHEN 1 THEN 'T
   FROM part),
 {_analyte_match("l", "matched")}
 SELECT raw_label, canonical, confidence, rationale FROM matched"""
+ORACLE["map_own_aliases"] = f"""
+WITH synonyms AS (
+  SELECT n_name AS canonical, alias, n_nationkey * 9 + i AS ord
+  FROM (SELECT n_name, n_nationkey, generate_subscripts(a, 1) - 1 AS i, unnest(a) AS alias FROM (
+    SELECT *, ['plant ' || l, l || ' plant', 'site ' || l, l || ' site', 'lab ' || l, l || ' lab', l || ' works',
+               l || ' unit', l] AS a FROM (SELECT *, lower(n_name) AS l FROM nation)))),
+labels AS (
+  SELECT DISTINCT CASE s_suppkey % 8 WHEN 0 THEN 'Plant  ' || n_name WHEN 1 THEN n_name || chr(9) || 'site'
+    WHEN 2 THEN 'our ' || lower(n_name) || ' lab no. ' || s_suppkey WHEN 3 THEN substr(n_name, 1, 2)
+    WHEN 4 THEN 'lant ' || substr(n_name, 1, 3) WHEN 5 THEN 'elsewhere'
+    WHEN 6 THEN n_name || ' works and unit' ELSE s_name END AS raw_label
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+{_meta_match("labels", "m")}
+SELECT raw_label, canonical, confidence, rationale FROM m"""
 ORACLE["slug_fallback"] = """
 SELECT p_partkey, 'unknown_' || trim(regexp_replace(p_name || '_' || p_brand,
   '[^A-Za-z0-9]+', '_', 'g'), '_') AS canonical FROM part"""
@@ -599,6 +621,12 @@ FROM mappings WHERE pos % 6 = 5 AND column_index % 5 IN (2, 4)"""
 
 # --- rows and facts ---------------------------------------------------------------------------
 
+ORACLE["observations_by_replies"] = _with(*FACTS) + """
+SELECT obs.workbook, obs.sheet, obs.row, column_index,
+  CASE WHEN d.k % 31 <> 7 THEN '#' || (d.k // 3) END AS batch_no, CAST(NULL AS VARCHAR) AS stage, analyte,
+  'M' || column_index AS analyte_canonical, value, pass, raw_value, column_index / 32.0::DOUBLE AS mapping_confidence
+FROM obs JOIN d ON d.workbook = obs.workbook AND d.sheet = obs.sheet AND d.row = obs.row
+WHERE column_index % 2 = 0"""
 ORACLE["data_rows"] = _with(ORDERS) + " SELECT workbook, sheet, row, row_seq FROM d"
 ORACLE["row_meta"] = _with(ORDERS, META) + """
 SELECT workbook, sheet, row, row_seq, sample_date, sample_time, report_time, batch_no,
@@ -637,13 +665,13 @@ SELECT batch_no, workbook, sheet, f.stage, f.instrument_id, first_seen, last_see
 FROM firsts f JOIN (
   SELECT batch_no, workbook, sheet, min(sample_date) AS first_seen, max(sample_date) AS last_seen
   FROM obs WHERE batch_no IS NOT NULL GROUP BY ALL) s USING (batch_no, workbook, sheet)"""
-ORACLE["dim_analyte"] = _with(*FACTS) + """
+ORACLE["dim_analyte"] = _with(*FACTS) + f"""
 SELECT analyte_canonical, array_to_string(list_sort(list(DISTINCT analyte)), '|')
     AS raw_label_variants,
   coalesce(array_to_string(list_sort(list(DISTINCT unit) FILTER (unit IS NOT NULL)), '|'), '')
     AS units_seen,
-  round(avg(rt) + 1e-11, 9) AS avg_rt, round(avg(rrt) + 1e-11, 9) AS avg_rrt,
-  round(avg(spec_max) + 1e-11, 9) AS avg_spec_max, round(avg(spec_min) + 1e-11, 9) AS avg_spec_min
+  {_exact_avg("rt")} AS avg_rt, {_exact_avg("rrt")} AS avg_rrt,
+  {_exact_avg("spec_max")} AS avg_spec_max, {_exact_avg("spec_min")} AS avg_spec_min
 FROM obs GROUP BY analyte_canonical"""
 ORACLE["fact_observation"] = _with(*FACTS) + f" SELECT {FACT_FIELDS} FROM obs"
 ORACLE["mv_batch_pass_rate"] = _with(*FACTS) + " " + PASS_RATE

@@ -18,6 +18,7 @@ from sheetloom.operators import facts, mapping, responses
 from sheetloom.operators.profile import header_bands, sheet_columns as columns_of
 from sheetloom.plans import gold, reports
 from sheetloom.plans.silver import clean
+from sheetloom.sources.canonical import load_names
 from sheetloom.sources.folder import grid_preview, workbook_catalog
 from sheetloom.session import shared_folder
 from sheetloom.sources.tables import CSV, serialized, write_csv
@@ -289,6 +290,30 @@ def map_analyte_labels(spark, sf_dir):
     return mapping.match_analyte(labels)
 
 
+SITE_WORDS = ["plant {}", "{} plant", "site {}", "{} site", "lab {}", "{} lab", "{} works", "{} unit", "{}"]
+
+
+@query
+def map_own_aliases(spark, sf_dir):
+    """Names of one's own, read from a file: more aliases than are tried one by one."""
+    folder = f"{shared_folder(spark)}/names-{uuid.uuid4().hex}"
+    nations = table(spark, sf_dir, "nation").orderBy("n_nationkey")
+    aliases = F.array(*[F.format_string(w.replace("{}", "%s"), F.lower("n_name")) for w in SITE_WORDS])
+    listed = nations.agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name", aliases.alias("a")))).alias("l"))
+    listed.select(F.concat(F.lit('{"synonyms": {'), F.array_join(F.transform("l", lambda e: F.concat(
+        F.lit('"'), e["n_name"], F.lit('": ["'), F.array_join(e["a"], '", "'), F.lit('"]'))), ", "),
+        F.lit("}}"))).coalesce(1).write.text(folder)
+    own = load_names(f"{folder}/*.txt", spark)
+    sites = table(spark, sf_dir, "supplier").join(
+        F.broadcast(table(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))
+    label = _case("s_suppkey", 8, {
+        0: F.concat(F.lit("Plant  "), F.col("n_name")), 1: F.concat(F.col("n_name"), F.lit("\tsite")),
+        2: F.concat(F.lit("our "), F.lower("n_name"), F.lit(" lab no. "), F.col("s_suppkey").cast("string")),
+        3: F.substring("n_name", 1, 2), 4: F.concat(F.lit("lant "), F.substring("n_name", 1, 3)),
+        5: F.lit("elsewhere"), 6: F.concat(F.col("n_name"), F.lit(" works and unit"))}, F.col("s_name"))
+    return mapping.match_meta(sites.select(label.alias("raw_label")).distinct(), own)
+
+
 @query
 def slug_fallback(spark, sf_dir):
     parts = table(spark, sf_dir, "part")
@@ -373,6 +398,34 @@ def parse_mapping_responses(spark, sf_dir):
     return responses.map_columns_by_replies(done.columns, _replies(done)).select(*MAPPING_COLUMNS)
 
 
+@query
+def observations_by_replies(spark, sf_dir):
+    """Facts from a model's replies that are kept: even measured columns mapped twice, and
+    of the row-level ones the batch only.  The later mapping of a column counts."""
+    def respond(requests):
+        import json     # in the worker
+
+        replies = []
+        for request in requests:
+            items = []
+            for column in json.loads(request[request.index("Columns: ") + 9:]):
+                col, wanted = column["col"], column["col"] % 2 == 0
+                if column["kind"] == "analyte" and wanted:
+                    items += [{"raw": "?", "col": col, "role": "analyte", "canonical": "early"},
+                              {"raw": "?", "col": str(col), "role": "analyte", "canonical": f"M{col}",
+                               "confidence": col / 32}]
+                elif column["raw"] == "Batch No.":
+                    items.append({"raw": "?", "col": col, "role": "meta", "canonical": "batch_no"})
+            replies.append(json.dumps({"columns": items}))
+        return replies
+
+    done = clean(cells_table(spark, sf_dir), responder=respond,
+                 replies=f"{shared_folder(spark)}/replies-{abs(hash(stages.state(spark, sf_dir)))}")
+    return done.observations_keyed.select(
+        "workbook", "sheet", "row", "column_index", "batch_no", "stage", "analyte", "analyte_canonical", "value",
+        "pass", "raw_value", "mapping_confidence")
+
+
 # --- rows and facts -------------------------------------------------------------------
 
 @query
@@ -427,15 +480,6 @@ def misc_wide(spark, sf_dir):
 
 # --- marts and reports ------------------------------------------------------------------
 
-def _rounded(df: DataFrame, *columns: str) -> DataFrame:
-    """Averages to nine digits: the order of summation is not fixed.
-
-    The values have four decimals, so averages often end in a 5 at the tenth digit;
-    the nudge keeps such ties from rounding by the last bit of the sum.
-    """
-    return df.withColumns({c: F.round(F.col(c) + 1e-11, 9) for c in columns})
-
-
 @query
 def quarantine_review(spark, sf_dir):
     return gold.quarantine_review(stages.silver(spark, sf_dir).mappings,
@@ -450,7 +494,7 @@ def dim_batch(spark, sf_dir):
 @query
 def dim_analyte(spark, sf_dir):
     out = gold.dim_analyte(stages.observations(spark, sf_dir))
-    return _rounded(out, "avg_rt", "avg_rrt", "avg_spec_max", "avg_spec_min").withColumns({
+    return out.withColumns({
         "raw_label_variants": F.array_join("raw_label_variants", "|"),
         "units_seen": F.array_join("units_seen", "|")})
 
@@ -467,13 +511,12 @@ def mv_batch_pass_rate(spark, sf_dir):
 
 @query
 def mv_impurity_trend(spark, sf_dir):
-    return _rounded(gold.mv_impurity_trend(stages.observations(spark, sf_dir)), "avg_value")
+    return gold.mv_impurity_trend(stages.observations(spark, sf_dir))
 
 
 @query
 def mv_spec_violations(spark, sf_dir):
-    return _rounded(gold.mv_spec_violations(stages.observations(spark, sf_dir)),
-                    "avg_violating_value", "avg_overshoot")
+    return gold.mv_spec_violations(stages.observations(spark, sf_dir))
 
 
 @query
@@ -513,14 +556,12 @@ def dashboard_pass_rate(spark, sf_dir):
 
 @query
 def dashboard_trend(spark, sf_dir):
-    return _rounded(reports.dashboard_trend(
-        gold.mv_impurity_trend(stages.observations(spark, sf_dir))), "avg_value")
+    return reports.dashboard_trend(gold.mv_impurity_trend(stages.observations(spark, sf_dir)))
 
 
 @query
 def dashboard_violations(spark, sf_dir):
-    return _rounded(reports.dashboard_violations(
-        gold.mv_spec_violations(stages.observations(spark, sf_dir))), "avg_overshoot")
+    return reports.dashboard_violations(gold.mv_spec_violations(stages.observations(spark, sf_dir)))
 
 
 @query

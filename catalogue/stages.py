@@ -18,11 +18,15 @@ _cleaned: dict[tuple, SilverTables] = {}
 _stored: dict[tuple, str] = {}
 
 
+def state(spark: SparkSession, sf_dir: str) -> tuple:
+    return source_state(spark, sf_dir)
+
+
 def silver(spark: SparkSession, sf_dir: str) -> SilverTables:
-    """Sheet-level results (stored) with the row-level frames bound lazily."""
+    """Sheet-level results and packed rows (stored) with the row-level frames bound lazily."""
     key = source_state(spark, sf_dir)
     if key not in _cleaned:
-        _cleaned[key] = clean(cells_table(spark, sf_dir))
+        _cleaned[key] = clean(cells_table(spark, sf_dir)).keep_rows()
     return _cleaned[key]
 
 

@@ -1,15 +1,17 @@
 """Data rows, observations, flat rows and the data-quality log.
 
-The cells are shuffled once, by (workbook, sheet, block of rows).  In that
-partitioning they are packed into rows (one map from column to cell each) and meet
-their sheet's plan; everything else is a projection or an explode of a packed row.
-A block bounds what any one task gets, however tall a single sheet is, and a row
+The cells are shuffled once, by (workbook, sheet, block of rows), and packed into rows.
+Stored in that partitioning, in buckets, they serve every output without moving
+again.  A sheet's plan holds what is known of its columns as arrays addressed by the column
+itself: each cell of a row finds its column's entry in one step, and the planned columns
+that a row lacks come from one set difference, so the time for a row is linear in its
+width.  A block bounds what any one task gets, however tall a single sheet is, and a row
 holds no more cells than a spreadsheet has columns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sheetloom.contracts import (
     CELL_FIELDS, DQ_COLUMNS, LAYOUT_FLAT, LAYOUT_STANDARD, META_TYPES, OBSERVATION_COLUMNS,
@@ -21,103 +23,137 @@ from sheetloom.functions.coerce import (
 )
 from sheetloom.functions.text import double_text, quoted
 from sheetloom.operators.profile import block_of, is_numeric
+from sheetloom.session import broadcast_within
 
 SHEET = ["workbook", "sheet"]
 BLOCK = [*SHEET, "block"]
+MAX_COLUMNS = 16_384        # columns of a spreadsheet
+
+DUPLICATE_RULE = "duplicate_address"
+DUPLICATE_NOTE = "another cell at this address counts"
 
 
 def sheet_plans(profiles: DataFrame, mapped: DataFrame) -> DataFrame:
-    """Everything a data row needs to know about its sheet, one row per block.
+    """Everything a data row needs to know about its sheet, one row per sheet.
 
     ``mapped`` holds one row per mapping, with the column attributes alongside.
     Where a column is mapped twice in one role, the later mapping counts; where
     two columns map to one field, the later column does.
+
+    ``analytes``, ``metas`` and ``labels`` have one entry per column from 1 on (null where
+    the column has none); ``measured`` and ``labelled`` list the columns of analytes and
+    those that supply a label of flat rows.
     """
     limits = spec_limits(F.col("spec_bound"), F.col("spec_value"), F.col("internal_spec_value"))
     analyte = F.struct(
-        "column_index", "position", F.col("sheet_label").alias("label"), "canonical", "confidence",
+        F.col("sheet_label").alias("label"), "canonical", "confidence",
         "rt", "rrt", compose_unit(F.col("unit"), F.col("sub_unit")).alias("unit"),
         *[c.alias(n) for n, c in limits.items()])
-    meta = F.struct("column_index", "position",
-                    F.coalesce("raw_label", F.lit("None")).alias("label"), "canonical")
+    meta = F.struct(F.coalesce("raw_label", F.lit("None")).alias("label"), "canonical")
     is_analyte = (F.col("role") == "analyte") & (F.col("kind") == "analyte")
-
-    by_sheet = mapped.groupBy(*SHEET).agg(
-        F.array_sort(F.collect_list(F.when(is_analyte, analyte))).alias("analytes"),
-        F.array_sort(F.collect_list(F.when(F.col("role") == "meta", meta))).alias("metas"),
-        F.array_sort(F.collect_list(meta)).alias("labels"),
-    )
-    plans = (
+    is_meta = F.col("role") == "meta"
+    at = F.col("position")
+
+    mappings = mapped.where("column_index is not null").select(
+        *SHEET, "column_index", at, F.when(is_analyte, analyte).alias("analyte"),
+        meta.alias("label"), is_meta.alias("is_meta"))
+    inside = F.col("column_index").between(1, MAX_COLUMNS)
+    width = mappings.groupBy(*SHEET).agg(F.max(F.when(inside, F.col("column_index"))).alias("width"))
+    # a row for every column up to the last one, so that places are columns
+    every = width.where("width is not null").select(
+        *SHEET, F.explode(F.sequence(F.lit(1), "width")).alias("column_index"),
+        *[F.lit(None).cast(mappings.schema[n].dataType).alias(n)
+          for n in ("position", "analyte", "label", "is_meta")])
+    by_column = mappings.unionByName(every).groupBy(*SHEET, "column_index").agg(
+        F.max_by("analyte", F.when(F.col("analyte").isNotNull(), at)).alias("analyte"),
+        F.max_by("label", F.when(F.col("is_meta"), at)).alias("meta"),
+        F.min(F.when(F.col("is_meta"), at)).alias("meta_place"),
+        F.max_by("label", at).alias("label"),
+        F.min(at).alias("place"))
+    same_label = Window.partitionBy(*SHEET, "label.label")
+    columns = by_column.withColumn("last_place", F.max("place").over(same_label)).select(
+        "*", F.when(F.col("label").isNotNull(), F.struct(
+            "label.label", (F.col("place") == F.col("last_place")).alias("counts"))).alias("entry"))
+    c = F.col("column_index")
+
+    def dense(name: str) -> Column:
+        placed = F.array_sort(F.collect_list(F.when(inside, F.struct(c.alias("c"), F.col(name).alias("e")))))
+        return F.transform(placed, lambda p: p["e"])
+
+    by_sheet = columns.groupBy(*SHEET).agg(
+        dense("analyte").alias("analytes"), dense("meta").alias("metas"), dense("entry").alias("labels"),
+        F.collect_list(F.when(inside & F.col("analyte").isNotNull(), c)).alias("measured"),
+        F.collect_list(F.when(inside & F.col("entry.counts"), c)).alias("labelled"),
+        *[F.max(F.when(F.col("meta.canonical") == field, F.struct("meta_place", c.alias("c"))))["c"]
+          .alias(f"col_{field}") for field in META_TYPES])
+    return (
         profiles.where(F.col("layout").isin(LAYOUT_STANDARD, LAYOUT_FLAT))
-        .select(*SHEET, "layout", "data_start_row", "max_row")
-        .join(by_sheet, SHEET)
-        .select(*SHEET, "layout", "data_start_row", "max_row",
-                _last_per_column(F.col("analytes")).alias("analytes"),
-                _in_order(F.col("metas")).alias("metas"),
-                _in_order(F.col("labels")).alias("labels"))
-    )
-    fields = [_field_column(c).alias(f"col_{c}") for c in META_TYPES]
-    first, last = block_of(F.col("data_start_row")), block_of(F.col("max_row"))
-    return plans.select(
-        *SHEET, "layout", "data_start_row", "analytes", "metas", "labels", *fields,
-        F.explode(F.sequence(F.least(first, last), last)).alias("block"))
-
-
-def _field_column(canonical: str) -> Column:
-    """Column that supplies a field: the last one mapped to it."""
-    named = F.filter("metas", lambda m: m["canonical"] == canonical)
-    return F.array_max(F.transform(named, lambda m: F.struct(
-        m["position"].alias("position"), m["column_index"].alias("column_index"))))["column_index"]
-
-
-def _last_per_column(entries: Column) -> Column:
-    """Entries sorted by (column, position), reduced to the last one per column."""
-    return F.filter(entries, lambda e, i: F.coalesce(
-        F.get(entries, i + 1)["column_index"] != e["column_index"], F.lit(True)))
-
-
-def _in_order(entries: Column) -> Column:
-    """Last mapping per column, at the place of that column's first mapping."""
-    def first_place(entry: Column) -> Column:
-        same = F.filter(entries, lambda e: e["column_index"] == entry["column_index"])
-        return F.struct(
-            entry["column_index"].alias("column_index"),
-            F.array_min(F.transform(same, lambda e: e["position"])).alias("position"),
-            entry["label"].alias("label"), entry["canonical"].alias("canonical"))
-
-    return F.transform(_last_per_column(entries), first_place)
+        .select(*SHEET, "layout", "data_start_row", "max_row").join(by_sheet, SHEET))
 
 
 def packed_rows(cells: DataFrame) -> DataFrame:
-    """One row per grid row: its cells as a map from column to cell.
+    """One row per grid row: its cells as an array in no particular order.
 
     Of several cells at one address (a file loaded twice) the last in order of its
-    fields counts.
+    fields counts; the others go to ``lost``, which is null in all other rows.
     """
     blocks = (
         cells.where(F.col("col") >= 1)
-        .select(*SHEET, block_of(F.col("row")).alias("block"), "row", "col",
-                F.struct(*CELL_FIELDS).alias("cell"))
+        .select(*SHEET, block_of(F.col("row")).alias("block"), "row", "col", *CELL_FIELDS)
         .repartition(*BLOCK)
     )
-    entries = blocks.groupBy(*BLOCK, "row").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("col").alias("column_index"), "cell"))).alias("cells"))
-    return entries.withColumn("cells", F.map_from_entries(_last_per_column(F.col("cells"))))
+    rows = blocks.groupBy(*BLOCK, "row").agg(F.collect_list(F.struct("col", *CELL_FIELDS)).alias("found"))
+    single = F.size(F.array_distinct(F.transform("found", lambda c: c["col"]))) == F.size("found")
+    judged = rows.withColumn("sorted", F.when(~single, F.array_sort("found")))
+
+    def is_last(cell: Column, i: Column) -> Column:
+        return F.coalesce(F.get("sorted", i + 1)["col"] != cell["col"], F.lit(True))
+
+    def beaten(cell: Column) -> Column:
+        same = F.filter("sorted", lambda o: o["col"] == cell["col"])
+        return F.struct(*[cell[f].alias(f) for f in ("col", *CELL_FIELDS)],
+                        F.element_at(same, -1)["raw"].alias("kept"))
+
+    cells_of = F.when(F.col("sorted").isNull(), F.col("found")).otherwise(F.filter("sorted", is_last))
+    settled = judged.select(
+        *BLOCK, "row", cells_of.alias("cells"),
+        F.when(F.col("sorted").isNotNull(), F.transform(
+            F.filter("sorted", lambda c, i: ~is_last(c, i)), beaten)).alias("lost"))
+    serial = F.get(F.filter("cells", lambda c: (c["col"] == 1) & is_numeric(c["kind"])), 0)["num"]
+    return settled.select(*BLOCK, "row", serial.alias("serial"), "cells", "lost")
+
+
+def planned_rows(packed: DataFrame, plans: DataFrame) -> DataFrame:
+    """Packed rows of the data area beside their sheet's plan.
+
+    Plans are sent to all tasks if few; many are dealt like the rows, once per block.
+    """
+    few = broadcast_within(plans, F.size("analytes") + F.size("metas") + F.size("labels") + 1)
+    if few is not None:
+        joined = packed.join(few.drop("max_row"), SHEET)
+    else:
+        first, last = block_of(F.col("data_start_row")), block_of(F.col("max_row"))
+        dealt = plans.withColumn("block", F.explode(F.sequence(F.least(first, last), last)))
+        joined = packed.join(dealt.drop("max_row").hint("shuffle_hash"), BLOCK)
+    return joined.where(F.col("row") >= F.col("data_start_row"))
+
+
+def _entry(entries: str, column: Column) -> Column:
+    """What a plan says of a column."""
+    return F.get(entries, column - 1)
 
 
-def planned_rows(cells: DataFrame, plans: DataFrame) -> DataFrame:
-    """Packed rows of the data area beside their sheet's plan."""
-    return (packed_rows(cells).join(plans, BLOCK)
-            .where(F.col("row") >= F.col("data_start_row")))
+def _lacking(columns: str) -> Column:
+    """Planned columns without a cell in the row."""
+    return F.array_except(columns, F.transform("cells", lambda c: c["col"]))
 
 
 def data_rows(planned: DataFrame) -> DataFrame:
     """Rows of standard sheets with a numeric column A; its integer part numbers
     the row, and may repeat."""
-    serial = F.col("cells")[1]
     return (
-        planned.where((F.col("layout") == LAYOUT_STANDARD) & is_numeric(serial["kind"]))
-        .withColumn("row_seq", serial["num"].try_cast("bigint"))
+        planned.where((F.col("layout") == LAYOUT_STANDARD) & F.col("serial").isNotNull())
+        .withColumn("row_seq", F.col("serial").try_cast("bigint"))
     )
 
 
@@ -127,8 +163,11 @@ def _with_meta(rows: DataFrame, *kept: str) -> DataFrame:
     Looking cells up, stripping texts and coercing are separate projections: each
     step is computed once, and none grows too large to be compiled.
     """
-    looked_up = rows.select(*SHEET, "row", "row_seq", *kept, *[
-        F.col("cells")[F.col(f"col_{c}")].alias(f"{c}_cell") for c in META_TYPES])
+    few = F.filter("cells", lambda c: _entry("metas", c["col"]).isNotNull())
+    opened = rows.withColumn("of_row", F.map_from_entries(F.transform(
+        few, lambda c: F.struct(c["col"].alias("key"), c.alias("value")))))
+    looked_up = opened.select(*SHEET, "row", "row_seq", *kept, *[
+        F.col("of_row")[F.col(f"col_{c}")].alias(f"{c}_cell") for c in META_TYPES])
     native = F.col("sample_date_cell")["kind"].isin("d", "dt")
     readings = {
         "sample_date": {"date": ~native},
@@ -149,10 +188,21 @@ def row_meta(rows: DataFrame) -> DataFrame:
 
 def observations(rows: DataFrame) -> DataFrame:
     """One row per data row and measured column, empty cells included."""
-    opened = _with_meta(rows, "cells", "analytes").select(
-        *SHEET, "row", "row_seq", *META_TYPES, "cells", F.explode("analytes").alias("a"))
+    def entry(column: Column, cell: Column) -> Column:
+        return F.struct(column.alias("column_index"), cell.alias("cell"),
+                        _entry("analytes", column).alias("a"))
+
+    present = F.transform(F.filter("cells", lambda c: _entry("analytes", c["col"]).isNotNull()),
+                          lambda c: entry(c["col"], c))
+    no_cell = F.lit(None).cast(rows.schema["cells"].dataType.elementType)
+    absent = F.transform(_lacking("measured"), lambda k: entry(k, no_cell))
+    staged = rows.withColumn("present", present)
+    whole = F.size("present") == F.size("measured")
+    opened = staged.withColumn("entries", F.when(whole, F.col("present")).otherwise(F.concat("present", absent)))
+    read = _with_meta(opened, "entries").select(
+        *SHEET, "row", "row_seq", *META_TYPES, F.explode("entries").alias("e")).select(
+        *SHEET, "row", "row_seq", *META_TYPES, "e.column_index", "e.cell", "e.a")
     a, cell = F.col("a"), F.col("cell")
-    read = opened.withColumn("cell", F.col("cells")[a["column_index"]]).drop("cells")
     texts = with_texts(read, {"cell": (F.when(cell["kind"] != "n", cell["raw"]),
                                        {"number": cell["kind"] != "n"})})
     value = coerce_float_cell(cell, Text.column(cell["raw"], "cell"))["value"]
@@ -167,112 +217,116 @@ def observations(rows: DataFrame) -> DataFrame:
         evaluate_pass(F.col("value"), a["spec_min"], a["spec_max"]).alias("pass"),
         cell["raw"].alias("raw_value"),
         a["confidence"].alias("mapping_confidence"),
-        "row", a["column_index"].alias("column_index"),
+        "row", "column_index",
     ).select(*OBSERVATION_COLUMNS, *OBSERVATION_KEY)
 
 
-def _issues(opened: DataFrame, rule: Column, *, column: Column, severity: Column,
-            repaired: Column, note: Column) -> DataFrame:
-    """Rows of the quality log for the cells whose rule fired.
+META, MEASURED, LABEL, LOST = range(4)      # what a logged cell is to its row
 
-    A filter on a computed column would be moved below the projections that compute
-    it, repeating all of them in one condition; it stays behind an explode.
+
+def _logged_cells(rows: DataFrame) -> Column:
+    """The cells of a row that may fire a rule, as one array.
+
+    A non-negative number in a measured column fires nothing and is left out.
     """
-    kept = [c for c in opened.columns if c != "cells"]
-    judged = opened.select(*kept, F.explode(F.array(rule)).alias("rule"))
-    return judged.where(F.col("rule").isNotNull()).select(
-        *SHEET, "row_seq", column.alias("column"), "rule", severity.alias("severity"),
-        F.col("cell")["raw"].alias("raw_value"), repaired.alias("repaired_value"),
-        note.alias("note"), "row", "column_index")
+    kept_type = rows.schema["cells"].dataType.elementType["raw"].dataType
 
+    def entry(what: int, cell: Column, label: Column, canonical: Column, kept: Column | None = None) -> Column:
+        return F.struct(
+            F.lit(what).alias("what"), cell["col"].alias("column_index"), label.alias("label"),
+            canonical.alias("canonical"), *[cell[f].alias(f) for f in CELL_FIELDS],
+            (F.lit(None).cast(kept_type) if kept is None else kept).alias("kept"))
 
-def _open_cells(rows: DataFrame, entries: str) -> DataFrame:
-    """Present cells of the listed columns, one row each."""
-    return (
-        rows.select(*SHEET, "row", "row_seq", "cells", F.explode(entries).alias("e"))
-        .select(*SHEET, "row", "row_seq", "e", F.col("e.column_index").alias("column_index"),
-                F.col("cells")[F.col("e.column_index")].alias("cell"))
-        .where(F.col("cell").isNotNull())
-    )
+    def known(plan: str, cell: Column) -> Column:
+        return _entry(plan, cell["col"])
 
+    def mapped(what: int, plan: str) -> Column:
+        return F.transform(
+            F.filter("cells", lambda c: known(plan, c).isNotNull()
+                     & (~((c["kind"] == "n") & (c["num"] >= 0)) if what == MEASURED else F.lit(True))),
+            lambda c: entry(what, c, known(plan, c)["label"], known(plan, c)["canonical"]))
 
-def standard_issues(rows: DataFrame) -> DataFrame:
-    """Fired rules of standard sheets, from row-level and measured cells.
+    none = F.lit(None).cast("string")
+    labelled = F.transform(F.filter("cells", lambda c: known("labels", c).isNotNull()),
+                           lambda c: entry(LABEL, c, known("labels", c)["label"], none))
+    standard = F.col("layout") == LAYOUT_STANDARD
+
+    def lost(cell: Column) -> Column:
+        number = F.concat(F.lit("col_"), cell["col"].cast("string"))
+        name = F.when(standard, F.coalesce(known("analytes", cell)["label"], known("metas", cell)["canonical"], number)
+                      ).otherwise(F.coalesce(known("labels", cell)["label"], number))
+        return entry(LOST, cell, name, none, cell["kept"])
+
+    own = F.when(standard, F.concat(mapped(META, "metas"), mapped(MEASURED, "analytes"))).otherwise(labelled)
+    return F.when(F.col("lost").isNull(), own).otherwise(F.concat(own, F.transform("lost", lost)))
+
+
+def dq_issues(planned: DataFrame) -> DataFrame:
+    """The whole data-quality log, with the physical address of each cell.
 
-    Both sorts of column are opened in one explode, so that the packed rows are
-    read once.
+    Besides the rules that coercions fire there is one for cells that gave way to another
+    at their address, a warning where the texts differ.  The packed rows are read once: the
+    cells of data rows and flat rows are opened in one explode.
     """
-    meta = F.transform("metas", lambda m: F.struct(
-        m["column_index"].alias("column_index"), F.lit(False).alias("measured"),
-        m["label"].alias("label"), m["canonical"].alias("canonical")))
-    measured = F.transform("analytes", lambda a: F.struct(
-        a["column_index"].alias("column_index"), F.lit(True).alias("measured"),
-        a["label"].alias("label"), a["canonical"].alias("canonical")))
-    opened = _open_cells(rows.withColumn("all_columns", F.concat(meta, measured)), "all_columns")
-    cell, is_measured, canonical = F.col("cell"), F.col("e.measured"), F.col("e.canonical")
-    # A non-negative number in a measured column and a native date or time fire nothing.
-    quiet = F.when(is_measured, (cell["kind"] == "n") & (cell["num"] >= 0)).otherwise(
-        F.when(canonical == "sample_date", cell["kind"].isin("d", "dt"))
-        .when(canonical.isin("sample_time", "report_time"), cell["kind"].isin("t", "dt"))
-        .otherwise(False))
+    serial = F.col("serial").try_cast("bigint")
+    rows = planned.where((F.col("layout") == LAYOUT_FLAT) | F.col("serial").isNotNull()).withColumn(
+        "row_seq", F.when(F.col("layout") == LAYOUT_STANDARD, serial).otherwise(_flat_number()))
+    opened = (rows.select(*SHEET, "row", "row_seq", F.explode(_logged_cells(rows)).alias("cell"))
+              .select(*SHEET, "row", "row_seq", "cell", "cell.column_index"))
+    cell, canonical = F.col("cell"), F.col("cell.canonical")
+    is_meta, is_measured, is_lost = (cell["what"] == w for w in (META, MEASURED, LOST))
+    is_date = F.coalesce(is_meta & (canonical == "sample_date"), F.lit(False))
+    is_time = F.coalesce(is_meta & canonical.isin("sample_time", "report_time"), F.lit(False))
+    # native dates and times fire nothing
+    quiet = (is_date & cell["kind"].isin("d", "dt")) | (is_time & cell["kind"].isin("t", "dt"))
     texts = with_texts(opened.where(~quiet), {"cell": (cell["raw"], {
-        "number": is_measured & (cell["kind"] != "n"),
-        "date": ~is_measured & (canonical == "sample_date"),
-        "time": ~is_measured & canonical.isin("sample_time", "report_time"),
-        "titled": ~is_measured & (canonical == "appearance")})})
+        "number": is_measured & (cell["kind"] != "n"), "date": is_date, "time": is_time,
+        "titled": is_meta & (canonical == "appearance")})})
     text = Text.column(cell["raw"], "cell")
-    rule = F.when(is_measured, coerce_float_cell(cell, text)["rule"]).otherwise(
-        by_family(canonical, lambda coercion: coercion(cell, text)["rule"]))
-    repaired = F.when(is_measured, double_text(coerce_float_cell(cell, text)["value"])).otherwise(
-        by_family(canonical, lambda coercion: audit_text(coercion(cell, text)["value"], coercion)))
-    warns = F.when(is_measured, F.col("rule").isin("negative_value", "non_numeric")).otherwise(
-        F.col("rule").startswith("malformed"))
-    return _issues(
-        texts, rule,
-        column=F.when(is_measured, F.col("e.label")).otherwise(canonical),
-        severity=F.when(warns, "warning").otherwise("info"),
-        repaired=repaired,
-        note=F.when(is_measured, F.concat(F.lit("analyte="), F.coalesce(canonical, F.lit("None"))))
-        .otherwise(F.concat(F.lit("raw label was "), quoted(F.col("e.label")))))
-
-
-def flat_rows(planned: DataFrame) -> DataFrame:
-    """Rows of flat sheets, numbered from the first data row (blank rows count)."""
-    return (planned.where(F.col("layout") == LAYOUT_FLAT)
-            .withColumn("row_seq", (F.col("row") - F.col("data_start_row") + 1).cast("bigint")))
+    rule = (F.when(is_lost, DUPLICATE_RULE).when(is_measured, coerce_float_cell(cell, text)["rule"])
+            .otherwise(by_family(canonical, lambda coercion: coercion(cell, text)["rule"])))
+    repaired = (F.when(is_lost, cell["kept"])
+                .when(is_measured, double_text(coerce_float_cell(cell, text)["value"]))
+                .otherwise(by_family(canonical, lambda coercion: audit_text(coercion(cell, text)["value"], coercion))))
+    warns = (F.when(is_lost, ~cell["raw"].eqNullSafe(cell["kept"]))
+             .when(is_measured, F.col("rule").isin("negative_value", "non_numeric"))
+             .when(is_meta, F.col("rule").startswith("malformed")))
+    note = (F.when(is_lost, DUPLICATE_NOTE)
+            .when(is_measured, F.concat(F.lit("analyte="), F.coalesce(canonical, F.lit("None"))))
+            .when(is_meta, F.concat(F.lit("raw label was "), quoted(cell["label"]))).otherwise(""))
+    # A filter on a computed column would be moved below the projections that compute
+    # it, repeating all of them in one condition; it stays behind an explode.
+    judged = texts.withColumn("rule", F.explode(F.array(rule)))
+    return judged.where(F.col("rule").isNotNull()).select(
+        *SHEET, "row_seq", F.when(is_meta, canonical).otherwise(cell["label"]).alias("column"), "rule",
+        F.when(warns, "warning").otherwise("info").alias("severity"), cell["raw"].alias("raw_value"),
+        repaired.alias("repaired_value"), note.alias("note"), "row", "column_index")
 
 
-def flat_issues(rows: DataFrame) -> DataFrame:
-    opened = _open_cells(rows, "labels")
-    outcome = coerce_str(F.col("cell")["raw"])
-    return _issues(opened, outcome["rule"], column=F.col("e.label"), severity=F.lit("info"),
-                   repaired=outcome["value"], note=F.lit(""))
+def _flat_number() -> Column:
+    """Number of a flat row, from the first data row on (blank rows count)."""
+    return (F.col("row") - F.col("data_start_row") + 1).cast("bigint")
 
 
-def dq_issues(planned: DataFrame) -> DataFrame:
-    """The whole data-quality log, with the physical address of each cell."""
-    return standard_issues(data_rows(planned)).unionByName(flat_issues(flat_rows(planned)))
+def flat_rows(planned: DataFrame) -> DataFrame:
+    """Rows of flat sheets."""
+    return planned.where(F.col("layout") == LAYOUT_FLAT).withColumn("row_seq", _flat_number())
 
 
 def misc_rows(planned: DataFrame) -> DataFrame:
     """Flat rows as maps from label to cleaned text; of two columns with one
     label, the later counts.  Fully blank rows are dropped."""
-    rows = flat_rows(planned)
-    filled = rows.where(F.exists("labels", lambda e: F.coalesce(
-        F.col("cells")[e["column_index"]]["raw"] != "", F.lit(False))))
-    cleaned = (
-        filled.select(*BLOCK, "row", "row_seq", "cells",
-                      F.explode(F.filter("labels", lambda e: ~F.exists(
-                          "labels", lambda o: (o["label"] == e["label"])
-                          & (o["position"] > e["position"])))).alias("e"))
-        .select(*BLOCK, "row", "row_seq", F.col("e.label").alias("label"),
-                coerce_str(F.col("cells")[F.col("e.column_index")]["raw"])["value"].alias("text"))
-    )
-    return (
-        cleaned.groupBy(*BLOCK, "row", "row_seq")       # within the cells' partitioning
-        .agg(F.map_from_entries(F.collect_list(F.struct("label", "text"))).alias("fields"))
-        .select(*SHEET, "row_seq", "fields")
-    )
+    rows = flat_rows(planned).where(F.exists("cells", lambda c: F.coalesce(
+        (c["raw"] != "") & _entry("labels", c["col"]).isNotNull(), F.lit(False))))
+
+    def field(column: Column, text: Column) -> Column:
+        return F.struct(_entry("labels", column)["label"].alias("label"), text.alias("text"))
+
+    present = F.transform(
+        F.filter("cells", lambda c: F.coalesce(_entry("labels", c["col"])["counts"], F.lit(False))),
+        lambda c: field(c["col"], coerce_str(c["raw"])["value"]))
+    absent = F.transform(_lacking("labelled"), lambda k: field(k, F.lit(None).cast("string")))
+    return rows.select(*SHEET, "row_seq", F.map_from_entries(F.concat(present, absent)).alias("fields"))
 
 
 MAX_LABELS = 16_384         # columns of a spreadsheet, and of the wide form

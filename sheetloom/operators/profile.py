@@ -1,8 +1,9 @@
 """Sheet profiling: find the layout, header band and columns of every sheet.
 
-One pass over the cells folds each header row (and, as one more group, the whole
-body) into a few integers.  Those partial aggregates run before the shuffle, so a
-sheet of any height reaches the second step as at most 28 small rows.
+Two pruned scans fold each header row and, without its texts, the whole body into a few
+integers.  Those partial aggregates run before the shuffle, so a sheet of any height
+reaches the second step as at most 28 small rows.  Flat sheets are read once more: the
+filled rows of a column are bits, 64 rows to a word.
 """
 
 from __future__ import annotations
@@ -54,6 +55,7 @@ HEADER_ROWS = SCAN_ROWS + 2
 # Rows of a sheet are handled in blocks of this height wherever a sheet-level
 # fact has to meet the cells, so that a huge sheet spreads over many tasks.
 ROWS_PER_BLOCK = 8192
+WORD = 32                # rows to a word of a bitmap; no bit of it is the sign of a long
 
 NOTE_SMALL = "sheet too small to profile"
 NOTE_NO_BAND = "could not locate quality_standard header band"
@@ -79,15 +81,30 @@ def _flag_bits(flags: list[Column]) -> Column:
 def row_facts(cells: DataFrame) -> DataFrame:
     """One row per (sheet, header row), plus one for the body of the sheet.
 
-    Two scans: the first rows with their text, and the rest without it.
+    Two scans: the first rows with their text, and the rest with what it takes to find
+    the sheet's extent and its serials.
     """
-    header = cells.where(F.col("row") <= HEADER_ROWS)
-    body = (cells.where(F.col("row") > HEADER_ROWS)
-            .withColumn("raw", F.lit(None).cast("string")))
-    return _folded(header).unionByName(_folded(body))
+    header = _header_facts(cells.where(F.col("row") <= HEADER_ROWS))
+    body = _body_facts(cells.where(F.col("row") > HEADER_ROWS))
+    return header.unionByName(body, allowMissingColumns=True)
 
 
-def _folded(cells: DataFrame) -> DataFrame:
+def _extent() -> list[Column]:
+    in_a = (F.col("col") == 1) & is_numeric(F.col("kind"))
+    return [
+        F.max("row").alias("max_row"),
+        F.max("col").alias("max_col"),
+        F.min(F.when(in_a, F.col("row"))).alias("first_serial_row"),
+        F.count(F.when(in_a, 1)).alias("serials"),
+    ]
+
+
+def _body_facts(cells: DataFrame) -> DataFrame:
+    return (cells.groupBy(*SHEET).agg(*_extent())
+            .withColumn("hrow", F.lit(HEADER_ROWS + 1)))
+
+
+def _header_facts(cells: DataFrame) -> DataFrame:
     label = header_label(F.col("raw"))
     scanned = F.col("row") <= SCAN_ROWS
     in_a = F.col("col") == 1
@@ -97,15 +114,13 @@ def _folded(cells: DataFrame) -> DataFrame:
     anchor = label.isin(list(ANCHORS))
     near = F.col("col") <= FLAT_COLUMNS
     flat_row = real & (F.col("row") <= FLAT_ROWS)
-    group = F.when(F.col("row") <= HEADER_ROWS, F.col("row")).otherwise(HEADER_ROWS + 1)
     zero = F.lit(0)
     return (
-        cells.withColumn("hrow", group)
+        cells.withColumn("hrow", F.col("row"))
         .groupBy(*SHEET, "hrow")
         .agg(
             F.max("sheet_pos").alias("sheet_pos"),
-            F.max("row").alias("max_row"),
-            F.max("col").alias("max_col"),
+            *_extent(),
             F.bit_or(F.when(scanned & in_a, _flag_bits([label == a for a in ANCHORS]))
                      .otherwise(zero)).alias("anchor_bits"),
             F.bit_or(F.when(scanned, _flag_bits([label.contains(t) for t in FIELD_LABELS]))
@@ -115,8 +130,6 @@ def _folded(cells: DataFrame) -> DataFrame:
             .alias("is_process"),
             F.min(F.when(scanned & numeric, F.col("col"))).alias("first_num_col"),
             F.max(F.when(scanned & numeric, F.col("col"))).alias("last_num_col"),
-            F.min(F.when(in_a & numeric, F.col("row"))).alias("first_serial_row"),
-            F.count(F.when(in_a & numeric, 1)).alias("serials"),
             F.count(F.when(flat_row & near, 1)).alias("near_cells"),
             F.min(F.when(flat_row & near, short & ~anchor)).alias("near_ok"),
             F.count(F.when(flat_row, 1)).alias("all_cells"),
@@ -224,45 +237,56 @@ def classify(bands: DataFrame) -> DataFrame:
 
 
 def labelled_columns(cells: DataFrame, classified: DataFrame) -> DataFrame:
-    """Flat sheets with the (bounded) list of their labelled columns."""
+    """One row per labelled column of a flat sheet, with the row of its label."""
     flat = (classified.where(F.col("layout") == LAYOUT_FLAT)
-            .select(*SHEET, F.col("flat_header_row").alias("header_row"), "max_row"))
+            .select(*SHEET, F.col("flat_header_row").alias("header_row")))
     header = cells.where((F.col("row") <= FLAT_ROWS) & (F.col("col") >= 1)
                          & text_or_null(F.col("raw")).isNotNull())
     return (
-        header.join(broadcast_if_small(flat, classified), SHEET)
-        .where(F.col("row") == F.col("header_row"))
-        .groupBy(*SHEET)
-        .agg(F.max("header_row").alias("header_row"), F.max("max_row").alias("max_row"),
-             F.array_sort(F.collect_list("col")).alias("columns"))
+        header.select(*SHEET, F.col("row").alias("header_row"), "col")
+        .join(broadcast_if_small(flat, classified), [*SHEET, "header_row"])
+        .distinct()
+    )
+
+
+def filled_rows(cells: DataFrame) -> DataFrame:
+    """The filled rows of every column as bitmaps: one word for 32 rows.
+
+    Words are folded before the shuffle, so that a column of any height moves one small
+    row for 32 cells.
+    """
+    return (
+        cells.where((F.col("col") >= 1) & (F.col("raw") != ""))
+        .groupBy(*SHEET, "col", F.floor(F.col("row") / WORD).cast("int").alias("word"))
+        .agg(F.bit_or(F.call_function(
+            "shiftleft", F.lit(1).cast("long"), F.col("row") % WORD)).alias("bits"))
     )
 
 
 def flat_extents(cells: DataFrame, classified: DataFrame) -> DataFrame:
     """Data start and non-empty row count of flat sheets.
 
-    Cells meet the labelled columns per (sheet, block); the distinct rows are
-    counted per block first, in the same partitioning.
+    The bitmaps of the labelled columns, from below the header on, are joined per
+    (sheet, column) and united per sheet; rows are bits, and counting them is counting bits.
     """
-    targets = labelled_columns(cells, classified).select(
-        *SHEET, "header_row", "max_row", "columns",
-        F.explode(F.sequence(F.lit(0), block_of(F.col("max_row")))).alias("block"))
-    filled = (cells.where((F.col("col") >= 1) & (F.col("raw") != ""))
-              .select(*SHEET, block_of(F.col("row")).alias("block"), "row", "col"))
-    hits = (
-        filled.join(broadcast_if_small(targets, classified), [*SHEET, "block"])
-        .where((F.col("row") > F.col("header_row")) & F.array_contains("columns", F.col("col")))
-        .groupBy(*SHEET, "block", "row").agg(F.lit(1).alias("one"))
-        .groupBy(*SHEET).agg(F.min("row").alias("flat_start"), F.count("*").alias("flat_rows"))
-    )
-    return (
-        targets.where(F.col("block") == 0).select(*SHEET, "header_row", "max_row")
-        .join(hits, SHEET, "left")
-        .select(*SHEET,
-                F.coalesce("flat_start", F.greatest(F.col("max_row"), F.col("header_row")) + 1)
-                .alias("flat_start"),
-                F.coalesce("flat_rows", F.lit(0)).cast("bigint").alias("flat_rows"))
+    below = F.col("header_row") - F.col("word") * WORD + 1      # bits of the word that lie above the data
+    bits = (F.when(below <= 0, F.col("bits")).when(below >= WORD, F.lit(0).cast("long"))
+            .otherwise(F.col("bits").bitwiseAND(
+                F.call_function("shiftleft", F.lit(-1).cast("long"), below))))
+    lowest = F.col("bits").bitwiseAND(-F.col("bits"))
+    rows = (
+        filled_rows(cells).join(labelled_columns(cells, classified), [*SHEET, "col"])
+        .groupBy(*SHEET, "word").agg(F.bit_or(bits).alias("bits"))
+        .where("bits != 0")
+        .groupBy(*SHEET).agg(
+            F.min(F.col("word") * WORD + F.bit_count(lowest - 1)).alias("start"),
+            F.sum(F.bit_count("bits")).alias("rows"))
     )
+    flat = classified.where(F.col("layout") == LAYOUT_FLAT).select(*SHEET, "flat_header_row", "max_row")
+    return flat.join(rows, SHEET, "left").select(
+        *SHEET,
+        F.coalesce("start", F.greatest(F.col("max_row"), F.col("flat_header_row")) + 1).cast("int").alias("flat_start"),
+        F.coalesce("rows", F.lit(0)).cast("bigint").alias("flat_rows"))
 
 
 def profile_frames(cells: DataFrame, cut=durable) -> DataFrame:

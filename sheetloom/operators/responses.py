@@ -6,7 +6,7 @@ import os
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sheetloom.contracts import SHEET_COLUMN_COLUMNS
 from sheetloom.functions.text import FLOAT_TEXT, INT_TEXT, strip
@@ -67,6 +67,52 @@ def ask(requests: DataFrame, responder: Responder) -> DataFrame:
         answer, "workbook string, sheet string, response string")
 
 
+KEPT = "request_key string, response string, answered_at timestamp"
+
+
+def request_key(request: Column) -> Column:
+    """What a reply is kept under: the request's own text, digested."""
+    return F.sha2(request, 256)
+
+
+def kept_replies(spark: SparkSession, folder: str) -> DataFrame:
+    """``request_key, response`` of the table of replies in a folder, one row per request.
+
+    Where two runs asked the same at once, the first reply counts.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], "request_key string, response string")
+    first = F.min(F.struct("answered_at", "response"))
+    return (spark.read.schema(KEPT).parquet(folder).groupBy("request_key").agg(first.alias("first"))
+            .select("request_key", "first.response"))
+
+
+def ask_once(requests: DataFrame, responder: Responder, folder: str, waves: int = 4) -> DataFrame:
+    """``workbook, sheet, response``, from the table of replies in ``folder``.
+
+    Only requests whose text has no reply there are asked, each text once however many
+    sheets send it; what comes back is added to the table.  They are asked in ``waves``, each
+    added when it is done, so that a lost run loses one wave's replies at most, and an
+    unchanged sheet costs nothing in a later run.  A request that got no reply is asked
+    again next time.
+    """
+    spark = requests.sparkSession
+    keyed = durable(requests.select(*SHEET, "request", request_key(F.col("request")).alias("request_key")))
+    new = durable(keyed.select("request_key", "request").dropDuplicates(["request_key"])
+                  .join(kept_replies(spark, folder), "request_key", "left_anti"))
+    if not new.isEmpty():
+        for wave in range(waves):
+            part = new.where(F.pmod(F.xxhash64("request_key"), F.lit(waves)) == wave)
+            # the key travels in place of a sheet's address
+            asked = ask(part.select(F.col("request_key").alias("workbook"), F.lit("").alias("sheet"), "request"),
+                        responder)
+            (asked.where("response is not null")
+             .select(F.col("workbook").alias("request_key"), "response", F.current_timestamp().alias("answered_at"))
+             .write.mode("append").parquet(folder))
+    return keyed.join(kept_replies(spark, folder), "request_key").select(*SHEET, "response")
+
+
 def _kind_of(value: Column) -> Column:
     return F.schema_of_variant(value)
 
@@ -162,15 +208,19 @@ def map_columns_by_replies(columns: DataFrame, responses: DataFrame,
 
 def map_columns(columns: DataFrame, profiles: DataFrame,
                 names: CanonicalNames = DEFAULT_NAMES,
-                responder: Responder | None = None, cut=durable) -> DataFrame:
+                responder: Responder | None = None, cut=durable,
+                replies: str | None = None) -> DataFrame:
     """Deterministic mapping, or a model's where a responder is given.
 
     Setting MOCK_LLM to 1, true or yes ignores the responder.  Replies are stored
-    before they are parsed, since asking again could answer differently.
+    before they are parsed, since asking again could answer differently: in the table of
+    replies in the folder ``replies``, which outlives the run (:func:`ask_once`), else
+    for this application only.
     """
     mocked = os.environ.get("MOCK_LLM", "").lower() in ("1", "true", "yes")
     if responder is None or mocked:
         return map_columns_deterministic(columns, names).withColumn(
             "sheet_label", F.col("raw_label"))
-    replies = cut(ask(mapping_requests(columns, profiles, names), responder))
-    return map_columns_by_replies(columns, replies, names)
+    requests = mapping_requests(columns, profiles, names)
+    answers = cut(ask(requests, responder)) if replies is None else ask_once(requests, responder, replies)
+    return map_columns_by_replies(columns, answers, names)

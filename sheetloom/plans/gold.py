@@ -42,40 +42,64 @@ def quarantine_sql(mappings: str, issues: str) -> str:
         FROM {issues} WHERE severity = 'warning'"""
 
 
+def exact_sum(value: Column, times: Column | None = None) -> Column:
+    """Sum of doubles that does not depend on their order.
+
+    Numbers below 1e9 are added as decimals of 18 places, those below 1e20 as decimals of
+    6; only what is larger yet, or no number, is added as it is.  ``times`` counts how
+    often a row's value occurs.
+    """
+    times = F.lit(1).cast("long") if times is None else times
+    size = F.abs(value)
+    fine = F.when(size < 1e9, value.cast("decimal(27,18)"))
+    coarse = F.when((size >= 1e9) & (size < 1e20), value.cast("decimal(26,6)"))
+    rest = F.when(~(size < 1e20), value * times)
+    many = times.cast("decimal(11,0)")
+    fine_sum, coarse_sum, rest_sum = [F.coalesce(F.sum(p).cast("double"), F.lit(0.0)) for p in (
+        (fine * many).cast("decimal(38,18)"), (coarse * many).cast("decimal(38,6)"), rest)]
+    return F.when(F.count(value) > 0, fine_sum + coarse_sum + rest_sum)
+
+
+def exact_avg(value: Column) -> Column:
+    """Mean by :func:`exact_sum`, divided once; null without a value."""
+    return exact_sum(value) / F.nullif(F.count(value), F.lit(0))
+
+
 def dim_batch(observations: DataFrame) -> DataFrame:
     """One row per batch on a sheet.
 
     Stage and instrument come from the batch's first observation in sheet order,
-    nulls included, which needs the physical key of ``observations_keyed``.
+    nulls included, which needs the physical key of ``observations_keyed``: the least
+    address is found as a number, and its texts are looked up.
     """
-    first = F.min(F.struct(*OBSERVATION_KEY, "stage", "instrument_id"))
-    return (
-        observations.where(F.col("batch_no").isNotNull())
-        .groupBy("batch_no", "workbook", "sheet")
-        .agg(first.alias("first"), F.min("sample_date").alias("first_seen"),
-             F.max("sample_date").alias("last_seen"))
-        .select("batch_no", "workbook", "sheet", "first.stage", "first.instrument_id",
-                "first_seen", "last_seen")
-    )
+    row, column = OBSERVATION_KEY
+    named = observations.where(F.col("batch_no").isNotNull()).select(
+        "batch_no", "workbook", "sheet", "sample_date", "stage", "instrument_id",
+        (F.col(row).cast("long") * 65_536 + F.col(column)).alias("address"))
+    batch = ["batch_no", "workbook", "sheet"]
+    spans = named.groupBy(*batch).agg(
+        F.min("address").alias("address"), F.min("sample_date").alias("first_seen"),
+        F.max("sample_date").alias("last_seen"))
+    texts = named.select(*batch, "address", "stage", "instrument_id")
+    return spans.join(texts, [*batch, "address"]).select(
+        *batch, "stage", "instrument_id", "first_seen", "last_seen")
 
 
 def dim_analyte(observations: DataFrame) -> DataFrame:
     """One row per canonical analyte with its label variants and averages.
 
-    Sums per (analyte, label, unit) are folded first, so that the sets are
-    collected from distinct labels rather than from observations.
+    Equal rows of attributes are counted first (a column's are the same in all its rows),
+    so that the sets are collected and the averages are made of few.
     """
     averaged = ["rt", "rrt", "spec_max", "spec_min"]
-    per_label = (
+    per_column = (
         observations.where(F.col("analyte_canonical").isNotNull())
-        .groupBy("analyte_canonical", "analyte", "unit")
-        .agg(*[F.sum(c).alias(f"sum_{c}") for c in averaged],
-             *[F.count(c).alias(f"n_{c}") for c in averaged])
-    )
-    return per_label.groupBy("analyte_canonical").agg(
+        .groupBy("analyte_canonical", "analyte", "unit", *averaged).agg(F.count("*").alias("n")))
+    n = F.col("n")
+    return per_column.groupBy("analyte_canonical").agg(
         F.array_sort(F.collect_set("analyte")).alias("raw_label_variants"),
         F.array_sort(F.collect_set("unit")).alias("units_seen"),
-        *[(F.sum(f"sum_{c}") / F.nullif(F.sum(f"n_{c}"), F.lit(0))).alias(f"avg_{c}")
+        *[(exact_sum(F.col(c), n) / F.nullif(F.sum(F.when(F.col(c).isNotNull(), n)), F.lit(0))).alias(f"avg_{c}")
           for c in averaged])
 
 
@@ -98,7 +122,7 @@ def mv_impurity_trend(facts: DataFrame) -> DataFrame:
     return (
         facts.where(F.col("analyte_canonical").isNotNull() & F.col("sample_date").isNotNull())
         .groupBy("analyte_canonical", "sample_date")
-        .agg(F.count("*").alias("n_observations"), F.avg("value").alias("avg_value"),
+        .agg(F.count("*").alias("n_observations"), exact_avg(F.col("value")).alias("avg_value"),
              F.max("value").alias("max_value"), F.min("spec_max").alias("spec_max"))
     )
 
@@ -108,8 +132,8 @@ def mv_spec_violations(facts: DataFrame) -> DataFrame:
         facts.where(~F.col("pass"))
         .groupBy("analyte_canonical", "workbook", "sheet")
         .agg(F.count("*").alias("violation_count"),
-             F.avg("value").alias("avg_violating_value"),
-             F.avg(F.col("value") - F.col("spec_max")).alias("avg_overshoot"))
+             exact_avg(F.col("value")).alias("avg_violating_value"),
+             exact_avg(F.col("value") - F.col("spec_max")).alias("avg_overshoot"))
     )
 
 

@@ -30,10 +30,11 @@ def run_bronze(spark: SparkSession, folder: str, *, layout: Layout = Layout()) -
 
 
 def run_silver(cells: DataFrame, *, names: CanonicalNames = DEFAULT_NAMES,
-               responder: Responder | None = None, layout: Layout = Layout()) -> dict[str, DataFrame]:
+               responder: Responder | None = None, replies: str | None = None,
+               layout: Layout = Layout()) -> dict[str, DataFrame]:
     spark = cells.sparkSession
     create_layers(spark, layout)
-    result = clean(cells, names=names, responder=responder)
+    result = clean(cells, names=names, responder=responder, replies=replies).keep_rows()
     tables = {
         "sheet_profiles": result.profiles,
         "column_mapping_log": result.mappings,
@@ -77,8 +78,8 @@ def run_export(spark: SparkSession, folder: str, fmt: str = "parquet", *,
 
 def run_all(spark: SparkSession, source: str, target: str, *, fmt: str = "parquet",
             names: CanonicalNames = DEFAULT_NAMES, responder: Responder | None = None,
-            layout: Layout = Layout()) -> None:
+            replies: str | None = None, layout: Layout = Layout()) -> None:
     cells = run_bronze(spark, source, layout=layout)
-    run_silver(cells, names=names, responder=responder, layout=layout)
+    run_silver(cells, names=names, responder=responder, replies=replies, layout=layout)
     run_gold(spark, layout=layout)
     run_export(spark, target, fmt, layout=layout)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -11,18 +12,38 @@ from sheetloom.operators import facts
 from sheetloom.operators.mapping import mapping_log
 from sheetloom.operators.profile import profile_frames, sheet_columns
 from sheetloom.operators.responses import Responder, map_columns
-from sheetloom.session import durable
+from sheetloom.session import broadcast_within, durable, durable_in_buckets
 from sheetloom.sources.canonical import CanonicalNames, DEFAULT_NAMES
 
 
 @dataclass
 class SilverTables:
-    """Results over all workbooks.  ``frames`` keep working columns."""
+    """Results over all workbooks.  ``frames`` keep working columns.
+
+    Each output packs the cells it reads, unless :meth:`keep_rows` has stored them once.
+    """
 
     profile_frame: DataFrame
     columns: DataFrame
     mapped: DataFrame
-    planned: DataFrame
+    plans: DataFrame
+    cells: DataFrame
+    rows: DataFrame | None = None
+
+    @property
+    def packed(self) -> DataFrame:
+        """Packed rows; cells of sheets without a plan go first where the plans are few."""
+        few = broadcast_within(self.plans.select(*facts.SHEET), F.lit(1))
+        return facts.packed_rows(
+            self.cells if few is None else self.cells.join(few, facts.SHEET, "left_semi"))
+
+    def keep_rows(self) -> SilverTables:
+        """Store the packed rows in buckets, which every output reads without moving them."""
+        return replace(self, rows=durable_in_buckets(self.packed, *facts.BLOCK))
+
+    @cached_property
+    def planned(self) -> DataFrame:
+        return facts.planned_rows(self.packed if self.rows is None else self.rows, self.plans)
 
     @property
     def profiles(self) -> DataFrame:
@@ -67,14 +88,16 @@ class SilverTables:
 
 
 def clean(cells: DataFrame, *, names: CanonicalNames = DEFAULT_NAMES,
-          responder: Responder | None = None, cut=durable) -> SilverTables:
+          responder: Responder | None = None, replies: str | None = None,
+          cut=durable) -> SilverTables:
     """Profile, map and plan every sheet, and bind the rows to the plans.
 
-    The sheet-level results are small beside the cells and have many readers;
+    A responder's replies are kept in the folder ``replies``, where one is named, for
+    later runs too.  The sheet-level results are small beside the cells and have many readers;
     ``cut`` stores them once (``lambda df: df`` keeps everything lazy).
     """
     profiles = cut(profile_frames(cells, cut))
     columns = sheet_columns(cells, profiles)
-    mapped = cut(map_columns(columns, profiles, names, responder, cut))
-    planned = facts.planned_rows(cells, facts.sheet_plans(profiles, mapped))
-    return SilverTables(profiles, columns, mapped, planned)
+    mapped = cut(map_columns(columns, profiles, names, responder, cut, replies))
+    plans = cut(facts.sheet_plans(profiles, mapped))
+    return SilverTables(profiles, columns, mapped, plans, cells)

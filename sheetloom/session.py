@@ -7,10 +7,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Stored size up to which a result of `durable` is worth sending to every executor.
 BROADCAST_BYTES = 4 << 20
+BROADCAST_ROWS = 100_000
+# Entries (about 100 bytes each) of nested rows up to which they are sent.
+BROADCAST_ENTRIES = 200_000
 
 _kept_until_exit: set[str] = set()
 
@@ -66,11 +69,36 @@ def durable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def durable_in_buckets(df: DataFrame, *keys: str) -> DataFrame:
+    """As :func:`durable`, dealt by ``keys`` over as many buckets as a shuffle has partitions.
+
+    A frame that is hashed by ``keys`` already is written as it lies; joins and aggregates
+    by ``keys`` read the result without moving it.  The name that the session's catalogue
+    needs for a bucketed table goes as soon as the table is bound; its files stay.
+    """
+    spark = df.sparkSession
+    name = f"rows_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, *keys).option("path", f"{shared_folder(spark)}/{name}").saveAsTable(name)
+    stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return stored
+
+
 def broadcast_if_small(df: DataFrame, sized_by: DataFrame) -> DataFrame:
     """Broadcast hint behind a size check.
 
-    ``sized_by`` is a stored table that bounds ``df`` (one row of it makes at most
-    a few of ``df``); beyond the limit the join is left to shuffle.
+    ``sized_by`` is a stored table that bounds ``df``: one row of it makes at most one
+    short row of ``df``.  Files are smaller than rows in memory, so both its stored size
+    and its rows are limited; beyond the limits the join is left to shuffle.
     """
     stored = sized_by._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return F.broadcast(df) if int(str(stored)) <= BROADCAST_BYTES else df
+    small = int(str(stored)) <= BROADCAST_BYTES and sized_by.count() <= BROADCAST_ROWS
+    return F.broadcast(df) if small else df
+
+
+def broadcast_within(df: DataFrame, entries: Column, limit: int = BROADCAST_ENTRIES) -> DataFrame | None:
+    """The frame with a broadcast hint if the entries of its rows, added up, stay within
+    ``limit``; None if they do not.  It is the very frame sent that is measured."""
+    total = df.agg(F.sum(entries)).first()[0] or 0
+    return F.broadcast(df) if total <= limit else None

@@ -49,11 +49,10 @@ class CanonicalNames:
         pairs = [(canonical, alias) for canonical, aliases in names.items() for alias in aliases]
         return [(canonical, alias, ord_) for ord_, (canonical, alias) in enumerate(pairs)]
 
-    def frames(self, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-        """Both dictionaries as (canonical, alias, ord) DataFrames."""
-        schema = "canonical string, alias string, ord int"
-        return (spark.createDataFrame(self.flatten(self.synonyms), schema),
-                spark.createDataFrame(self.flatten(self.analytes), schema))
+    @classmethod
+    def frame(cls, spark: SparkSession, names: dict[str, list[str]]) -> DataFrame:
+        """A dictionary as (canonical, alias, ord) rows."""
+        return spark.createDataFrame(cls.flatten(names), "canonical string, alias string, ord int")
 
 
 DEFAULT_NAMES = CanonicalNames(SYNONYMS, ANALYTES)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -44,10 +46,21 @@ def create_layers(spark: SparkSession, layout: Layout = Layout()) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layout.layer(layer)}")
 
 
+# Formats that replace a table, schema included, in one commit of their own.
+TRANSACTIONAL = {"delta", "iceberg", "hudi"}
+VERSION = "table_version"       # property of a table's view: the version that it shows
+
+
 def save_table(df: DataFrame, layer: str, table: str, *, layout: Layout = Layout(),
                skip_empty: bool = False) -> DataFrame:
     """Replace a table, schema included, and read it back.
 
+    Readers see the old rows or the new ones, never a mixture or nothing: the rows are
+    written as a table of their own, ``<table>__v...``, and the table's name is a view that
+    is pointed to it last.  A run that fails or is lost before that leaves the old table as
+    it was, and a table may be rewritten from itself.  The version before stays for those
+    who are still reading it, older ones go.  A transactional format does all this itself.
+
     With ``skip_empty`` an existing table is left alone when there is no row; the result
     is then stored once and looked at, not computed twice.
     """
@@ -56,13 +69,43 @@ def save_table(df: DataFrame, layer: str, table: str, *, layout: Layout = Layout
         df = durable(df)
         if df.isEmpty():
             return df
-    writer = df.write.mode("overwrite").option("overwriteSchema", True)
-    if layout.table_format:
-        writer = writer.format(layout.table_format)
-    writer.saveAsTable(name)
+    if (layout.table_format or "").lower() in TRANSACTIONAL:
+        (df.write.mode("overwrite").option("overwriteSchema", True)
+         .format(layout.table_format).saveAsTable(name))
+        return spark.table(name)
+    version = f"{table}__v{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+    writer = df.write.format(layout.table_format) if layout.table_format else df.write
+    try:
+        writer.saveAsTable(layout.name(layer, version))
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {layout.name(layer, version)}")
+        raise
+    _point_to(spark, layer, table, version, layout)
     return spark.table(name)
 
 
+def table_version(spark: SparkSession, layer: str, table: str, layout: Layout = Layout()) -> str | None:
+    """The version that a table's name shows now; None for no table, or one of another kind."""
+    name = layout.name(layer, table)
+    if not spark.catalog.tableExists(name):
+        return None
+    shown = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return shown.get(VERSION)
+
+
+def _point_to(spark: SparkSession, layer: str, table: str, version: str, layout: Layout) -> None:
+    name, before = layout.name(layer, table), table_version(spark, layer, table, layout)
+    if before is None and spark.catalog.tableExists(name):
+        spark.sql(f"DROP TABLE {name}")         # a plain table makes room for the view once
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{VERSION}' = '{version}') "
+              f"AS SELECT * FROM {layout.name(layer, version)}")
+    # names sort by time; a run that started earlier and is not done yet is newer than `before`
+    oldest = min(before or version, version)
+    for row in spark.sql(f"SHOW TABLES IN {layout.layer(layer)} LIKE '{table}__v*'").collect():
+        if row["tableName"] < oldest:
+            spark.sql(f"DROP TABLE IF EXISTS {layout.name(layer, row['tableName'])}")
+
+
 def create_view(spark: SparkSession, layer: str, view: str, query: str, *,
                 layout: Layout = Layout()) -> DataFrame:
     """A lasting view over stored tables, as SQL: other sessions read it too."""

@@ -6,13 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from grids import META_LABELS, cells_frame, standard_sheet
-from sheetloom.operators import profile, responses
+from sheetloom.operators import mapping, profile, responses
 from sheetloom.operators.facts import data_rows
 from sheetloom.operators.mapping import match_analyte, match_meta, slug
 from sheetloom.operators.profile import row_facts
 from sheetloom.plans import gold, reports
 from sheetloom.plans.silver import clean
-from sheetloom.sources.canonical import DEFAULT_NAMES, load_names
+from sheetloom.sources.canonical import DEFAULT_NAMES, CanonicalNames, load_names
 
 LABELS = ["Impurity-1", "TFMBA", "Impurity-1", "Imp-A"]
 BOUNDS = {"TFMBA": ("Min", 99.0, 98.5)}
@@ -165,14 +165,49 @@ def test_label_matching(spark):
     assert analyte.select(slug(F.lit(" --Unknown-RRT-1.7 ")).alias("s")).first().s == "unknown_Unknown_RRT_1_7"
 
 
+def matches(df, label="raw_label"):
+    return {r[label]: (r.canonical, r.confidence, r.rationale) for r in df.collect()}
+
+
+@pytest.mark.parametrize("match", [match_meta, match_analyte])
+def test_index_of_aliases_equals_trying_each(spark, monkeypatch, match):
+    import random
+    rng = random.Random(2)
+
+    def word(n):
+        return "".join(rng.choice("ab -_c") for _ in range(n))
+
+    aliases = {f"N{i}": [word(rng.randint(0, 9)) for _ in range(8)] for i in range(30)} | {"É": ["été", "a", ""]}
+    names = CanonicalNames(aliases, aliases)
+    labels = spark.createDataFrame(
+        [(word(rng.randint(0, 14)),) for _ in range(300)] + [(a,) for a in aliases["N3"]]
+        + [("",), (None,), ("a",), ("ab",), ("x été y",), ("ABC  a",)], "raw_label string").distinct()
+    monkeypatch.setattr(mapping, "LITERAL_ALIASES", 10 ** 6)
+    each = matches(match(labels, names))
+    monkeypatch.setattr(mapping, "LITERAL_ALIASES", 0)
+    assert matches(match(labels, names)) == each and len(each) > 200
+
+
+def test_a_hundred_thousand_aliases(spark):
+    names = CanonicalNames({f"field {i}": [f"alias number {i} of many", f"short {i:05d}"] for i in range(50_000)}, {})
+    labels = spark.createDataFrame(
+        [("Alias  number 777 of many",), ("the SHORT 00042 one",), ("number 49999 of",), ("nothing",)], "raw_label string")
+    found = match_meta(labels, names)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+    got = {r.raw_label: r.canonical for r in found.collect()}
+    assert got == {"Alias  number 777 of many": "field 777", "the SHORT 00042 one": "field 42",
+                   "number 49999 of": "field 49999", "nothing": None}
+
+
 def test_names_from_file(spark, tmp_path):
     path = tmp_path / "names.yaml"
     path.write_text('{"synonyms": {"a": ["x y", "z"]}, "analytes": {"B": ["b"]}}')
     names = load_names(path)
     assert load_names(path, spark) == names
-    synonyms, analytes = names.frames(spark)
-    assert [tuple(r) for r in synonyms.orderBy("ord").collect()] == [("a", "x y", 0), ("a", "z", 1)]
-    assert analytes.count() == 1 and DEFAULT_NAMES.frames(spark)[0].count() == 30
+    assert [tuple(r) for r in names.frame(spark, names.synonyms).orderBy("ord").collect()] == [
+        ("a", "x y", 0), ("a", "z", 1)]
+    assert DEFAULT_NAMES.frame(spark, DEFAULT_NAMES.synonyms).count() == 30
 
 
 REPLIES = {
@@ -222,6 +257,46 @@ def test_responder(spark, monkeypatch):
     assert clean(cells, responder=respond).mappings.where("source = 'llm'").count() == 0
 
 
+def test_replies_outlive_a_run(spark, tmp_path, monkeypatch):
+    monkeypatch.delenv("MOCK_LLM", raising=False)
+    calls, folder = tmp_path / "calls", str(tmp_path / "replies")
+    calls.mkdir()
+
+    def respond(requests):
+        import os
+        import uuid
+        out = []
+        for r in requests:
+            with open(os.path.join(str(calls), uuid.uuid4().hex), "w") as f:
+                f.write(r)
+            out.append(None if "Sheet: mute" in r else '[{"raw": "x", "col": 12, "role": "analyte", "canonical": "C"}]')
+        return out
+
+    def run(books, sheets):
+        grids = {(w, s): standard_sheet(["Impurity", "TFMBA"], [{1: 1, 12: 0.2}]) for w in books for s in sheets}
+        done = clean(cells_frame(spark, grids), responder=respond, replies=folder)
+        return {(r.workbook, r.sheet, r.analyte_canonical) for r in done.observations.collect()}
+
+    first = run(["a.xlsx", "b.xlsx"], ["s", "t"])
+    assert first == {(w, s, "C") for w in ("a.xlsx", "b.xlsx") for s in ("s", "t")}
+    assert len(list(calls.iterdir())) == 2              # one text a sheet name, whatever the workbook
+    assert run(["a.xlsx", "b.xlsx"], ["s", "t"]) == first and len(list(calls.iterdir())) == 2
+    assert ("c.xlsx", "u", "C") in run(["c.xlsx"], ["s", "u"]) and len(list(calls.iterdir())) == 3
+    # no reply: the aliases serve, and the next run asks again
+    assert run(["d.xlsx"], ["mute"]) == {("d.xlsx", "mute", "Impurity_generic"), ("d.xlsx", "mute", "TFMBA")}
+    assert len(list(calls.iterdir())) == 4
+    run(["d.xlsx"], ["mute"])
+    assert len(list(calls.iterdir())) == 5
+
+
+def test_first_of_two_kept_replies_counts(spark, tmp_path):
+    folder = str(tmp_path / "replies")
+    assert responses.kept_replies(spark, folder).count() == 0
+    spark.createDataFrame([("k", "late", datetime(2026, 1, 2)), ("k", "early", datetime(2026, 1, 1))],
+                          responses.KEPT).write.parquet(folder)
+    assert [tuple(r) for r in responses.kept_replies(spark, folder).collect()] == [("k", "early")]
+
+
 def test_marts_and_reports(result):
     obs, issues, maps = result.observations_keyed, result.issues_keyed, result.mappings
     rate = {r.batch_no: (r.observations, r.passing, r.failing, r.pass_rate)

@@ -1,15 +1,21 @@
 """Workbook files, tables, views and exports."""
 
+import time
 from datetime import datetime
 from pathlib import Path
 
+import pytest
 from grids import cells_frame, standard_sheet, workbook_bytes
+from pyspark.sql import functions as F
 from sheetloom.plans import jobs
 from sheetloom.plans.silver import clean
 from sheetloom.sources.folder import grid_preview, list_files, workbook_catalog
 from sheetloom.operators.facts import wide_names
 from sheetloom.session import shared_folder
-from sheetloom.sources.tables import CSV, Layout, export_workbooks, write_csv
+from sheetloom.sources import tables
+from sheetloom.sources.tables import (
+    CSV, Layout, create_layers, export_workbooks, save_table, table_version, write_csv,
+)
 from sheetloom.sources.xlsx import read_workbooks
 
 STYLES = ('<xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="164"/><xf numFmtId="165"/>'
@@ -128,7 +134,8 @@ def test_prefix_and_format(spark, tmp_path):
     cells = cells_frame(spark, {("B.XLSX", "s"): grid, ("B.XLSX", "t"): grid})
     jobs.run_silver(cells, layout=layout)
     jobs.run_gold(spark, layout=layout)
-    detail = spark.sql("DESCRIBE EXTENDED spark_catalog.lab_gold.fact_observation").collect()
+    version = table_version(spark, "gold", "fact_observation", layout)
+    detail = spark.sql(f"DESCRIBE EXTENDED spark_catalog.lab_gold.{version}").collect()
     assert any(r.col_name == "Provider" and r.data_type.lower() == "orc" for r in detail)
     assert spark.newSession().table("lab_silver.quarantine_review").count() == 0
     jobs.run_export(spark, str(tmp_path), "csv", layout=layout)
@@ -149,3 +156,58 @@ def test_cells_at_one_address_and_wide_names(spark):
 def test_intermediate_folder(spark):
     folder = shared_folder(spark)
     assert spark.sparkContext.applicationId in folder and shared_folder(spark) == folder
+
+
+def versions(spark, table, layer="bronze"):
+    return sorted(r.tableName for r in spark.sql(f"SHOW TABLES IN {layer} LIKE '{table}__v*'").collect())
+
+
+def test_a_failed_write_leaves_the_old_table(spark):
+    create_layers(spark)
+    save_table(spark.range(10).withColumnRenamed("id", "a"), "bronze", "kept")
+    reader = spark.table("bronze.kept")
+    broken = spark.range(0, 1000, 1, 4).select(
+        F.when(F.col("id") < 990, F.col("id")).otherwise(F.raise_error(F.lit("midway")).cast("long")).alias("b"))
+    with pytest.raises(Exception, match="midway"):
+        save_table(broken, "bronze", "kept")
+    assert spark.table("bronze.kept").columns == ["a"] and spark.table("bronze.kept").count() == 10
+    assert len(versions(spark, "kept")) == 1
+    # another schema, while an earlier reader goes on with the old rows
+    assert save_table(spark.range(3).selectExpr("id as b", "'x' as c"), "bronze", "kept").columns == ["b", "c"]
+    assert reader.count() == 10 and spark.newSession().table("bronze.kept").count() == 3
+
+
+def test_a_table_is_rewritten_from_itself(spark):
+    create_layers(spark)
+    save_table(spark.range(4), "bronze", "own")
+    for n in (5, 6, 7):
+        grown = spark.table("bronze.own").unionByName(spark.range(100 + n, 101 + n))
+        assert save_table(grown, "bronze", "own").count() == n
+    assert len(versions(spark, "own")) == 2         # the one shown and the one before
+    assert table_version(spark, "bronze", "own") == versions(spark, "own")[-1]
+
+
+def test_a_run_that_started_earlier_may_end_later(spark, monkeypatch):
+    create_layers(spark)
+    save_table(spark.range(1), "bronze", "raced")
+    slow, now = spark.range(2), time.time_ns()
+    real = tables._point_to
+
+    def overtaken(session, layer, table, version, layout):
+        monkeypatch.setattr(tables, "_point_to", real)
+        save_table(spark.range(3), layer, table)            # a later run ends first
+        assert spark.table("bronze.raced").count() == 3
+        real(session, layer, table, version, layout)
+
+    monkeypatch.setattr(tables, "_point_to", overtaken)
+    assert save_table(slow, "bronze", "raced").count() == 2
+    assert spark.table("bronze.raced").count() == 2 and now > 0
+
+
+def test_a_plain_table_makes_room_and_empty_results_do_not_replace(spark):
+    create_layers(spark)
+    spark.range(5).write.saveAsTable("bronze.plain")
+    assert table_version(spark, "bronze", "plain") is None and table_version(spark, "bronze", "absent") is None
+    assert save_table(spark.range(2), "bronze", "plain").count() == 2
+    save_table(spark.range(0), "bronze", "plain", skip_empty=True)
+    assert spark.table("bronze.plain").count() == 2
