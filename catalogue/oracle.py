@@ -651,6 +651,11 @@ SELECT workbook, sheet, row_seq, day AS "Date", event_type AS "Description", not
 
 # --- marts and reports --------------------------------------------------------------------------
 
+ORACLE["misc_union_fields"] = _with(EVENTS) + """
+SELECT workbook, sheet, row_seq, s_no, test_id, result, CAST(NULL AS VARCHAR) AS absent, 7 AS n_labels FROM ef"""
+ORACLE["misc_label_table"] = _with(EVENTS) + """
+SELECT unnest(['S.No', 'Date', 'Description', 'Test ID', 'Result', 'Reviewer', 'Notes']) AS label,
+  count(*) AS n_rows FROM ef HAVING count(*) > 0"""
 ORACLE["quarantine_review"] = _with(*LOG, SHEET_LABELS, MAPPINGS) + """
 SELECT 'mapping_low_confidence' AS reason, workbook, sheet, CAST(NULL AS BIGINT) AS row_seq,
   raw_label AS "column", confidence AS metric, rationale AS note
@@ -721,3 +726,21 @@ SELECT workbook, replace(workbook, '.xlsx', '_CLEAN.xlsx') AS export_name, o.n A
 FROM (SELECT workbook, count(*) AS n FROM obs GROUP BY ALL) o
 LEFT JOIN (SELECT workbook, count(*) AS n FROM dq GROUP BY ALL) q USING (workbook)
 LEFT JOIN (SELECT workbook, count(*) AS n FROM mappings GROUP BY ALL) m USING (workbook)"""
+
+
+def _counts(**tables: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{name.split('__')[0]}' AS layer, '{name.split('__')[1]}' AS name, "
+                              f"(SELECT count(*) FROM ({sql})) AS n" for name, sql in tables.items())
+
+
+ORACLE["medallion_tables"] = _with(*LOG, PARTS, SHEET_LABELS, MAPPINGS) + _counts(
+    silver__sheet_profiles="SELECT workbook, pos FROM os UNION ALL SELECT workbook, pos FROM es "
+                           "UNION ALL SELECT workbook, pos FROM ps UNION ALL SELECT workbook, 0 FROM pe",
+    silver__column_mapping_log="FROM mappings", silver__unanswered_sheets="SELECT 1 WHERE FALSE",
+    silver__observations_long="FROM obs", silver__dq_issues="FROM dq", silver__misc_rows="FROM ef",
+    silver__quarantine_review="SELECT 1 FROM mappings WHERE confidence < 0.5 AND role <> 'ignored' "
+                              "UNION ALL SELECT 1 FROM dq WHERE severity = 'warning'",
+    gold__fact_observation="FROM obs",
+    gold__dim_batch="SELECT DISTINCT batch_no, workbook, sheet FROM obs WHERE batch_no IS NOT NULL",
+    gold__dim_analyte="SELECT DISTINCT analyte_canonical FROM obs", gold__mv_batch_pass_rate=PASS_RATE,
+    gold__mv_impurity_trend=TREND, gold__mv_spec_violations=VIOLATIONS)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,12 +17,12 @@ from sheetloom.functions import coerce
 from sheetloom.functions.text import double_text
 from sheetloom.operators import facts, mapping, responses
 from sheetloom.operators.profile import header_bands, sheet_columns as columns_of
-from sheetloom.plans import gold, reports
+from sheetloom.plans import gold, jobs, reports
 from sheetloom.plans.silver import clean
 from sheetloom.sources.canonical import load_names
 from sheetloom.sources.folder import grid_preview, workbook_catalog
 from sheetloom.session import shared_folder
-from sheetloom.sources.tables import CSV, serialized, write_csv
+from sheetloom.sources.tables import CSV, Layout, serialized, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -478,6 +479,35 @@ def misc_wide(spark, sf_dir):
     return stages.silver(spark, sf_dir).misc_wide()
 
 
+@query
+def misc_union_fields(spark, sf_dir):
+    """Fields of flat rows, read from the union of all sheets."""
+    return stages.silver(spark, sf_dir).misc_union.select(
+        "workbook", "sheet", "row_seq", facts.field_of("S.No").alias("s_no"), facts.field_of("Test ID").alias("test_id"),
+        facts.field_of("Result").alias("result"), facts.field_of("absent").alias("absent"),
+        F.size(F.json_object_keys(F.to_json("fields"))).alias("n_labels"))
+
+
+@query
+def misc_label_table(spark, sf_dir):
+    return stages.silver(spark, sf_dir).misc_labels
+
+
+@query
+def medallion_tables(spark, sf_dir):
+    """Rows of every table and view after a whole run into layers of its own, read by name."""
+    layout = Layout(prefix=f"run_{uuid.uuid4().hex[:8]}_")
+    jobs.run_silver(cells_table(spark, sf_dir), layout=layout)
+    jobs.run_gold(spark, layout=layout)
+    names = {"silver": ["sheet_profiles", "column_mapping_log", "unanswered_sheets", "observations_long", "dq_issues",
+                        "misc_rows", "quarantine_review"],
+             "gold": ["fact_observation", "dim_batch", "dim_analyte", "mv_batch_pass_rate", "mv_impurity_trend",
+                      "mv_spec_violations"]}
+    counted = [spark.table(layout.name(layer, name)).agg(F.count("*").alias("n")).select(
+        F.lit(layer).alias("layer"), F.lit(name).alias("name"), "n") for layer, found in names.items() for name in found]
+    return reduce(DataFrame.unionByName, counted)
+
+
 # --- marts and reports ------------------------------------------------------------------
 
 @query

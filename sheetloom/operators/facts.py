@@ -329,6 +329,28 @@ def misc_rows(planned: DataFrame) -> DataFrame:
     return rows.select(*SHEET, "row_seq", F.map_from_entries(F.concat(present, absent)).alias("fields"))
 
 
+def misc_union(rows: DataFrame) -> DataFrame:
+    """Flat rows of all sheets as one table, whatever their labels: ``fields`` is a VARIANT
+    object with the row's own labels.  :func:`misc_label_table` lists them all."""
+    return rows.select(*SHEET, "row_seq", F.parse_json(
+        F.to_json("fields", {"ignoreNullFields": "false"})).alias("fields"))
+
+
+def misc_label_table(rows: DataFrame) -> DataFrame:
+    """``label`` and in how many rows it stands: the header of the union, as a table."""
+    return rows.select(F.explode(F.map_keys("fields")).alias("label")).groupBy("label").agg(
+        F.count("*").alias("n_rows"))
+
+
+def field_of(label: str, kind: str = "string") -> Column:
+    """A label's value in rows of :func:`misc_union`; null where a row lacks it."""
+    for quote in ("'", '"'):
+        if quote not in label:
+            return F.try_variant_get("fields", f"$[{quote}{label}{quote}]", kind)
+    # a path has no escapes
+    return F.try_element_at(F.try_variant_get("fields", "$", f"map<string, {kind}>"), F.lit(label))
+
+
 MAX_LABELS = 16_384         # columns of a spreadsheet, and of the wide form
 
 

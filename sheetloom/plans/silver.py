@@ -78,6 +78,15 @@ class SilverTables:
     def misc_rows(self) -> DataFrame:
         return facts.misc_rows(self.planned)
 
+    @property
+    def misc_union(self) -> DataFrame:
+        """Flat rows of all sheets with their own labels, as VARIANT objects."""
+        return facts.misc_union(self.misc_rows)
+
+    @property
+    def misc_labels(self) -> DataFrame:
+        return facts.misc_label_table(self.misc_rows)
+
     def misc_wide(self, labels: list[str] | None = None) -> DataFrame:
         """Flat rows as columns: those of ``labels``, or all (bounded) labels there are."""
         if labels is not None:

@@ -6,6 +6,7 @@ import time
 import uuid
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sheetloom.functions.coerce import serialize
@@ -127,22 +128,63 @@ def write_csv(df: DataFrame, folder: str) -> None:
     serialized(df).write.mode("overwrite").options(**CSV).csv(folder)
 
 
+def _csv_text(text: Column) -> Column:
+    doubled = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.when(text.rlike('[",\r\n]'), doubled).otherwise(text)
+
+
+def _csv_line(values: Column) -> Column:
+    return F.array_join(F.transform(values, lambda v: _csv_text(F.coalesce(v, F.lit("")))), ",")
+
+
+def write_misc(misc: DataFrame, folder: str) -> None:
+    """Flat rows as CSV, each workbook with columns of its own: the keys, then the labels
+    that its rows have, sorted.  A workbook that spans files has the header in each."""
+    def under_headers(batches):     # local, so that it travels with its tasks
+        book, place = None, 0
+        for batch in batches:
+            out = []
+            for name, header, line in zip(batch["export_name"], batch["header"], batch["line"]):
+                if name != book:
+                    out.append((name, place := place + 1, header))
+                    book = name
+                out.append((name, place := place + 1, line))
+            yield pd.DataFrame(out, columns=["export_name", "place", "value"])
+
+    labels = (misc.select("workbook", F.explode(F.map_keys("fields")).alias("label")).distinct()
+              .groupBy("workbook").agg(F.array_sort(F.collect_list("label")).alias("labels")))
+    keys = ["workbook", "sheet", "row_seq"]
+    order = ["workbook", *EXPORT_ORDER["misc"]]
+    lines = misc.join(labels, "workbook", "left").select(
+        *order, export_name(F.col("workbook")).alias("export_name"),
+        _csv_line(F.concat(F.array(*[F.lit(k) for k in keys]), "labels")).alias("header"),
+        _csv_line(F.concat(F.array(*[F.col(k).cast("string") for k in keys]), F.transform(
+            "labels", lambda label: F.try_element_at("fields", label)))).alias("line"))
+    arranged = lines.repartitionByRange(*order).sortWithinPartitions("export_name", *order)
+    (arranged.select("export_name", "header", "line")
+     .mapInPandas(under_headers, "export_name string, place long, value string")
+     .sortWithinPartitions("export_name", "place").select("export_name", "value")
+     .write.mode("overwrite").partitionBy("export_name").text(folder))
+
+
 def export_workbooks(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> None:
     """Write each table once, split by workbook and ordered within it.
 
     Ranges over (workbook, order) are balanced by size: a small workbook lands in
     one file, a huge one in as many as it needs, in order.  A CSV holds every value as the
-    text that ``serialized`` gives it, and a map as JSON text.
+    text that ``serialized`` gives it; flat rows have the columns of their workbook there
+    (:func:`write_misc`), and are maps in other formats.
     """
     for name, df in tables.items():
+        if fmt == "csv" and "fields" in df.columns:
+            write_misc(df, f"{folder}/{name}")
+            continue
         order = ["workbook", *EXPORT_ORDER[name]]
         arranged = (df.withColumn("export_name", export_name(F.col("workbook")))
                     .repartitionByRange(*order).sortWithinPartitions("export_name", *order))
         writer = arranged.write
         if fmt == "csv":
-            texts = serialized(arranged.withColumns({
-                c: F.to_json(c, {"ignoreNullFields": "false"}) for c, kind in df.dtypes if kind.startswith("map")}))
-            writer = texts.write.options(**CSV)
+            writer = serialized(arranged).write.options(**CSV)
         writer.mode("overwrite").partitionBy("export_name").format(fmt).save(f"{folder}/{name}")
 
 

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from sheetloom.plans import jobs
 from sheetloom.plans.silver import clean
 from sheetloom.sources.folder import grid_preview, list_files, workbook_catalog
+from sheetloom.operators import facts
 from sheetloom.operators.facts import wide_names
-from sheetloom.session import shared_folder
+from sheetloom.plans import gold
+from sheetloom.session import durable, shared_folder
 from sheetloom.sources import tables
 from sheetloom.sources.tables import (
     CSV, Layout, create_layers, export_workbooks, save_table, table_version, write_csv,
@@ -211,3 +213,80 @@ def test_a_plain_table_makes_room_and_empty_results_do_not_replace(spark):
     assert save_table(spark.range(2), "bronze", "plain").count() == 2
     save_table(spark.range(0), "bronze", "plain", skip_empty=True)
     assert spark.table("bronze.plain").count() == 2
+
+
+def test_flat_rows_have_the_columns_of_their_workbook(spark, tmp_path):
+    def flat(labels, values):
+        return {(2, c): n for c, n in enumerate(labels, 1)} | {
+            (3 + i, c): v for i, row in enumerate(values) for c, v in enumerate(row, 1)}
+
+    grids = {("a.xlsx", "s"): flat(["B", "A", "x,y", "Z"], [["1", "2", 'say "x"', "two\nlines"], ["3", "4", "5", None]]),
+             ("a.xlsx", "t"): flat(["Q", "A", "B", "C"], [["q", "a", "b", "NULL"]]),
+             ("b.xlsx", "s"): flat(["one", "two", "three", "four"], [[" 1", "2", "3", "4"]])}
+    done = clean(cells_frame(spark, grids))
+    export_workbooks({"misc": done.misc_rows}, str(tmp_path), "csv")
+
+    def read(book):
+        return (spark.read.options(**CSV, multiLine=True).csv(str(tmp_path / "misc" / f"export_name={book}_CLEAN.xlsx")))
+
+    a, b = read("a"), read("b")
+    assert a.columns == ["workbook", "sheet", "row_seq", "A", "B", "C", "Q", "Z", "x,y"]
+    assert b.columns == ["workbook", "sheet", "row_seq", "four", "one", "three", "two"]
+    assert [tuple(r)[1:] for r in a.orderBy("sheet", "row_seq").collect()] == [
+        ("s", "1", "2", "1", None, None, "two\nlines", 'say "x"'), ("s", "2", "4", "3", None, None, None, "5"),
+        ("t", "1", "a", "b", None, "q", None, None)]
+    assert [tuple(r) for r in b.collect()] == [("b.xlsx", "s", "1", "4", "1", "3", "2")]
+
+
+def test_each_file_of_a_workbook_has_the_header_and_the_order(spark, tmp_path):
+    rows = spark.range(3000).selectExpr("'w.xlsx' as workbook", "'s' as sheet", "id as row_seq",
+                                        "map('k', cast(id as string)) as fields")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        tables.write_misc(rows.repartition(7), str(tmp_path / "misc"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted((tmp_path / "misc").rglob("part-*"))
+    texts = [f.read_text().splitlines() for f in files]
+    assert len(files) > 1 and all(t[0] == "workbook,sheet,row_seq,k" for t in texts)
+    assert [int(line.split(",")[2]) for t in texts for line in t[1:]] == list(range(3000))
+
+
+def test_a_union_of_fifty_thousand_labels(spark):
+    rows = spark.range(500).selectExpr(
+        "'w' as workbook", "'s' as sheet", "id as row_seq",
+        "map_from_entries(transform(sequence(0, 99), i -> struct(concat(if(i = 5, 'it''s \"', 'its \"'), id * 100 + i, '\"'), "
+        "if(i % 10 = 3, null, cast(i as string))))) as fields")
+    assert facts.misc_label_table(rows).count() == 50_000
+    union = durable(facts.misc_union(rows))
+    got = union.where("row_seq in (0, 7)").select("row_seq", *[
+        facts.field_of(f'{it} "{n}"').alias(f"c{n}") for it, n in (("it's", 5), ("its", 3), ("its", 706))]).orderBy("row_seq").collect()
+    assert [tuple(r) for r in got] == [(0, "5", None, None), (7, None, None, "6")]
+
+
+def test_sums_do_not_depend_on_the_order(spark):
+    import random
+    rng = random.Random(4)
+    values = [rng.choice([1e-12, 0.1, 12.3456, 9e8, 3e12, 4.5e17, -7e19]) * rng.random() for _ in range(4000)]
+    found = set()
+    for n in (1, 3, 8):
+        rng.shuffle(values)
+        df = spark.createDataFrame([(v,) for v in values], "v double").repartition(n)
+        found.add(tuple(df.agg(gold.exact_sum(F.col("v")), gold.exact_avg(F.col("v"))).first()))
+    assert len(found) == 1
+    small = spark.createDataFrame([(v,) for v in [0.1] * 10 + [None]], "v double")
+    assert tuple(small.agg(gold.exact_sum(F.col("v")), gold.exact_avg(F.col("v"))).first()) == (1.0, 0.1)
+    odd = spark.createDataFrame([(1e300,), (1.0,), (float("nan"),)], "v double")
+    assert str(odd.agg(gold.exact_sum(F.col("v"))).first()[0]) == "nan"
+    assert tuple(small.where("v is null").agg(gold.exact_sum(F.col("v")), gold.exact_avg(F.col("v"))).first()) == (None, None)
+    times = small.where("v is not null").agg(gold.exact_sum(F.col("v"), F.lit(3).cast("long"))).first()[0]
+    assert times == 3.0
+
+
+def test_batches_are_folded_without_a_sort(spark):
+    from sheetloom.contracts import OBSERVATION_COLUMNS
+    grid = standard_sheet(["TFMBA"], [{1: 1, 5: "#", 12: 1}])
+    observations = clean(cells_frame(spark, {("w.xlsx", "s"): grid})).observations_keyed
+    stored = durable(observations)
+    assert "SortAggregate" not in gold.dim_batch(stored)._jdf.queryExecution().executedPlan().toString()
+    assert set(OBSERVATION_COLUMNS) < set(stored.columns)
