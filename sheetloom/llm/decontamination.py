@@ -103,7 +103,7 @@ def _similarity(a: Column, b: Column) -> Column:
 def _passages(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
     """Matches of items whose shingles have ``width`` words.
 
-    ``docs``: doc_id, text_key, text; ``items``: item_id, hashes.
+    ``docs``: doc_id, text_key, text; ``items``: item_key (of id and text), item_id, hashes.
     """
     wanted = items.select(F.size("hashes").alias("size"), F.explode("hashes").alias("h")).distinct()
     read = (docs.select("doc_id", "text_key", words(F.col("text")).alias("w"))
@@ -140,33 +140,25 @@ def _passages(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
     marked = _simhashed(contents, ["size", "content"], "hashes")
     probes = _entered(marked, 0)
     entered = _entered(
-        _simhashed(items, ["item_id"], "hashes").join(items, "item_id")
-        .select("item_id", F.size("hashes").alias("size"), "fp"),
+        _simhashed(items, ["item_key"], "hashes").join(items, "item_key")
+        .select("item_key", F.size("hashes").alias("size"), "fp"),
         RADIUS // BLOCKS).withColumnRenamed("fp", "item_fp")
     candidates = (probes.join(entered, ["size", "block", "value"])
                   .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
-                  .select("size", "content", "item_id").distinct())
+                  .select("size", "content", "item_key").distinct())
     verified = (candidates.join(contents.withColumnRenamed("hashes", "mine"), ["size", "content"])
-                .join(items, "item_id").withColumn("similarity", _similarity(F.col("mine"), F.col("hashes")))
+                .join(items, "item_key").withColumn("similarity", _similarity(F.col("mine"), F.col("hashes")))
                 .where(F.col("similarity") >= SIMILARITY).select("size", "content", "item_id", "similarity"))
     return (windows.drop("hashes").join(verified, ["size", "content"])
             .groupBy("doc_id", "text_key", "item_id")
             .agg(F.max_by(F.struct("start", "size", "similarity"),
                           F.struct("similarity", -F.col("start"))).alias("best"))
-            .select("doc_id", "item_id", F.col("best.start").alias("start_word"),
+            .select("doc_id", "text_key", "item_id", F.col("best.start").alias("start_word"),
                     (F.col("best.size") + width - 1).alias("n_words"), "best.similarity"))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id, item_id, start_word, n_words, similarity``: the best window (the first of
-    equals) of each document and item whose similarity reaches ``SIMILARITY``.
-
-    Items of fewer than five words are one shingle, and match only word for word; items
-    without words (or with null text) match nothing, as do documents without words.
-    Repeated rows of a document give one row.  Rows of one doc_id with different texts are
-    searched each; a null doc_id is a document like any other.  Equal items each match.
-    Columns besides doc_id, item_id and text are ignored; empty tables give no row.
-    """
+def _found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """As :func:`contaminated`, with the ``text_key`` of the row's text."""
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     tokens = benchmark.select("item_id", words(F.col("text")).alias("w")).where(F.size("w") > 0)
     widths = [r[0] for r in tokens.select(F.least(F.size("w"), F.lit(SHINGLE))).distinct().collect()]
@@ -174,16 +166,37 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for width in sorted(widths, reverse=True):
         items = durable(tokens.where(F.least(F.size("w"), F.lit(SHINGLE)) == width)
                         .select("item_id", shingles(F.col("w"), width).alias("hashes"))
-                        .dropDuplicates(["item_id", "hashes"]))
+                        .dropDuplicates(["item_id", "hashes"])
+                        .withColumn("item_key", F.xxhash64("item_id", "hashes")))
         found = _passages(docs, items, width)
         out = found if out is None else out.union(found)
     if out is None:
-        return docs.sparkSession.createDataFrame(
-            [], "doc_id long, item_id long, start_word int, n_words int, similarity double")
+        return docs.sparkSession.createDataFrame([], (
+            "doc_id long, text_key long, item_id long, start_word int, n_words int, similarity double"))
     return out
 
 
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``doc_id, item_id, start_word, n_words, similarity``: the best window (the first of
+    equals) of each document and item whose similarity reaches ``SIMILARITY``.
+
+    Items of fewer than five words are one shingle, and match only word for word; items
+    without words (or with null text) match nothing, as do documents without words.
+    Repeated rows of a document give one row.  Rows of one doc_id with different texts are
+    searched each; a null doc_id is a document like any other.  Equal items each match; rows
+    of one item_id with different texts are searched for each, and so are items with a null
+    item_id.  Columns besides doc_id, item_id and text are ignored; empty tables give no row.
+    """
+    return _found(docs, benchmark).drop("text_key")
+
+
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in which no item was found; rows without doc_id stay."""
-    found = contaminated(docs, benchmark).select("doc_id").where("doc_id is not null").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` in whose text no item was found.
+
+    Each row is judged by its own text: of several rows with one doc_id, or with none,
+    those without an item stay.
+    """
+    found = _found(docs, benchmark).select(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
+    return docs.join(found, same, "left_anti")

@@ -56,13 +56,14 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 def _fingerprints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"),
+        yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "text_key": batch["text_key"],
                             "fp": np.array([fingerprint(t) for t in batch["text"]], dtype=np.int64)})
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, fp`` for each row; a null text counts as empty."""
-    return docs.select("doc_id", "text").mapInPandas(_fingerprints, "doc_id long, fp long")
+    """``doc_id, text_key, fp`` for each row; a null text counts as empty."""
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInPandas(
+        _fingerprints, "doc_id long, text_key long, fp long")
 
 
 def _signed(mask: int) -> int:
@@ -102,6 +103,17 @@ def links(distinct: DataFrame, groups: int = GROUPS, radius: int = RADIUS) -> Da
             .select(F.col("a.rep").alias("u"), F.col("b.rep").alias("v")))
 
 
+def _named(docs: DataFrame, groups: int = GROUPS, radius: int = RADIUS) -> DataFrame:
+    """Rows of :func:`fingerprints` with their component."""
+    rows = durable(fingerprints(docs))
+    classes = durable(rows.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_same")))
+    found = components(links(classes.where("rep is not null").select("rep", "fp"), groups, radius))
+    named = (classes.join(found.withColumnRenamed("id", "rep"), "rep", "left")
+             .select("fp", F.coalesce("component", "rep").alias("component_id"),
+                     F.col("rep").alias("class_id"), "n_same"))
+    return rows.join(named, "fp")
+
+
 def near_duplicates(docs: DataFrame, groups: int = GROUPS, radius: int = RADIUS) -> DataFrame:
     """``doc_id, fingerprint, component_id, class_id, n_same`` for each row of ``docs``.
 
@@ -113,13 +125,7 @@ def near_duplicates(docs: DataFrame, groups: int = GROUPS, radius: int = RADIUS)
     with a null doc_id gets the component of its class, which is null if no row of the
     class has an id.  Columns besides doc_id and text are ignored.
     """
-    rows = durable(fingerprints(docs))
-    classes = durable(rows.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_same")))
-    found = components(links(classes.where("rep is not null").select("rep", "fp"), groups, radius))
-    named = (classes.join(found.withColumnRenamed("id", "rep"), "rep", "left")
-             .select("fp", F.coalesce("component", "rep").alias("component_id"),
-                     F.col("rep").alias("class_id"), "n_same"))
-    return rows.join(named, "fp").select(
+    return _named(docs, groups, radius).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
         "class_id", "n_same")
 
@@ -127,8 +133,10 @@ def near_duplicates(docs: DataFrame, groups: int = GROUPS, radius: int = RADIUS)
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id names its component: one document of each group.
 
-    Rows without a doc_id cannot be named and stay.
+    Each row is judged by its own text: of several rows with one doc_id, those whose text
+    is no copy of another document's stay.  Rows without a doc_id cannot be named and stay.
     """
-    found = near_duplicates(docs)
-    dropped = found.where("component_id != doc_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti")
+    dropped = _named(docs).where("component_id != doc_id").select(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
+    return docs.join(dropped, same, "left_anti")

@@ -1,15 +1,20 @@
 """Toxicity of whole texts by a weighted finite-state grammar over clauses.
 
-Words are read as symbols: insult, threat, target, negation, report, or other.  Four
-small transducers are composed over the symbols of one clause:
-
-* negation  - an insult or threat within three words after a negation is written weak;
-* report    - what follows a verb of speech, or stands in quotes, is written reported;
-* target    - an insult with a person in its clause is written stronger;
-* threat    - a threat counts only with a person within four words after it.
-
-The clause's weight is the sum over its accepted insults and threats, and the document's
-log-odds are a base plus all clause weights, less a little for its length.  Isolated words have no weight of their own.
+Words are read as symbols: insult, threat, target, negation, report, quotation mark or
+other.  Five transducers, given as state tables, are composed into one machine
+(:mod:`sheetloom.llm.transducers`) that reads the symbols of a clause:
+
+* negation  - writes an insult or threat within three words after a negation as a weak one;
+* report    - takes off from what follows a verb of speech, or stands in quotes;
+* insult    - counts an insult, weak or not;
+* target    - guesses whether a person is in the clause, and then adds to its insults;
+* threat    - guesses that a person follows within four words; a threat counts only then.
+
+A wrong guess ends in no final state; the clause's weight is that of the best path.  The
+document's log-odds are a base plus the weights of its densest stretch of clauses (a
+character between them costs ``PER_CHARACTER``), less the logarithm of the chances that its
+length gives to accidental matches: a passage counts nearly the same in a long text as
+alone.  Isolated words have no weight of their own.
 
 Which words are insults is learned from labels: whole words, and stems (word beginnings)
 that stand for many words.  Evidence is counted by distinct neighbours (word after word),
@@ -21,12 +26,14 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sheetloom.llm.transducers import compose, machine
+
 TRAIN_ROWS = 8_000       # labelled rows that a lexicon is fitted on, at most about
 LEXICON_SIZE = 4_096      # entries of a lexicon
 MIN_DOCS = 3              # toxic texts that an entry needs
@@ -38,7 +45,8 @@ MIN_STEM_WORDS = 2        # different words of one text that a stem must cover
 THRESHOLD = 0.3
 
 BASE = math.log(0.02 / 0.98)      # log-odds of a text without a matched clause
-PER_CHARACTER = 0.0006            # taken off for length: chance matches grow with it
+PER_CHARACTER = 0.0006            # taken off within a stretch of clauses: chance matches grow with it
+CHANCE = 1_000                    # characters that give one chance to an accidental match
 NEGATED, REPORTED, TARGETED = 0.4, 0.5, 1.25
 THREAT = 5.0
 REACH = 240               # characters that a clause without punctuation extends around a match
@@ -58,32 +66,44 @@ _END = re.compile(r"[.!?;\n]")
 
 # --- grammar ----------------------------------------------------------------------
 
+# I insult, T threat, Y person, N negation, R report, Q quotation mark, O other word;
+# i and t are a weak insult and threat
+NEGATION = machine(
+    [0], range(4),
+    [(0, "ITYRO", None, 1.0, 0)]
+    + [(k, "N", None, 1.0, 3) for k in range(4)] + [(k, "Q", None, 1.0, k) for k in range(4)]
+    + [(k, "YRO", None, 1.0, k - 1) for k in (1, 2, 3)]
+    + [(k, "I", "i", NEGATED, k - 1) for k in (1, 2, 3)] + [(k, "T", "t", NEGATED, k - 1) for k in (1, 2, 3)])
+REPORT = machine(
+    ["own"], ["own", "said", "own, quoted", "said, quoted"],
+    [("own", "ITitYNO", None, 1.0, "own"), ("own", "R", None, 1.0, "said"), ("own", "Q", None, 1.0, "own, quoted"),
+     ("said", "ITitYNRO", None, REPORTED, "said"), ("said", "Q", None, 1.0, "said, quoted"),
+     ("own, quoted", "ITitYNO", None, REPORTED, "own, quoted"), ("own, quoted", "R", None, 1.0, "said, quoted"),
+     ("own, quoted", "Q", None, 1.0, "own"),
+     ("said, quoted", "ITitYNRO", None, REPORTED, "said, quoted"), ("said, quoted", "Q", None, 1.0, "said")])
+INSULT = machine([0], [0], [(0, "IiTtYNRQO", None, 1.0, 0)])
+TARGET = machine(
+    ["none", "to come"], ["none", "seen"],
+    [("none", "IiTtNRQO", None, 1.0, "none")]
+    + [(s, "Ii", None, TARGETED, s) for s in ("to come", "seen")]
+    + [(s, "TtNRQO", None, 1.0, s) for s in ("to come", "seen")]
+    + [(s, "Y", None, 1.0, "seen") for s in ("to come", "seen")])
+THREATENED = machine(
+    [0], [0],
+    [(0, "IiYNRQO", None, 1.0, 0), (0, "Tt", None, 0.0, 0), (0, "Tt", None, 1.0, 4)]
+    + [(k, "Y", None, 1.0, 0) for k in (4, 3, 2, 1)] + [(k, "Q", None, 1.0, k) for k in (4, 3, 2, 1)]
+    + [(k, "IiNRO", None, 1.0, k - 1) for k in (4, 3, 2)] + [(k, "Tt", None, 0.0, k - 1) for k in (4, 3, 2)])
+PARTS = (NEGATION, REPORT, INSULT, TARGET, THREATENED)
+CLAUSE = reduce(compose, PARTS)
+
+
 def clause_weight(symbols: list[tuple[str, float]]) -> float:
     """Weight of one clause: (symbol, weight) pairs, symbols I, T, Y, N, R, Q or O.
 
-    Q is a quotation mark: it turns reporting on or off.
+    Q is a quotation mark: it turns reporting on or off.  Of several threats that wait for
+    one person the strongest counts.
     """
-    targeted = any(s == "Y" for s, _ in symbols)
-    total, weak_for, reported, quoted, threat = 0.0, 0, False, False, None
-    for symbol, weight in symbols:
-        factor = (NEGATED if weak_for else 1.0) * (REPORTED if reported or quoted else 1.0)
-        if symbol == "Q":
-            quoted = not quoted
-            continue
-        if symbol == "N":
-            weak_for = 4
-        elif symbol == "R":
-            reported = True
-        elif symbol == "I":
-            total += weight * factor * (TARGETED if targeted else 1.0)
-        elif symbol == "T":
-            threat = [4, weight * factor]
-        elif symbol == "Y" and threat:
-            total, threat = total + threat[1], None
-        weak_for = max(0, weak_for - 1)
-        if threat and symbol != "T":
-            threat = [threat[0] - 1, threat[1]] if threat[0] > 1 else None
-    return total
+    return CLAUSE.best(symbols) or 0.0
 
 
 class Grammar:
@@ -132,14 +152,17 @@ class Grammar:
 
     def log_odds(self, text: str | None) -> float:
         low = (text or "").lower()
-        total = BASE - PER_CHARACTER * len(low)
+        best = stretch = 0.0
+        end = 0
         for start, stop in self.clauses(low):
             symbols = []
             for token in re.finditer(r"[\"“”«»]|" + _WORD.pattern, low[start:stop]):
                 word = token.group()
                 symbols.append(("Q", 0.0) if word in "\"“”«»" else self.symbol(word))
-            total += clause_weight(symbols)
-        return total
+            stretch = max(0.0, stretch - PER_CHARACTER * (start - end))
+            stretch += clause_weight(symbols) - PER_CHARACTER * (stop - start)
+            best, end = max(best, stretch), stop
+        return BASE + best - math.log1p(len(low) / CHANCE)
 
     def score(self, text: str | None) -> float:
         return 1.0 / (1.0 + math.exp(-max(-50.0, min(self.log_odds(text), 50.0))))

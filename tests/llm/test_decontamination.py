@@ -88,7 +88,18 @@ def test_clean_and_odd_rows(spark):
     found = sorted((r.doc_id or 0, r.item_id) for r in contaminated(docs, items).collect())
     assert found == [(0, 7), (0, 8), (1, 7), (1, 8), (4, 7), (4, 8)]
     kept = clean(docs, items)
-    assert kept.columns == docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 2, 3]
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3]
+
+
+def test_rows_are_judged_by_their_own_text(spark):
+    item, other = "one two three four five six seven eight", "nine ten eleven twelve thirteen fourteen fifteen"
+    items = spark.createDataFrame([(None, item), (5, other), (5, "quite different words that make another passage")], ITEMS)
+    docs = spark.createDataFrame([(1, item), (1, "a clean text of the same id"), (2, "x " + other), (None, "clean too"),
+                                  (3, "so quite different words that make another passage here")], DOCS)
+    found = {(r.doc_id, r.item_id) for r in contaminated(docs, items).collect()}
+    assert found == {(1, None), (2, 5), (3, 5)}
+    assert {(r.doc_id, r.text) for r in clean(docs, items).collect()} == {
+        (1, "a clean text of the same id"), (None, "clean too")}
 
 
 def test_empty_tables(spark):

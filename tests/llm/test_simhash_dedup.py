@@ -106,3 +106,10 @@ def test_components_of_paths_and_stars(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(path + star, "u long, v long")).collect()}
     assert got == {**{i: 5 for i in range(100, 161)}, 9: 8, **{i: 1000 for i in range(1001, 1200)}}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_a_text_of_its_own_stays_beside_a_copy(spark):
+    copied = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, copied), (2, copied), (2, "nothing like the other text, whose id is the same"), (3, copied), (None, copied)]
+    kept = keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(1, copied), (2, rows[2][1]), (0, copied)])

@@ -1,9 +1,13 @@
+import itertools
 import math
+import random
 import zlib
 
 import pytest
 
-from sheetloom.llm.toxicity import BASE, Grammar, clause_weight, toxicity, training_rows, without_toxic
+from sheetloom.llm.toxicity import (
+    BASE, CLAUSE, PARTS, Grammar, clause_weight, toxicity, training_rows, without_toxic,
+)
 
 LEXICON = (("fool", False, 4.0), ("blagh", True, 4.0))
 
@@ -19,6 +23,49 @@ def test_transducers_compose():
     assert clause_weight([("T", 5.0), *[("O", 0)] * 6, ("Y", 0)]) == 0
 
 
+def walks(parts, symbol, states):
+    """Every way to pass one symbol through a chain of machines: (factor, next states)."""
+    if not parts:
+        yield 1.0, ()
+        return
+    for out, factor, target in parts[0].arcs[states[0]].get(symbol, ()):
+        for rest, targets in walks(parts[1:], out, states[1:]):
+            yield factor * rest, (target, *targets)
+
+
+def best_walk(symbols):
+    """Greatest weight over all paths through the parts, one after the other."""
+    def go(i, states, total):
+        if i == len(symbols):
+            return [total] if all(s in p.finals for s, p in zip(states, PARTS)) else []
+        return [w for factor, after in walks(PARTS, symbols[i][0], states)
+                for w in go(i + 1, after, total + symbols[i][1] * factor)]
+
+    return max((w for states in itertools.product(*[p.starts for p in PARTS]) for w in go(0, states, 0.0)), default=None)
+
+
+def test_composition_equals_walking_all_paths():
+    rng = random.Random(8)
+    for n in range(300):
+        symbols = [(c, rng.choice([1.0, 2.5, 4.0]) if c in "IT" else 0.0)
+                   for c in rng.choices("ITYNRQO", k=rng.randint(0, 7))]
+        assert CLAUSE.best(symbols) == pytest.approx(best_walk(symbols)), symbols
+    # some path accepts every clause, so that a clause never fails
+    assert all(CLAUSE.best([(c, 0.0) for c in word]) is not None for word in itertools.product("ITYNRQO", repeat=4))
+    assert len(CLAUSE.arcs) > max(len(p.arcs) for p in PARTS)
+
+
+def test_a_toxic_paragraph_in_a_long_clean_text():
+    g = Grammar(LEXICON)
+    passage = "you are a fool. you blaghter, you fool. they are not clever, you fool."
+    clean = "the quiet river went on past the mill and the old house. " * 2000
+    assert g.score(passage) > 0.9 and g.score(clean) < 0.05
+    for before in (0, 30_000, 100_000):
+        assert g.score(clean[:before] + passage + clean) > 0.9
+    # matches far apart do not add up
+    assert g.score(("fool. " + "quiet words follow. " * 700) * 20) < 0.3 < g.score("fool. fool. fool.")
+
+
 def test_clauses_not_words():
     g = Grammar(LEXICON)
     assert g.log_odds("you fool") > g.log_odds("you are not a fool") > BASE
@@ -31,7 +78,6 @@ def test_clauses_not_words():
 
 
 def corpus(spark):
-    import random
     rng = random.Random(1)
     rows, labels = [], []
     for i in range(600):
