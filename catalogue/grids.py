@@ -22,28 +22,28 @@ PARTS_PER_SHEET, SHEETS_PER_PART_BOOK = 100, 5
 DATA_ROW = 13
 
 FIELD_LABELS = {
-    1: "REACTION MASS", 2: "Date of Sampling", 3: "Time of sampling", 4: "Time of Reporting",
+    1: "Entry", 2: "Date of Sampling", 3: "Time of sampling", 4: "Time of Reporting",
     5: "Batch No.", 6: "Instrument ID", 7: "Stage", 8: "Sample Characteristic",
     10: "Appearance",
-    11: "Appearance of 30% solution in methanol (after 12 hrs settling)",
+    11: "Appearance of 30% solution in methanol (read next day)",
 }
 # column: (label, bound, spec, internal spec, sub-unit); a None label is a gap in the band
 EVEN_BAND = {
-    12: ("Impurity-1", "Max", 0.1, 0.08, "v/v"),
-    13: ("2-chloro benzamide", "Max", 0.1, 0.08, "v/v"),
-    14: ("Impurity-1", "Max", 0.1, 0.08, "v/v"),
-    15: ("TFMBA", "Min", 99.0, 99.0, "v/v"),
-    16: ("Impurity", "Max", 0.1, 0.08, "v/v"),
+    12: ("Impurity-1", "Max", 0.1, 0.08, "w/w"),
+    13: ("2-chloro benzamide", "Max", 0.1, 0.08, "w/w"),
+    14: ("Impurity-1", "Max", 0.1, 0.08, "w/w"),
+    15: ("TFMBA", "Min", 99.0, 99.0, "w/w"),
+    16: ("Impurity", "Max", 0.1, 0.08, "w/w"),
     17: (None, None, None, None, None),
-    18: ("5-chloro TFMBA", "Max ", " 0.1 ", 0.08, "v/v"),
-    19: ("Imp-A", "Max", 0.1, 0.08, None),
-    20: ("TFMBA Acid", "Max", 0.1, 0.08, "v/v"),
+    18: ("5-chloro TFMBA", "Max ", " 0.1 ", 0.08, "w/w"),
+    19: ("Peak-A", "Max", 0.1, 0.08, None),
+    20: ("TFMBA Acid", "Max", 0.1, 0.08, "w/w"),
 }
 ODD_BAND = {
-    12: ("Impurity-1", "Max", 0.1, 0.08, "v/v"),
-    13: ("Impurity-3", "Max", 0.1, 0.08, "v/v"),
-    14: ("TFMBA", "Min", 99.0, 99.0, "v/v"),
-    15: ("Unknown-RRT-1.7", "Max", 0.1, 0.08, "v/v"),
+    12: ("Impurity-1", "Max", 0.1, 0.08, "w/w"),
+    13: ("Impurity-3", "Max", 0.1, 0.08, "w/w"),
+    14: ("TFMBA", "Min", 99.0, 99.0, "w/w"),
+    15: ("Late peak 1.7", "Max", 0.1, 0.08, "w/w"),
     16: ("TFMBA Acid", "Max", 0.1, 0.08, None),
 }
 
@@ -103,9 +103,9 @@ def _union(*parts: DataFrame) -> DataFrame:
 
 def _band_header(band: dict) -> dict[tuple[int, int], object]:
     grid: dict[tuple[int, int], object] = {
-        (3, 1): "Inprocess REACTION MASS", (3, 10): "Analysis",
+        (3, 1): "Inprocess sheet", (3, 10): "Analysis",
         **{(4, c): label for c, label in FIELD_LABELS.items()},
-        (5, 1): "RT", (6, 1): "RRT", (7, 1): "Unit", (7, 11): "Clear colorless solution",
+        (5, 1): "RT", (6, 1): "RRT", (7, 1): "Unit", (7, 11): "a longer note on the unit",
         (9, 1): "Specification", (9, 11): "0.0000", (11, 1): "Internal SRF Specification",
     }
     for col, (label, bound, spec, internal, sub_unit) in band.items():
@@ -213,7 +213,7 @@ def orders_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- flat sheets from events -------------------------------------------------------
 
-FLAT_LABELS = ["S.No", "Date", "Description", "Test ID", "Result", "Reviewer", "Notes", "Notes"]
+FLAT_LABELS = ["Row", "Date", "What", "Run", "Outcome", "Checked by", "Remarks", "Remarks"]
 
 
 def events_grid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,19 +33,19 @@ d AS (
          k % 25 AS sample_r, (k + 7) % 25 AS report_r
   FROM o WHERE k % 97 <> 5),
 band(even, col, label, canonical, confidence, is_min, limited, unit) AS (VALUES
-  (TRUE, 12, 'Impurity-1', 'Impurity_1', 0.95::DOUBLE, FALSE, TRUE, '%/v/v'),
-  (TRUE, 13, '2-chloro benzamide', 'Chloro_Benzamide_2', 0.95, FALSE, TRUE, '%/v/v'),
-  (TRUE, 14, 'Impurity-1', 'Impurity_1', 0.95, FALSE, TRUE, '%/v/v'),
-  (TRUE, 15, 'TFMBA', 'TFMBA', 0.95, TRUE, TRUE, '%/v/v'),
-  (TRUE, 16, 'Impurity', 'Impurity_generic', 0.95, FALSE, TRUE, '%/v/v'),
+  (TRUE, 12, 'Impurity-1', 'Impurity_1', 0.95::DOUBLE, FALSE, TRUE, '%/w/w'),
+  (TRUE, 13, '2-chloro benzamide', 'Chloro_Benzamide_2', 0.95, FALSE, TRUE, '%/w/w'),
+  (TRUE, 14, 'Impurity-1', 'Impurity_1', 0.95, FALSE, TRUE, '%/w/w'),
+  (TRUE, 15, 'TFMBA', 'TFMBA', 0.95, TRUE, TRUE, '%/w/w'),
+  (TRUE, 16, 'Impurity', 'Impurity_generic', 0.95, FALSE, TRUE, '%/w/w'),
   (TRUE, 17, 'col_17', 'unknown_col_17', 0.30, FALSE, FALSE, NULL),
-  (TRUE, 18, '5-chloro TFMBA', 'Chloro_TFMBA_5', 0.95, FALSE, TRUE, '%/v/v'),
-  (TRUE, 19, 'Imp-A', 'unknown_Imp_A', 0.30, FALSE, TRUE, '%'),
-  (TRUE, 20, 'TFMBA Acid', 'TFMBA_Acid', 0.95, FALSE, TRUE, '%/v/v'),
-  (FALSE, 12, 'Impurity-1', 'Impurity_1', 0.95, FALSE, TRUE, '%/v/v'),
-  (FALSE, 13, 'Impurity-3', 'Impurity_generic', 0.70, FALSE, TRUE, '%/v/v'),
-  (FALSE, 14, 'TFMBA', 'TFMBA', 0.95, TRUE, TRUE, '%/v/v'),
-  (FALSE, 15, 'Unknown-RRT-1.7', 'unknown_Unknown_RRT_1_7', 0.30, FALSE, TRUE, '%/v/v'),
+  (TRUE, 18, '5-chloro TFMBA', 'Chloro_TFMBA_5', 0.95, FALSE, TRUE, '%/w/w'),
+  (TRUE, 19, 'Peak-A', 'unknown_Peak_A', 0.30, FALSE, TRUE, '%'),
+  (TRUE, 20, 'TFMBA Acid', 'TFMBA_Acid', 0.95, FALSE, TRUE, '%/w/w'),
+  (FALSE, 12, 'Impurity-1', 'Impurity_1', 0.95, FALSE, TRUE, '%/w/w'),
+  (FALSE, 13, 'Impurity-3', 'Impurity_generic', 0.70, FALSE, TRUE, '%/w/w'),
+  (FALSE, 14, 'TFMBA', 'TFMBA', 0.95, TRUE, TRUE, '%/w/w'),
+  (FALSE, 15, 'Late peak 1.7', 'unknown_Late_peak_1_7', 0.30, FALSE, TRUE, '%/w/w'),
   (FALSE, 16, 'TFMBA Acid', 'TFMBA_Acid', 0.95, FALSE, TRUE, '%'))"""
 
 META = """
@@ -176,7 +176,7 @@ found AS (
          WHEN k % 20 = 5 THEN 'Off-white McDonald Cake' END FROM d
   UNION ALL
   SELECT workbook, sheet, row_seq, 'appearance_solution',
-    'Appearance of 30% solution in methanol (after 12 hrs settling)',
+    'Appearance of 30% solution in methanol (read next day)',
     CASE WHEN k % 23 = 1 THEN 'whitespace' WHEN k % 23 IN (2, 3) THEN 'null_sentinel'
          WHEN k % 23 = 6 THEN 'unrecognized_token' END,
     CASE k % 23 WHEN 1 THEN ' OK ' WHEN 2 THEN 'NULL' WHEN 3 THEN '?' ELSE 'maybe' END,
@@ -198,11 +198,11 @@ dq AS (
   SELECT workbook, sheet, row_seq, 'Date', 'null_sentinel', 'info', 'NULL', NULL, ''
   FROM ef WHERE k % 15 = 2
   UNION ALL
-  SELECT workbook, sheet, row_seq, 'Description', 'whitespace', 'info',
+  SELECT workbook, sheet, row_seq, 'What', 'whitespace', 'info',
          ' ' || event_type || ' ', event_type, ''
   FROM ef WHERE k % 9 = 4
   UNION ALL
-  SELECT workbook, sheet, row_seq, 'Result', 'null_sentinel', 'info',
+  SELECT workbook, sheet, row_seq, 'Outcome', 'null_sentinel', 'info',
          CASE k % 8 WHEN 4 THEN 'NULL' ELSE '?' END, NULL, ''
   FROM ef WHERE k % 8 IN (4, 6))"""
 
@@ -273,14 +273,14 @@ def _analyte_match(source: str, result: str) -> str:
 
 SHEET_LABELS = """
 labelled(column_index, raw_label, odd_only) AS (VALUES
-  (1, 'REACTION MASS', FALSE), (2, 'Date of Sampling', FALSE), (3, 'Time of sampling', FALSE),
+  (1, 'Entry', FALSE), (2, 'Date of Sampling', FALSE), (3, 'Time of sampling', FALSE),
   (4, 'Time of Reporting', FALSE), (5, 'Batch No.', FALSE), (6, 'Instrument ID', FALSE),
   (7, 'Stage', FALSE), (8, 'Sample Characteristic', FALSE), (9, 'Batch number', TRUE),
   (10, 'Appearance', FALSE),
-  (11, 'Appearance of 30% solution in methanol (after 12 hrs settling)', FALSE)),
+  (11, 'Appearance of 30% solution in methanol (read next day)', FALSE)),
 flat_labelled(column_index, raw_label) AS (VALUES
-  (1, 'S.No'), (2, 'Date'), (3, 'Description'), (4, 'Test ID'), (5, 'Result'), (6, 'Reviewer'),
-  (7, 'Notes'), (8, 'Notes')),
+  (1, 'Row'), (2, 'Date'), (3, 'What'), (4, 'Run'), (5, 'Outcome'), (6, 'Checked by'),
+  (7, 'Remarks'), (8, 'Remarks')),
 sheet_columns AS (
   SELECT workbook, sheet, pos, CAST(column_index AS INTEGER) AS column_index, 'meta' AS kind,
          raw_label
@@ -508,7 +508,7 @@ _ANALYTES = """
 SELECT workbook, sheet, CAST(col AS INTEGER) AS column_index, label AS raw_label,
   CASE WHEN limited THEN 0.5::DOUBLE + 0.25::DOUBLE * (col - 12) END AS rt,
   CASE WHEN limited THEN (0.5::DOUBLE + 0.25::DOUBLE * (col - 12)) / 2 END AS rrt,
-  CASE WHEN limited THEN '%' END AS unit, CASE WHEN unit = '%/v/v' THEN 'v/v' END AS sub_unit,
+  CASE WHEN limited THEN '%' END AS unit, CASE WHEN unit = '%/w/w' THEN 'w/w' END AS sub_unit,
   CASE WHEN limited THEN CASE WHEN is_min THEN 'Min' ELSE 'Max' END END AS spec_bound,
   CASE WHEN limited THEN CASE WHEN is_min THEN 99.0::DOUBLE ELSE 0.1::DOUBLE END END AS spec_value,
   CASE WHEN limited THEN CASE WHEN is_min THEN 99.0::DOUBLE ELSE 0.08::DOUBLE END END
@@ -555,7 +555,7 @@ grid AS (
     CASE WHEN NOT blank AND k % 5 = 0 THEN 'late' END AS c8
   FROM e JOIN pick USING (workbook, sheet)
   UNION ALL SELECT 1, 'Event log', NULL, NULL, NULL, NULL, NULL, NULL, NULL
-  UNION ALL SELECT 3, 'S.No', 'Date', 'Description', 'Test ID', 'Result', 'Reviewer', 'Notes', 'Notes')
+  UNION ALL SELECT 3, 'Row', 'Date', 'What', 'Run', 'Outcome', 'Checked by', 'Remarks', 'Remarks')
 SELECT CAST(n AS INTEGER) AS row, c1, c2, c3, c4, c5, c6, c7, c8
 FROM range(1, 19) r(n) LEFT JOIN grid ON n = row"""
 
@@ -641,20 +641,19 @@ SELECT workbook, sheet, CAST(row_seq AS VARCHAR) AS row_seq, analyte AS name, co
 UNION ALL
 SELECT workbook, sheet, coalesce(CAST(row_seq AS VARCHAR), ''), "column", coalesce(raw_value, ''), '', '' FROM dq"""
 ORACLE["misc_rows"] = _with(EVENTS) + """
-SELECT workbook, sheet, row_seq, 'Date=' || coalesce(day, '') || '; Description=' || event_type
-  || '; Notes=' || coalesce(notes, '') || '; Result=' || coalesce(result, '')
-  || '; Reviewer=' || reviewer || '; S.No=' || s_no || '; Test ID=' || test_id AS fields
+SELECT workbook, sheet, row_seq, 'Checked by=' || reviewer || '; Date=' || coalesce(day, '') || '; Outcome=' || coalesce(result, '')
+  || '; Remarks=' || coalesce(notes, '') || '; Row=' || s_no || '; Run=' || test_id || '; What=' || event_type AS fields
 FROM ef"""
 ORACLE["misc_wide"] = _with(EVENTS) + """
-SELECT workbook, sheet, row_seq, day AS "Date", event_type AS "Description", notes AS "Notes",
-  result AS "Result", reviewer AS "Reviewer", s_no AS "S.No", test_id AS "Test ID" FROM ef"""
+SELECT workbook, sheet, row_seq, day AS "Date", event_type AS "What", notes AS "Remarks",
+  result AS "Outcome", reviewer AS "Checked by", s_no AS "Row", test_id AS "Run" FROM ef"""
 
 # --- marts and reports --------------------------------------------------------------------------
 
 ORACLE["misc_union_fields"] = _with(EVENTS) + """
 SELECT workbook, sheet, row_seq, s_no, test_id, result, CAST(NULL AS VARCHAR) AS absent, 7 AS n_labels FROM ef"""
 ORACLE["misc_label_table"] = _with(EVENTS) + """
-SELECT unnest(['S.No', 'Date', 'Description', 'Test ID', 'Result', 'Reviewer', 'Notes']) AS label,
+SELECT unnest(['Row', 'Date', 'What', 'Run', 'Outcome', 'Checked by', 'Remarks']) AS label,
   count(*) AS n_rows FROM ef HAVING count(*) > 0"""
 ORACLE["quarantine_review"] = _with(*LOG, SHEET_LABELS, MAPPINGS) + """
 SELECT 'mapping_low_confidence' AS reason, workbook, sheet, CAST(NULL AS BIGINT) AS row_seq,

@@ -483,8 +483,8 @@ def misc_wide(spark, sf_dir):
 def misc_union_fields(spark, sf_dir):
     """Fields of flat rows, read from the union of all sheets."""
     return stages.silver(spark, sf_dir).misc_union.select(
-        "workbook", "sheet", "row_seq", facts.field_of("S.No").alias("s_no"), facts.field_of("Test ID").alias("test_id"),
-        facts.field_of("Result").alias("result"), facts.field_of("absent").alias("absent"),
+        "workbook", "sheet", "row_seq", facts.field_of("Row").alias("s_no"), facts.field_of("Run").alias("test_id"),
+        facts.field_of("Outcome").alias("result"), facts.field_of("absent").alias("absent"),
         F.size(F.json_object_keys(F.to_json("fields"))).alias("n_labels"))
 
 

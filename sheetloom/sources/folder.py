@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sheetloom.contracts import MARKER_KIND
@@ -9,22 +10,59 @@ from sheetloom.contracts import MARKER_KIND
 
 FILES = "name string, path string, size_bytes long, site string, folder string"
 
+# Stores whose folders a task can list by itself.
+LISTED_BY_TASKS = {"file", "s3", "gs", "abfs", "abfss"}
 
-def list_files(spark: SparkSession, folder: str, suffix: str | None = None, *,
+
+def list_files(spark: SparkSession, folder: str | list[str], suffix: str | None = None, *,
                site: str | None = None) -> DataFrame:
-    """Files directly in a folder, by name; those whose name starts with a dot are skipped.
+    """Files directly in a folder or several, by name; those whose name starts with a dot
+    are skipped.
 
-    The listing asks the folder's file system for names and sizes (one row per file);
-    Spark's own file index would hide names that start with an underscore.
+    Each folder is listed by a task of its own, and its rows stay there.  (Spark's file
+    index would list on the driver and hide names that start with an underscore.)  A store
+    that tasks cannot open is listed through the driver.
     """
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
-    rows = [(f.getPath().getName(), f.getPath().toString(), f.getLen(), site, folder)
-            for f in found if f.isFile()]
-    kept = [r for r in rows if not r[0].startswith(".")
-            and (suffix is None or r[0].lower().endswith(suffix.lower()))]
-    return spark.createDataFrame(sorted(kept), FILES)
+    folders = [folder] if isinstance(folder, str) else list(folder)
+    jvm, conf = spark.sparkContext._jvm, spark._jsc.hadoopConfiguration()
+    named = []
+    for name in folders:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        store = path.getFileSystem(conf)
+        if not store.exists(path):
+            raise FileNotFoundError(name)
+        named.append((name, str(store.makeQualified(path).toString()), site))
+    if all(uri.split(":", 1)[0] in LISTED_BY_TASKS for _, uri, _ in named):
+        asked = spark.createDataFrame(named, "folder string, uri string, site string")
+        found = asked.repartition(len(named), "folder").mapInPandas(_lister(), FILES)
+    else:
+        found = spark.createDataFrame(
+            [(f.getPath().getName(), f.getPath().toString(), f.getLen(), site, name) for name, uri, _ in named
+             for f in jvm.org.apache.hadoop.fs.Path(uri).getFileSystem(conf).listStatus(jvm.org.apache.hadoop.fs.Path(uri))
+             if f.isFile()], FILES)
+    kept = ~F.col("name").startswith(".")
+    if suffix is not None:
+        kept &= F.lower("name").endswith(suffix.lower())
+    return found.where(kept).orderBy("name", "folder")
+
+
+def _lister():
+    def run(batches):       # local, so that it travels with its tasks
+        from pyarrow import fs
+
+        for batch in batches:
+            for folder, uri, site in zip(batch["folder"], batch["uri"], batch["site"]):
+                local = uri.startswith("file:")
+                store, path = (fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")) if local else fs.FileSystem.from_uri(uri)
+                files = [f for f in store.get_file_info(fs.FileSelector(path)) if f.type == fs.FileType.File]
+                for start in range(0, len(files), 10_000):
+                    part = files[start:start + 10_000]
+                    yield pd.DataFrame({
+                        "name": [f.base_name for f in part],
+                        "path": [f"{uri.rstrip('/')}/{f.base_name}" for f in part],
+                        "size_bytes": [f.size for f in part], "site": [site] * len(part), "folder": [folder] * len(part)})
+
+    return run
 
 
 def workbook_catalog(cells: DataFrame, files: DataFrame | None = None) -> DataFrame:

@@ -9,9 +9,9 @@ from datetime import datetime, time
 from sheetloom.contracts import CELLS
 
 META_LABELS = {
-    1: "REACTION MASS", 2: "Date of Sampling", 3: "Time of sampling", 4: "Time of Reporting",
+    1: "Entry", 2: "Date of Sampling", 3: "Time of sampling", 4: "Time of Reporting",
     5: "Batch No.", 6: "Instrument ID", 7: "Stage", 8: "Sample Characteristic",
-    10: "Appearance", 11: "Appearance of 30% solution in methanol (after 12 hrs settling)",
+    10: "Appearance", 11: "Appearance of 30% solution in methanol (read next day)",
 }
 
 
@@ -41,14 +41,14 @@ def cells_frame(spark, sheets: dict[tuple[str, str], dict[tuple[int, int], objec
 def standard_sheet(labels, data_rows, bounds=None) -> dict:
     """Header band of the standard layout plus data rows given as {column: value}."""
     bounds = bounds or {}
-    grid = {(3, 1): "Inprocess REACTION MASS", (3, 10): "Analysis", (5, 1): "RT", (6, 1): "RRT",
+    grid = {(3, 1): "Inprocess sheet", (3, 10): "Analysis", (5, 1): "RT", (6, 1): "RRT",
             (7, 1): "Unit", (7, 11): "long description", (9, 1): "Specification",
             (9, 11): "0.0000", (11, 1): "Internal SRF Specification"}
     grid |= {(4, c): label for c, label in META_LABELS.items()}
     for i, label in enumerate(labels):
         bound, spec, internal = bounds.get(label, ("Max", 0.1, 0.08))
         c = 12 + i
-        grid |= {(4, c): label, (5, c): 1.0 + i, (6, c): 0.5 + i, (7, c): "%", (8, c): "v/v",
+        grid |= {(4, c): label, (5, c): 1.0 + i, (6, c): 0.5 + i, (7, c): "%", (8, c): "w/w",
                  (9, c): bound, (10, c): spec, (11, c): internal}
     for i, row in enumerate(data_rows):
         grid |= {(13 + i, c): v for c, v in row.items()}

@@ -2,7 +2,7 @@ import random
 
 from tokenizers import Tokenizer
 
-from sheetloom.llm.token_counts import CountedText, build, gathered, leaves, redacted_counts, sums, update
+from sheetloom.llm.token_counts import CountedText, build, gathered, leaves, redacted, redacted_counts, sums, update
 from sheetloom.llm.tokens import default_tokenizer, word_tokens
 
 TOKENIZER = Tokenizer.from_file(default_tokenizer())
@@ -65,3 +65,18 @@ def test_query_equals_plain_counts(spark):
         text = texts[r.doc_id]
         assert r.n_tokens == count(text)
         assert r.n_tokens_after == count(address.sub("[address]", phone.sub("[phone]", mail.sub("[mail]", text or ""))))
+
+
+def test_stored_trees_are_read_and_only_touched_leaves_encoded(spark, tmp_path):
+    text = "some words here " * 3000 + "write to someone@example.org now " + "and more words " * 3000
+    docs = spark.createDataFrame([(1, text), (2, "plain " * 2000), (3, None), (3, None)], "doc_id long, text string")
+    build(docs).write.parquet(str(tmp_path / "trees"))
+    trees = spark.read.parquet(str(tmp_path / "trees"))
+    found = {r.doc_id: r for r in redacted(trees).collect()}
+    assert (found[1].n_tokens, found[1].n_edits) == (count(text), 1)
+    assert found[1].n_tokens_after == count(text.replace("someone@example.org", "[mail]"))
+    assert 0 < found[1].encoded_again < 1000
+    assert (found[2].n_tokens, found[2].n_tokens_after, found[2].encoded_again) == (count("plain " * 2000),) * 2 + (0,)
+    # the counts come from the stored trees: a tree that says otherwise is believed
+    told = trees.where("doc_id = 2").selectExpr("doc_id", "text", "leaf_chars", "transform(tree, n -> n + 7) as tree")
+    assert redacted(told).first().n_tokens == count("plain " * 2000) + 7

@@ -151,14 +151,14 @@ def test_evaluate_pass(spark, value, low, high, expected):
 
 def test_unit_limits_and_serialization(spark):
     df = spark.createDataFrame(
-        [("%", "v/v", "Min.", 1.0, True), (None, "v/v", None, 2.0, None), ("%", None, "Max", 3.0, False),
+        [("%", "w/w", "Min.", 1.0, True), (None, "w/w", None, 2.0, None), ("%", None, "Max", 3.0, False),
          (None, None, "minimum", None, True)], "u string, s string, b string, v double, f boolean")
     limits = coerce.spec_limits(F.col("b"), F.col("v"), F.col("v") / 2)
     rows = df.select(coerce.compose_unit(F.col("u"), F.col("s")).alias("unit"),
                      *[c.alias(n) for n, c in limits.items()],
                      coerce.serialize(F.col("f"), "boolean").alias("f"),
                      coerce.serialize(F.col("v"), "double").alias("v")).collect()
-    assert [r.unit for r in rows] == ["%/v/v", "/v/v", "%", None]
+    assert [r.unit for r in rows] == ["%/w/w", "/w/w", "%", None]
     assert [(r.spec_min, r.spec_max) for r in rows] == [(1.0, None), (None, 2.0), (None, 3.0), (None, None)]
     assert [(r.spec_internal_min, r.spec_internal_max) for r in rows][:2] == [(0.5, None), (None, 1.0)]
     assert [(r.f, r.v) for r in rows] == [("true", "1.0"), ("", "2.0"), ("false", "3.0"), ("true", "")]

@@ -14,7 +14,7 @@ from sheetloom.plans import gold, reports
 from sheetloom.plans.silver import clean
 from sheetloom.sources.canonical import DEFAULT_NAMES, CanonicalNames, load_names
 
-LABELS = ["Impurity-1", "TFMBA", "Impurity-1", "Imp-A"]
+LABELS = ["Impurity-1", "TFMBA", "Impurity-1", "Peak-A"]
 BOUNDS = {"TFMBA": ("Min", 99.0, 98.5)}
 ROWS = [
     {1: 7, 2: datetime(2026, 3, 4), 3: time(8, 5), 4: "27:00.0", 5: "#1", 6: "HPLC", 7: " Stage ",
@@ -66,14 +66,14 @@ def test_header_rows(result):
 def test_columns_and_mappings(result):
     got = {(r.sheet, r.column_index): (r.raw_label, r.role, r.canonical, round(r.confidence, 4))
            for r in result.mappings.collect()}
-    assert got[("std", 1)] == ("REACTION MASS", "ignored", None, 0.0)
-    assert got[("std", 11)][1:] == ("meta", "appearance_solution", 0.7677)
+    assert got[("std", 1)] == ("Entry", "ignored", None, 0.0)
+    assert got[("std", 11)][1:] == ("meta", "appearance_solution", 0.8222)
     assert got[("std", 12)] == ("Impurity-1", "analyte", "Impurity_1", 0.95)
-    assert got[("std", 15)] == ("Imp-A", "analyte", "unknown_Imp_A", 0.3)
+    assert got[("std", 15)] == ("Peak-A", "analyte", "unknown_Peak_A", 0.3)
     assert got[("flat", 2)] == ("Date", "meta", "sample_date", 0.9)
     assert ("std", 9) not in got and len(got) == 10 + 4 + 5
     rationale = result.mappings.where("sheet = 'std' AND column_index = 11").first().rationale
-    assert rationale.endswith("(coverage=0.61)")
+    assert rationale.endswith("(coverage=0.70)")
 
 
 def test_observations(result):
@@ -85,7 +85,7 @@ def test_observations(result):
     first = rows[0]
     assert (first.sample_date, first.sample_time, first.report_time) == (date(2026, 3, 4), "08:05:00", None)
     assert (first.stage, first.appearance, first.appearance_solution) == ("Stage", "White Powder", "OK")
-    assert (first.unit, first.spec_max, first.spec_internal_max, first.rt) == ("%/v/v", 0.1, 0.08, 1.0)
+    assert (first.unit, first.spec_max, first.spec_internal_max, first.rt) == ("%/w/w", 0.1, 0.08, 1.0)
     assert (rows[1].spec_min, rows[1].spec_max, rows[1].spec_internal_min) == (99.0, None, 98.5)
     assert rows[4].batch_no is None and rows[4].appearance_solution == "FAIL"
     assert [r.raw_value for r in rows[8:]] == ["?", "", None, "1"]
@@ -100,7 +100,7 @@ def test_issues(result):
         (13, "appearance", "case_variant", "info", "white powder", "White Powder"),
         (13, "appearance_solution", "whitespace", "info", " OK ", "True"),
         (13, "Impurity-1", "whitespace", "info", " 0.2", "0.2"),
-        (13, "Imp-A", "negative_value", "warning", "-0.1", None),
+        (13, "Peak-A", "negative_value", "warning", "-0.1", None),
         (15, "sample_date", "non_standard_date", "info", "04/03/2026", "2026-03-04"),
         (15, "sample_time", "malformed_time", "warning", "??:??", None),
         (15, "batch_no", "null_sentinel", "info", "NULL", None),
@@ -110,8 +110,8 @@ def test_issues(result):
         (16, "Impurity-1", "null_sentinel", "info", "?", None)}
     flat = {(r.row_seq, r.column, r.rule) for r in result.issues.where("sheet = 'flat'").collect()}
     assert flat == {(1, "Date", "whitespace"), (1, "Note", "null_sentinel")}
-    notes = {r.note for r in result.issues.where("column = 'stage' OR column = 'Imp-A'").collect()}
-    assert notes == {"raw label was 'Stage'", "analyte=unknown_Imp_A"}
+    notes = {r.note for r in result.issues.where("column = 'stage' OR column = 'Peak-A'").collect()}
+    assert notes == {"raw label was 'Stage'", "analyte=unknown_Peak_A"}
 
 
 def test_flat_rows(result):
@@ -162,7 +162,7 @@ def test_label_matching(spark):
     got = {r.raw_label: (r.canonical, r.confidence) for r in match_analyte(analyte).collect()}
     assert got == {"IMP_1": ("Impurity_1", 0.95), "Impurity": ("Impurity_generic", 0.95),
                    "Impurity-3": ("Impurity_generic", 0.7), "x": (None, 0.0)}
-    assert analyte.select(slug(F.lit(" --Unknown-RRT-1.7 ")).alias("s")).first().s == "unknown_Unknown_RRT_1_7"
+    assert analyte.select(slug(F.lit(" --Late-peak-1.7 ")).alias("s")).first().s == "unknown_Late_peak_1_7"
 
 
 def matches(df, label="raw_label"):

@@ -290,3 +290,23 @@ def test_batches_are_folded_without_a_sort(spark):
     stored = durable(observations)
     assert "SortAggregate" not in gold.dim_batch(stored)._jdf.queryExecution().executedPlan().toString()
     assert set(OBSERVATION_COLUMNS) < set(stored.columns)
+
+
+def test_a_hundred_thousand_files_are_listed_by_a_task(spark, tmp_path, monkeypatch):
+    for name in ("many", "few"):
+        (tmp_path / name).mkdir()
+    for i in range(100_000):
+        (tmp_path / "many" / f"b{i}.xlsx").touch()
+    for name in ("x.XLSX", ".hidden.xlsx", "_y.xlsx", "z.csv"):
+        (tmp_path / "few" / name).write_bytes(b"12")
+    (tmp_path / "few" / "sub.xlsx").mkdir()
+    sent = []
+    real = type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **k: sent.append(data) or real(self, data, *a, **k))
+    both = list_files(spark, [str(tmp_path / "many"), str(tmp_path / "few")], ".xlsx", site="Lab")
+    assert both.count() == 100_002 and [len(rows) for rows in sent] == [2]
+    few = both.where("folder like '%few'").collect()
+    assert [(r.name, r.size_bytes, r.site) for r in few] == [("_y.xlsx", 2, "Lab"), ("x.XLSX", 2, "Lab")]
+    assert few[0].path == f"file:{tmp_path}/few/_y.xlsx"
+    with pytest.raises(FileNotFoundError):
+        list_files(spark, str(tmp_path / "none"))
