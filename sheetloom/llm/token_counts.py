@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from sheetloom.llm.tokens import default_tokenizer, word_tokens
+from sheetloom.session import durable
 
 LEAF_CHARS = 240
 GROUP_CHARS = 2 << 20
@@ -215,32 +216,38 @@ def redactions(text: str | None) -> list[tuple[int, int, str]]:
     return [(m.start(), m.end() - m.start(), f"[{m.lastgroup}]") for m in reversed(found)]
 
 
-def redacted_counts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """``doc_id, n_tokens, n_edits, n_tokens_after, encoded_again`` of each row: its token
-    count, and the count after personal data is redacted, found from its tree.
+def redacted(state: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """``doc_id, n_tokens, n_edits, n_tokens_after, encoded_again`` of stored trees
+    (:func:`build`): the counts before and after personal data is redacted.
 
-    Trees live only while their document is in hand: one worker a task, no text goes back.
+    Only the leaves that a redaction touches are encoded; documents without one are
+    answered by the root of their tree.
     """
     path = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens = word_tokens(path)
+        count = word_tokens(path).counts
         for batch in batches:
-            texts, out = [t or "" for t in batch["text"]], []
-            for a, b in _groups(texts):
-                for text, (parts, counts) in zip(texts[a:b], _cut_and_counted(texts[a:b], tokens)):
-                    edits = redactions(text)
-                    if not edits:
-                        out.append((int(counts.sum()), 0, int(counts.sum()), 0))
-                        continue
-                    doc = CountedText(list(parts), sums([len(p) for p in parts]), sums(counts))
-                    before = doc.tokens[1]
+            out = []
+            for text, leaf_chars, tree in zip(batch["text"], batch["leaf_chars"], batch["tree"]):
+                edits = redactions(text)
+                before = after = int(tree[1])
+                encoded = 0
+                if edits:
+                    doc = CountedText.restored(text, leaf_chars, tree)
                     for at, drop, put in edits:
-                        doc.edit(at, drop, put, tokens.counts)
-                    out.append((before, len(edits), doc.tokens[1], doc.encoded_again))
+                        doc.edit(at, drop, put, count)
+                    after, encoded = doc.tokens[1], doc.encoded_again
+                out.append((before, len(edits), after, encoded))
             frame = pd.DataFrame(out, columns=["n_tokens", "n_edits", "n_tokens_after", "encoded_again"])
             frame.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
             yield frame
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(
+    return state.select("doc_id", "text", "leaf_chars", "tree").mapInPandas(
         run, "doc_id long, n_tokens long, n_edits long, n_tokens_after long, encoded_again long")
+
+
+def redacted_counts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """The trees of all rows of ``docs``, stored as a table, and the counts of
+    :func:`redacted` from that table.  A null text is empty; each row gives a row."""
+    return redacted(durable(build(docs, tokenizer)), tokenizer)
