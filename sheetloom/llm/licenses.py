@@ -6,17 +6,25 @@ shares a fingerprint.  The templates' fingerprints are an inverted index (their
 fixed by the template list, not by the documents); a document's fingerprints are looked up
 in it, and each hit votes for the place where the template would begin.
 
+An edited notice need not keep such a run.  The index therefore also holds, per template,
+pairs of neighbouring words: one more than a notice of ``COVERAGE`` may lack words, and no
+word in two of them.  Whatever words are missing, one pair is whole in the document, with at most
+``BAND`` words in between, and is looked up as such.
+
 Around each place the template's words are aligned with the document's, gaps up to
 ``BAND`` words.  Matched words over the template's words are the coverage; the span runs
 from the first to the last matched word.
+
+Documents are read once and nothing of them is shuffled: the look-up is part of the row,
+and only rows with a place go on, with their text.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -62,31 +70,38 @@ def words(text: str | None) -> list[tuple[str, int, int]]:
     return [(m.group().lower(), m.start(), m.end()) for m in _WORD.finditer(text or "")]
 
 
+def _tokens(text: Column) -> Column:
+    """As :func:`words` in Spark: split first, then lower-cased."""
+    return F.transform(F.filter(F.split(F.coalesce(text, F.lit("")), _NOT_WORD), lambda w: w != ""), F.lower)
+
+
 def _hashes(tokens: Column) -> Column:
     starts = F.when(F.size(tokens) >= SHINGLE, F.sequence(F.lit(0), F.size(tokens) - SHINGLE)).otherwise(
         F.array().cast("array<int>"))
     return F.transform(starts, lambda i: F.xxhash64(*[F.get(tokens, i + k) for k in range(SHINGLE)]))
 
 
-def fingerprints(df: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """``keys, at, h``: the winnowed shingle hashes of a text, with their word positions."""
-    tokens = df.select(*keys, F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), _NOT_WORD),
-                                       lambda w: w != "").alias("w"))
-    hashed = tokens.select(*keys, _hashes(F.col("w")).alias("hs"))
-
+def _winnowed(hashes: Column, wanted: list[int] | None = None) -> Column:
+    """``at, h`` of the hashes that some window of neighbours has as its minimum; only
+    those ``wanted``, where a list is given."""
     def smallest(h: Column, i: Column) -> Column:
-        """Whether some window of neighbours that holds place i has its minimum there."""
-        near = [F.coalesce(F.get("hs", i + d), F.lit((1 << 63) - 1)) for d in range(-WINDOW + 1, WINDOW)]
-        windows = [near[k:k + WINDOW] for k in range(WINDOW)]
+        near = [F.coalesce(F.get(hashes, i + d), F.lit((1 << 63) - 1)) for d in range(-WINDOW + 1, WINDOW)]
         hit = F.lit(False)
-        for window in windows:
+        for k in range(WINDOW):
+            window = near[k:k + WINDOW]
             hit = hit | (h <= (F.least(*window) if len(window) > 1 else window[0]))
-        return hit
+        return hit if wanted is None else h.isin(wanted) & hit
+
+    return F.filter(F.transform(hashes, lambda h, i: F.when(smallest(h, i), F.struct(
+        i.alias("at"), h.alias("h")))), lambda f: f.isNotNull())
 
-    kept = hashed.select(*keys, F.transform("hs", lambda h, i: F.when(smallest(h, i), F.struct(
-        i.alias("at"), h.alias("h")))).alias("f"))
+
+def fingerprints(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """``keys, at, h``: the winnowed shingle hashes of a text, with their word positions."""
+    hashed = df.select(*keys, _tokens(F.col(text)).alias("w")).select(*keys, _hashes(F.col("w")).alias("hs"))
     # outer: else the optimiser repeats the whole expression in a filter on the scan
-    return kept.select(*keys, F.explode_outer("f").alias("f")).where("f is not null").select(*keys, "f.at", "f.h")
+    return (hashed.select(*keys, F.explode_outer(_winnowed(F.col("hs"))).alias("f"))
+            .where("f is not null").select(*keys, "f.at", "f.h"))
 
 
 def template_table(spark: SparkSession, templates: dict[str, list[str]]) -> DataFrame:
@@ -94,28 +109,89 @@ def template_table(spark: SparkSession, templates: dict[str, list[str]]) -> Data
     return spark.createDataFrame(rows, "license_id string, variant int, notice string")
 
 
+def sure_pairs(template: list[str]) -> list[tuple[int, str, str]]:
+    """(place, word, next word) of the pairs of which every notice of ``COVERAGE`` keeps
+    one; the longest words, which are the rarer ones, where there is a choice."""
+    lacking = len(template) - math.ceil(COVERAGE * len(template) - 1e-9)
+    ranked = sorted(range(len(template) - 1), key=lambda i: (-len(template[i]) - len(template[i + 1]), i))
+    for start in (None, 0):         # the best pairs, else all from the first word on
+        chosen: list[int] = []
+        for i in ranked if start is None else range(0, len(template) - 1, 2):
+            if len(chosen) <= lacking and all(abs(i - j) > 1 for j in chosen):
+                chosen.append(i)
+        if len(chosen) > lacking:
+            break
+    return [(i, template[i], template[i + 1]) for i in sorted(chosen)]
+
+
+def _lookup(entries: list[tuple[object, str, int, int]], kind: str) -> tuple[list, Column]:
+    """Keys, and a map from key to the (license, variant, place) that it votes for."""
+    votes: dict = {}
+    for key, name, variant, place in entries:
+        votes.setdefault(key, []).append((name, variant, place))
+    table = F.create_map(*[x for key, found in votes.items() for x in (
+        F.lit(key).cast(kind), F.array(*[F.struct(F.lit(n).alias("license_id"), F.lit(v).alias("variant"),
+                                                  F.lit(p).alias("place")) for n, v, p in found]))])
+    return list(votes), table
+
+
+def with_places(docs: DataFrame, templates: dict[str, list[str]]) -> DataFrame:
+    """``doc_id, text, places`` of the rows where some template may begin."""
+    spark = docs.sparkSession
+    # both parts of the index are bounded by the template list
+    index = fingerprints(template_table(spark, templates), ["license_id", "variant"], "notice").collect()
+    hashes, by_hash = _lookup([(r["h"], r["license_id"], r["variant"], r["at"]) for r in index], "long")
+    pairs = [(f"{a} {b}", name, k, i) for name, texts in templates.items() for k, text in enumerate(texts)
+             for i, a, b in sure_pairs([w for w, _, _ in words(text)])]
+    joined, by_pair = _lookup(pairs, "string")
+    firsts, seconds = [sorted({p.split(" ")[k] for p in joined}) for k in (0, 1)]
+
+    w = F.col("w")
+    spots = F.filter(F.transform(w, lambda x, i: F.when(x.isin(firsts), i)), lambda i: i.isNotNull())
+    near = F.flatten(F.transform(spots, lambda i: F.transform(
+        F.sequence(i + 1, i + 1 + BAND), lambda j: F.when(F.get(w, j).isin(seconds), F.struct(
+            i.alias("at"), F.concat(F.get(w, i), F.lit(" "), F.get(w, j)).alias("pair"))))))
+    met = F.filter(near, lambda p: p.isNotNull() & p["pair"].isin(joined))
+
+    def voted(hits: Column, table: Column, key: str) -> Column:
+        return F.flatten(F.transform(hits, lambda f: F.transform(
+            F.element_at(table, f[key]), lambda v: F.struct(
+                v["license_id"].alias("license_id"), v["variant"].alias("variant"),
+                (f["at"] - v["place"]).alias("begin")))))
+
+    tokens = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _tokens(F.col("text")).alias("w"))
+    hashed = tokens.select("doc_id", "text", "w", _hashes(w).alias("hs"))
+    places = F.array_distinct(F.concat(
+        voted(_winnowed(F.col("hs"), hashes), by_hash, "h") if hashes else F.array(),
+        voted(met, by_pair, "pair") if joined else F.array()))
+    # behind an explode: a filter on a computed column would repeat all of it on the scan
+    return (hashed.select("doc_id", "text", F.explode(F.array(places)).alias("places"))
+            .where(F.size("places") > 0))
+
+
 def align(template: list[str], found: list[str], band: int) -> tuple[int, int, int]:
     """Longest common subsequence of two word lists within a band around the diagonal:
     (matched words, first matched index in ``found``, last matched index)."""
     n, m = len(template), len(found)
-    score = np.zeros((n + 1, m + 1), dtype=np.int32)
+    score = [[0] * (m + 1)]
     for i in range(1, n + 1):
-        low, high = max(1, i - band), min(m, i + band)
-        for j in range(low, high + 1):
-            if template[i - 1] == found[j - 1]:
-                score[i, j] = score[i - 1, j - 1] + 1
+        above, row, word = score[-1], [0] * (m + 1), template[i - 1]
+        for j in range(max(1, i - band), min(m, i + band) + 1):
+            if word == found[j - 1]:
+                row[j] = above[j - 1] + 1
             else:
-                up = score[i - 1, j] if j - i < band else 0
-                left = score[i, j - 1] if i - j < band else 0
-                score[i, j] = max(up, left)
-    i, j = n, int(score[n].argmax())
-    matched, first, last = int(score[n, j]), -1, -1
-    while i and j and score[i, j]:
-        if template[i - 1] == found[j - 1] and score[i, j] == score[i - 1, j - 1] + 1:
+                up = above[j] if j - i < band else 0
+                left = row[j - 1] if i - j < band else 0
+                row[j] = up if up > left else left
+        score.append(row)
+    i, j = n, max(range(m + 1), key=score[n].__getitem__)
+    matched, first, last = score[n][j], -1, -1
+    while i and j and score[i][j]:
+        if template[i - 1] == found[j - 1] and score[i][j] == score[i - 1][j - 1] + 1:
             last = j - 1 if last < 0 else last
             first = j - 1
             i, j = i - 1, j - 1
-        elif score[i - 1, j] >= score[i, j - 1]:
+        elif score[i - 1][j] >= score[i][j - 1]:
             i -= 1
         else:
             j -= 1
@@ -151,22 +227,13 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> Data
     """``doc_id, license_id, variant, coverage, matched_words, start_char, end_char`` of each
     notice in each row of ``docs``.
 
-    Templates shorter than SHINGLE + WINDOW - 1 words can be missed; documents without
-    words have no notice.  Repeated rows of one document give its notices once; a null
-    doc_id is a document like any other.  Columns besides doc_id and text are ignored.
+    A notice is found if at least ``COVERAGE`` of a template's words stand in order, none
+    more than ``BAND`` words off the place that the others give it; templates need two
+    words.  Documents without words have no notice.  Repeated rows of one document give its
+    notices once; a null doc_id is a document like any other.  Columns besides doc_id and
+    text are ignored.
     """
-    spark = docs.sparkSession
     templates = templates or TEMPLATES
-    index = fingerprints(template_table(spark, templates), ["license_id", "variant"], "notice")
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
-    hits = fingerprints(keyed, ["doc_id", "text_key"], "text").join(
-        F.broadcast(index.withColumnRenamed("at", "place")), "h")      # bounded by the template list
-    places = (hits.select("doc_id", "text_key", F.struct(
-                  "license_id", "variant", (F.col("at") - F.col("place")).alias("begin")).alias("p"))
-              .groupBy("doc_id", "text_key").agg(F.collect_set("p").alias("places")))
-    texts = keyed.alias("t").join(
-        places.alias("p"), F.col("t.doc_id").eqNullSafe(F.col("p.doc_id"))
-        & (F.col("t.text_key") == F.col("p.text_key"))).select("t.doc_id", "t.text", "p.places")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -178,5 +245,6 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> Data
             yield frame
 
     columns = ["doc_id", "license_id", "variant", "coverage", "matched_words", "start_char", "end_char"]
-    return texts.mapInPandas(run, "doc_id long, license_id string, variant int, coverage double, "
-                                  "matched_words int, start_char int, end_char int").distinct()
+    return with_places(docs, templates).mapInPandas(
+        run, "doc_id long, license_id string, variant int, coverage double, "
+             "matched_words int, start_char int, end_char int").distinct()

@@ -54,7 +54,7 @@ def as_key(row):
     return tuple((x is None, x) for x in row)
 
 
-@pytest.mark.parametrize("batches", [1, 4, 7])
+@pytest.mark.parametrize("batches", [1, 4])
 def test_equals_brute_force(spark, batches):
     rows = made_rows()
     found = without_repeated_lines(spark.createDataFrame(rows, SCHEMA), batches).collect()
@@ -65,7 +65,7 @@ def test_equals_brute_force(spark, batches):
 def test_every_run_holds_new_keys_only(spark, tmp_path):
     store = LineRuns(spark, str(tmp_path), fanout=3)
     seen, counts = set(), defaultdict(int)
-    for batch in range(8):
+    for batch in range(5):
         keys = [(batch, k, -k) for k in range(batch * 5, batch * 5 + 12)]
         fresh = {(r.h1, r.h2) for r in store.add(spark.createDataFrame(keys, "doc_id long, h1 long, h2 long")).collect()}
         mine = {(a, b) for _, a, b in keys}
@@ -73,7 +73,7 @@ def test_every_run_holds_new_keys_only(spark, tmp_path):
         seen |= mine
         for k in mine:
             counts[k] += 1
-    assert [len(level) for level in store.levels] == [2, 2]
+    assert [len(level) for level in store.levels] == [2, 1]
     held = [(r.h1, r.h2) for name in store.runs() for r in spark.table(name).collect()]
     assert len(held) == len(set(held)) == len(seen)
     assert {(r.h1, r.h2): r.docs for r in store.counts().collect()} == counts
