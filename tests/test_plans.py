@@ -1,9 +1,11 @@
 """What the plans and the times of the workbook part must look like."""
 
+import re
 import time
 
 import pytest
 
+from catalogue.grids import GRIDS
 from grids import cells_frame, standard_sheet
 from pyspark.sql import functions as F
 from sheetloom import session
@@ -71,6 +73,30 @@ def test_no_broadcast_hint_for_many_tall_sheets(spark, tmp_path):
     assert "broadcast" not in small._jdf.queryExecution().logical().toString().lower()
 
 
+def largest_method(spark, df) -> int:
+    """Bytes of the largest method generated for a plan; the JVM never compiles one beyond 8,000."""
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        planned = df.select("*")._jdf.queryExecution()
+        text = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(planned, "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", True)
+    return max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", text)))
+
+
+def test_methods_of_the_grids_are_compiled(spark):
+    for name, grid in GRIDS.items():
+        assert 0 < largest_method(spark, grid(spark, "/root/testdata/sf0.001")) <= 8000, name
+
+
+def test_only_flat_sheets_have_bitmaps(spark):
+    done = clean(sample(spark))
+    classified = session.durable(profile.classify(profile.header_bands(done.cells)))
+    extents = profile.flat_extents(done.cells, classified)
+    assert plan_of(extents).count("LeftSemi") == 1
+    assert [(r.sheet, r.flat_rows) for r in extents.collect()] == [("f", 9)]
+
+
 def test_bitmaps_equal_rows_counted_one_by_one(spark):
     import random
     rng = random.Random(3)
