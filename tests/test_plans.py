@@ -5,12 +5,14 @@ import time
 
 import pytest
 
+from catalogue import stages
 from catalogue.grids import GRIDS
+from catalogue.queries import QUERIES
 from grids import cells_frame, standard_sheet
 from pyspark.sql import functions as F
 from sheetloom import session
 from sheetloom.operators import facts, profile
-from sheetloom.plans.silver import clean
+from sheetloom.plans.silver import SilverTables, clean
 
 
 def plan_of(df) -> str:
@@ -44,6 +46,17 @@ def test_stored_rows_are_not_moved_again(spark, monkeypatch, limit):
         assert sorted(map(str, df.collect())) == expected[name], name
 
 
+def test_columns_and_mappings_need_no_rows(spark, monkeypatch):
+    def refuse(self):
+        raise AssertionError("rows are packed")
+
+    monkeypatch.setattr(SilverTables, "keep_rows", refuse)
+    monkeypatch.setattr(stages, "_cleaned", {})
+    monkeypatch.setattr(stages, "_packed", {})
+    for name in ("analyte_columns", "parse_mapping_responses"):
+        assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+
+
 def test_a_run_moves_the_cells_once(spark):
     done = clean(sample(spark))
     packing = plan_of(done.packed)
