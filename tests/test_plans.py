@@ -102,6 +102,22 @@ def test_methods_of_the_grids_are_compiled(spark):
         assert 0 < largest_method(spark, grid(spark, "/root/testdata/sf0.001")) <= 8000, name
 
 
+def test_methods_of_the_quality_log_are_compiled(spark):
+    done = clean(sample(spark)).keep_rows()
+    for name, df in outputs(done).items():
+        assert 0 < largest_method(spark, df) <= 8000, name
+
+
+def test_a_column_mapped_in_both_roles_is_logged_in_both(spark):
+    done = clean(sample(spark, 1))
+    both = done.plans.withColumn("metas", F.transform("metas", lambda m, i: F.when(
+        i == 12, F.struct(F.lit("Also").alias("label"), F.lit("batch_no").alias("canonical"))).otherwise(m)))
+    issues = facts.dq_issues(facts.planned_rows(done.packed, both)).where("column_index = 13")
+    counted = {(r["column"], r.rule, r.repaired_value): r.n for r in issues.groupBy(
+        "column", "rule", "repaired_value").agg(F.count("*").alias("n")).collect()}
+    assert counted == {("TFMBA", "whitespace", "1.0"): 19, ("batch_no", "whitespace", "1"): 19}
+
+
 def test_only_flat_sheets_have_bitmaps(spark):
     done = clean(sample(spark))
     classified = session.durable(profile.classify(profile.header_bands(done.cells)))
