@@ -57,6 +57,19 @@ def test_columns_and_mappings_need_no_rows(spark, monkeypatch):
         assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
 
 
+def test_buckets_follow_the_stored_size(spark, monkeypatch):
+    lazily = clean(session.durable(sample(spark)))
+    expected = {name: sorted(map(str, df.collect())) for name, df in outputs(lazily).items()}
+    assert session.partitions_for(lazily.cells) == 4
+    assert session.partitions_for(sample(spark).repartition(3).rdd.toDF(lazily.cells.schema)) == 4     # of unknown size
+    monkeypatch.setattr(session, "PARTITION_BYTES", -(-session._stored_bytes(lazily.cells) // 9))
+    more = session.partitions_for(lazily.cells)
+    assert more > 4 and f", {more}), REPARTITION_BY_NUM" in plan_of(lazily.packed)
+    for name, df in outputs(lazily.keep_rows()).items():
+        assert "Exchange hashpartitioning" not in plan_of(df), name
+        assert sorted(map(str, df.collect())) == expected[name], name
+
+
 def test_a_run_moves_the_cells_once(spark):
     done = clean(sample(spark))
     packing = plan_of(done.packed)
