@@ -12,6 +12,7 @@ from grids import cells_frame, standard_sheet
 from pyspark.sql import functions as F
 from sheetloom import session
 from sheetloom.operators import facts, profile
+from sheetloom.plans import gold, reports
 from sheetloom.plans.silver import SilverTables, clean
 
 
@@ -121,6 +122,19 @@ def test_methods_of_the_quality_log_are_compiled(spark):
         assert 0 < largest_method(spark, df) <= 8000, name
 
 
+@pytest.mark.parametrize("mart", [gold.mv_spec_violations, gold.mv_batch_pass_rate, reports.first_violations])
+def test_methods_behind_a_filter_on_the_verdict_are_compiled(spark, mart):
+    assert 0 < largest_method(spark, mart(clean(sample(spark)).observations_keyed)) <= 8000
+
+
+def test_the_second_pass_over_observations_finds_them_stored(spark, monkeypatch):
+    for name, empty in (("_packed", {}), ("_stored", {}), ("_passed", set())):
+        monkeypatch.setattr(stages, name, empty)
+    first, second = (stages.observations_once(spark, "/root/testdata/sf0.001") for _ in range(2))
+    assert "ObjectHashAggregate" in plan_of(first) and "ObjectHashAggregate" not in plan_of(second)
+    assert first.columns == second.columns and first.exceptAll(second).isEmpty() and first.count() == second.count()
+
+
 def test_a_column_mapped_in_both_roles_is_logged_in_both(spark):
     done = clean(sample(spark, 1))
     both = done.plans.withColumn("metas", F.transform("metas", lambda m, i: F.when(
